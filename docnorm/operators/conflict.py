@@ -38,7 +38,7 @@ def dedupe(
     df: DataFrame,
     key: str | Sequence[str],
     keep: str = "last",
-    seq: str = SEQ,
+    seq: str | Sequence[str] = SEQ,
     batch_size: int | None = None,
     null_keys_conflict: bool = False,
 ) -> DataFrame:
@@ -54,6 +54,15 @@ def dedupe(
     ``null_keys_conflict`` (then NULLs group together like ``dropDuplicates``).
     """
     k = _keys(key)
+    if not isinstance(seq, str):
+        s = F.struct(*[F.col(c) for c in seq])
+        if batch_size:
+            raise ValueError("batch_size needs a single dense seq column")
+        order = s if keep == "last" else None
+        if keep == "first":
+            # smallest struct first: max_by over the negated components
+            order = F.struct(*[(-F.col(c)).alias(c) for c in seq])
+        return _dedupe_with(df, k, order, null_keys_conflict)
     s = F.col(seq)
     if batch_size:
         order = F.struct((-F.floor(s / F.lit(batch_size))).alias("b"), s.alias("s"))
@@ -63,8 +72,12 @@ def dedupe(
         order = -s
     else:
         raise ValueError(keep)
+    return _dedupe_with(df, k, order, null_keys_conflict)
+
+
+def _dedupe_with(df: DataFrame, k: list[str], order: Column, null_keys_conflict: bool) -> DataFrame:
     if null_keys_conflict:
-        return _pick(df, k, order)
+        return _pick(df, k, order).select(*df.columns)
     nulls = df.where(has_null_key(k))
     rest = df.where(~has_null_key(k))
     return _pick(rest, k, order).select(*df.columns).unionByName(nulls)
@@ -93,20 +106,23 @@ def upsert(target: DataFrame, incoming: DataFrame, key: str | Sequence[str], pol
     raise ValueError(policy)
 
 
-def strict_insert(df: DataFrame, key: str | Sequence[str], seq: str = SEQ,
+def strict_insert(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str] = SEQ,
                   existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """U4: a plain INSERT under a unique key. Returns ``(accepted, rejects)``.
 
-    The first row of a key is accepted (unless the key already exists in ``existing``);
-    the rest go to ``rejects`` with ``reject_reason='duplicate_key'``. Rows with a NULL
-    key part are always accepted (U5). The first row per key comes from a partial
-    aggregate (``min(seq)``) joined back on ``(key, seq)``, a join key that is unique,
-    so a hot key does not land in one task.
+    The first row of a key in ``order`` (e.g. ``['_seq', 'pos']``) is accepted unless the
+    key already exists in ``existing``; the rest go to ``rejects`` with
+    ``reject_reason='duplicate_key'``. Rows with a NULL key part are always accepted (U5).
+    The first row per key comes from a partial aggregate (``min`` of the order struct)
+    joined back on (key, order), a join key that is unique per row, so a hot key does
+    not land in one task.
     """
     k = _keys(key)
+    o = _keys(order)
     keyed = df.where(~has_null_key(k))
-    firsts = keyed.groupBy(*k).agg(F.min(seq).alias(seq)).withColumn("_first", F.lit(True))
-    marked = keyed.join(firsts, on=[*k, seq], how="left")
+    firsts = (keyed.groupBy(*k).agg(F.min(F.struct(*o)).alias("_o"))
+              .select(*k, *[F.col("_o")[c].alias(c) for c in o]).withColumn("_first", F.lit(True)))
+    marked = keyed.join(firsts, on=[*k, *o], how="left")
     if existing is not None:
         marked = marked.join(
             existing.select(*k).where(~has_null_key(k)).dropDuplicates(k).withColumn("_exists", F.lit(True)),
@@ -119,11 +135,16 @@ def strict_insert(df: DataFrame, key: str | Sequence[str], seq: str = SEQ,
     return accepted, rejects
 
 
-def sync_members(target: DataFrame, incoming: DataFrame, group_key: str | Sequence[str]) -> DataFrame:
-    """Every group present in ``incoming`` is replaced by its incoming rows."""
+def sync_members(target: DataFrame, incoming: DataFrame, group_key: str | Sequence[str],
+                 present: DataFrame | None = None) -> DataFrame:
+    """Every group present in the batch is replaced by its incoming rows.
+
+    ``present`` lists the group keys of the incoming documents (a group whose document
+    arrives with no members is emptied); by default the groups seen in ``incoming``.
+    """
     g = _keys(group_key)
-    present = incoming.select(*g).distinct()
-    return target.join(present, on=g, how="left_anti").unionByName(incoming.select(*target.columns))
+    groups = (present if present is not None else incoming).select(*g)
+    return target.join(groups, on=g, how="left_anti").unionByName(incoming.select(*target.columns))
 
 
 def full_refresh(target: DataFrame, incoming: DataFrame) -> DataFrame:

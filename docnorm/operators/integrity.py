@@ -61,9 +61,25 @@ def _scalar_kind(v: Column) -> Column:
     return F.when(~V.is_object(v) & ~V.is_array(v), V.schema(v))
 
 
-def snapshot_user(snap: Column, flavour: str = "standard") -> Column:
-    """Struct(id, firstname, lastname, email, username) out of an audit snapshot
-    (``createdBy`` / ``updatedBy``); ``id`` is NULL when the snapshot names nobody.
+FENCE = "_fence"
+
+
+def _fence() -> Column:
+    """A non-deterministic column in the last projection of a staged extraction.
+
+    Filters on its outputs then stay above it instead of being pushed down with every
+    stage substituted into the predicate (which multiplies the expression size)."""
+    return F.spark_partition_id().alias(FENCE)
+
+
+_NAME_KEYS = ("firstname", "firstName", "lastname", "lastName", "username", "userName", "email")
+
+
+def snapshot_users(df: DataFrame, snap: str, flavour: str = "standard", keep: Sequence[str] = (),
+                   prefix: str = "", require_id: bool = False) -> DataFrame:
+    """Adds ``<prefix>id, firstname, lastname, email, username`` for the audit snapshot in
+    VARIANT column ``snap`` (``createdBy`` / ``updatedBy``); ``id`` is NULL when the snapshot
+    names nobody.
 
     standard (R1): snapshot must be a non-empty object; ``user`` is text/integer (id only,
       names NULL) or an object with id = ct(id, _id), ``$oid`` unwrapped; falsy ids and
@@ -72,56 +88,99 @@ def snapshot_user(snap: Column, flavour: str = "standard") -> Column:
     groups (R1b): as standard without the camelCase fallbacks.
     processtypes (R2): ``user`` must be a non-empty object with a truthy ``id``; no length
       rule; missing names default to 'Ghost' / 'User', missing email to '<id>@ghost.local'.
+
+    Evaluated in three narrow projections (snapshot -> user -> fields) so that every
+    intermediate VARIANT is extracted once per row.
     """
     if flavour not in FLAVOURS:
         raise ValueError(flavour)
-    snap_ok = V.is_object(snap) & V.truthy(snap)
-    user = F.when(snap_ok, V.at(snap, "user"))
-    u_is_obj = V.is_object(user)
+    keep = list(keep)
+    sn = F.col(snap)
+    s1 = df.select(*keep, F.when(V.is_object(sn) & V.truthy(sn), V.at(sn, "user")).alias("_user"))
+    user = F.col("_user")
+    s2 = s1.select(*keep, "_user", V.is_object(user).alias("_uobj"), _scalar_kind(user).alias("_ukind"),
+                   V.at(user, "id").alias("_idv"), V.at(user, "_id").alias("_idv2"),
+                   *[V.at(user, k).alias(f"_n_{i}") for i, k in enumerate(_NAME_KEYS)])
+    uobj = F.col("_uobj")
+
+    def n(k):
+        # Spark column names are case-insensitive: name the extracted keys by position
+        return F.col(f"_n_{_NAME_KEYS.index(k)}")
+
     if flavour == "processtypes":
-        raw_id = F.when(u_is_obj & V.truthy(user), V.at(user, "id"))
-        uid = F.when(V.truthy(raw_id), V.to_str(raw_id))
-        first = V.default_if_missing(user, "firstname", "string", PT_GHOST_FIRSTNAME)
-        last = V.default_if_missing(user, "lastname", "string", PT_GHOST_LASTNAME)
-        email = F.when(V.at(user, "email").isNull(), F.concat(uid, F.lit(PT_GHOST_EMAIL_DOMAIN))).otherwise(
-            V.get(user, "email"))
-        username = V.get(user, "username")
+        idv = F.col("_idv")
+        uid = F.when(uobj & V.truthy(user) & V.truthy(idv), V.to_str(idv))
+        s3 = s2.select(*keep, uid.alias("_uid"), *[F.col(c) for c in s2.columns if c.startswith("_n_")])
+        uid = F.col("_uid")
+        out = s3.select(
+            *keep, uid.alias(prefix + "id"), _fence(),
+            F.when(uid.isNotNull(), F.when(n("firstname").isNull(), F.lit(PT_GHOST_FIRSTNAME))
+                   .otherwise(F.try_variant_get(n("firstname"), "$", "string"))).alias(prefix + "firstname"),
+            F.when(uid.isNotNull(), F.when(n("lastname").isNull(), F.lit(PT_GHOST_LASTNAME))
+                   .otherwise(F.try_variant_get(n("lastname"), "$", "string"))).alias(prefix + "lastname"),
+            F.when(uid.isNotNull(), F.when(n("email").isNull(), F.concat(uid, F.lit(PT_GHOST_EMAIL_DOMAIN)))
+                   .otherwise(F.try_variant_get(n("email"), "$", "string"))).alias(prefix + "email"),
+            F.when(uid.isNotNull(), F.try_variant_get(n("username"), "$", "string")).alias(prefix + "username"))
+        return _finish(out, prefix, require_id)
+    scalar_id = F.when(F.col("_ukind").isin("STRING", "BIGINT", "INT", "SMALLINT", "TINYINT"), V.to_str(user))
+    obj_id = V.coalesce_truthy(F.col("_idv"), F.col("_idv2"))
+    s3 = s2.select(*keep, "_uobj", scalar_id.alias("_sid"), obj_id.alias("_oid"),
+                   *[F.col(c) for c in s2.columns if c.startswith("_n_")])
+    oid = F.col("_oid")
+    oid = F.when(V.is_object(oid), V.at(oid, ["$oid"])).otherwise(oid)
+    if flavour == "standard":
+        fv = V.coalesce_truthy(n("firstname"), n("firstName"))
+        lv = V.coalesce_truthy(n("lastname"), n("lastName"))
+        uv = V.coalesce_truthy(n("username"), n("userName"))
     else:
-        k = _scalar_kind(user)
-        scalar_id = F.when(k.isin("STRING", "BIGINT", "INT", "SMALLINT", "TINYINT"), V.to_str(user))
-        obj_id = V.coalesce_truthy(V.at(user, "id"), V.at(user, "_id"))
-        obj_id = F.when(V.is_object(obj_id), V.at(obj_id, ["$oid"])).otherwise(obj_id)
-        obj_id_s = F.when(V.truthy(obj_id), V.to_str(obj_id))
-        raw = F.when(u_is_obj, obj_id_s).otherwise(scalar_id)
-        uid = F.when(V.truthy_str(raw) & (F.length(raw) >= MIN_USER_ID_LEN), raw)
-        if flavour == "standard":
-            first = V.ct(user, ["firstname", "firstName"])
-            last = V.ct(user, ["lastname", "lastName"])
-            username = V.ct(user, ["username", "userName"])
-        else:
-            first = V.get(user, "firstname")
-            last = V.get(user, "lastname")
-            username = V.get(user, "username")
-        first = F.when(u_is_obj, F.when(V.truthy_str(first), first).otherwise(F.lit(GHOST_FIRSTNAME)))
-        last = F.when(u_is_obj, F.when(V.truthy_str(last), last).otherwise(F.lit(GHOST_LASTNAME)))
-        email = F.when(u_is_obj, V.get(user, "email"))
-        username = F.when(u_is_obj, username)
-    return F.struct(uid.alias("id"), first.alias("firstname"), last.alias("lastname"),
-                    email.alias("email"), username.alias("username"))
-
-
-def audit_user_id(doc: Column | str, path: str, flavour: str = "standard") -> Column:
-    """``cu`` / ``uu``: the user id named by the snapshot at ``path`` (ghost or existing)."""
-    return snapshot_user(V.at(doc, path), flavour)["id"]
+        fv, lv, uv = n("firstname"), n("lastname"), n("username")
+    s4 = s3.select(*keep, "_uobj", "_sid", oid.alias("_oid2"), fv.alias("_fv"), lv.alias("_lv"), uv.alias("_uv"),
+                   n("email").alias("_ev"))
+    o2 = F.col("_oid2")
+    raw = F.when(uobj, F.when(V.truthy(o2), V.to_str(o2))).otherwise(F.col("_sid"))
+    uid = F.when(V.truthy_str(raw) & (F.length(raw) >= MIN_USER_ID_LEN), raw)
+
+    def tx(v):
+        return F.try_variant_get(v, "$", "string")
+
+    first, last, username = tx(F.col("_fv")), tx(F.col("_lv")), tx(F.col("_uv"))
+    first_ok, last_ok = V.truthy(F.col("_fv")), V.truthy(F.col("_lv"))
+    s5 = s4.select(*keep, uid.alias("_uid"), "_uobj", first.alias("_f"), first_ok.alias("_fok"), last.alias("_l"),
+                   last_ok.alias("_lok"), tx(F.col("_ev")).alias("_e"), username.alias("_u"))
+    uid = F.col("_uid")
+    ok = uid.isNotNull() & F.col("_uobj")
+    out = s5.select(
+        *keep, uid.alias(prefix + "id"), _fence(),
+        F.when(ok, F.when(F.col("_fok"), F.col("_f")).otherwise(F.lit(GHOST_FIRSTNAME))).alias(prefix + "firstname"),
+        F.when(ok, F.when(F.col("_lok"), F.col("_l")).otherwise(F.lit(GHOST_LASTNAME))).alias(prefix + "lastname"),
+        F.when(ok, F.col("_e")).alias(prefix + "email"),
+        F.when(ok, F.col("_u")).alias(prefix + "username"))
+    return _finish(out, prefix, require_id)
+
+
+def _finish(out: DataFrame, prefix: str, require_id: bool) -> DataFrame:
+    if require_id:
+        # the predicate also reads the fence, so it cannot be pushed below the last stage
+        out = out.where(F.col(prefix + "id").isNotNull() & (F.col(FENCE) >= 0))
+    return out.drop(FENCE)
+
+
+def with_audit_ids(df: DataFrame, columns: dict[str, str], flavour: str = "standard", doc: str = "doc") -> DataFrame:
+    """``cu`` / ``uu``: add one id column per snapshot path (ghost or existing user)."""
+    out = df
+    for name, path in columns.items():
+        base = out.withColumn("_snap", V.at(doc, path))
+        ids = snapshot_users(base, "_snap", flavour, keep=out.columns, prefix="_a_")
+        out = ids.select(*out.columns, F.col("_a_id").alias(name))
+    return out
 
 
 def snapshots(docs: DataFrame, paths: Sequence[str] = ("createdBy", "updatedBy"), flavour: str = "standard",
               doc: str = "doc", seq: str = SEQ) -> DataFrame:
     """One row per (document, snapshot slot) that names a user: seq, slot, id, names."""
-    arr = F.array(*[F.struct(F.lit(i).alias("slot"), snapshot_user(V.at(doc, p), flavour).alias("u"))
-                    for i, p in enumerate(paths)])
-    out = docs.select(F.col(seq), F.inline(arr))
-    return out.select(seq, "slot", "u.*").where(F.col("id").isNotNull())
+    arr = F.array(*[F.struct(F.lit(i).alias("slot"), V.at(doc, p).alias("snap")) for i, p in enumerate(paths)])
+    s = docs.select(F.col(seq), F.inline(arr))
+    return snapshot_users(s, "snap", flavour, keep=[seq, "slot"], require_id=True)
 
 
 def ghost_users(docs: DataFrame, users: DataFrame, flavour: str = "standard",
@@ -153,11 +212,11 @@ def valid_parents(users: DataFrame, ghosts: DataFrame, col: str = "id") -> DataF
 
 # --------------------------------------------------------------------------- R4, R5
 def dependency_check(parents: dict[str, DataFrame]) -> DataFrame:
-    """One row per parent table: (collection, rows, ok) with ok = rows > 0."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("collection"), "rows")
+    """One row per parent table: (collection, row_count, ok) with ok = row_count > 0."""
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("collection"), "row_count")
              for name, df in parents.items()]
     out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("ok", F.col("rows") > 0)
+    return out.withColumn("ok", F.col("row_count") > 0)
 
 
 def load_order(depends: dict[str, Sequence[str]]) -> list[str]:

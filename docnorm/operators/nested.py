@@ -72,10 +72,13 @@ def tagged_union(
     concatenated in the given order and exploded once. ``pos`` is the position in that
     concatenation (branch order, then item order), i.e. the order the source visits them.
     """
+    def tagger(t):
+        return lambda x: F.struct(F.lit(t).alias(tag), x.alias(item))
+
     parts = []
     for t, p in branches.items():
         arr = F.coalesce(V.as_array(V.at(doc, p)), F.array().cast("array<variant>"))
-        parts.append(F.transform(arr, lambda x, _t=t: F.struct(F.lit(_t).alias(tag), x.alias(item))))
+        parts.append(F.transform(arr, tagger(t)))
     allv = F.concat(*parts) if len(parts) > 1 else parts[0]
     out = df.select(*_keep(df, keep), F.posexplode(allv).alias(pos, "_u"))
     return out.select(*[c for c in out.columns if c != "_u"], F.col("_u")[tag].alias(tag), F.col("_u")[item].alias(item))

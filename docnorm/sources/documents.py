@@ -30,10 +30,18 @@ def with_dense_seq(df: DataFrame, order_cols: list[str], seq: str = SEQ) -> Data
     return out.withColumn(seq, F.col("_off") + F.col("_mid") - F.col("_m0")).drop("_mid", "_m0", "_off", *order_cols)
 
 
+FENCE = "_fence"
+
+
 def parse_documents(df: DataFrame, text_col: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """JSON text column -> ``doc`` VARIANT (NULL when unparsable or duplicate keys)."""
+    """JSON text column -> ``doc`` VARIANT (NULL when unparsable or duplicate keys).
+
+    The projection carries a non-deterministic ``_fence`` column; filters that read it
+    stay above the parse, so each line is parsed once (a pushed-down ``doc IS NOT NULL``
+    would parse it a second time inside the filter)."""
     keep = keep or []
-    return df.select(*keep, F.try_parse_json(F.col(text_col)).alias(DOC), F.col(text_col).alias("_raw"))
+    return df.select(*keep, F.try_parse_json(F.col(text_col)).alias(DOC), F.col(text_col).alias("_raw"),
+                     F.spark_partition_id().alias(FENCE))
 
 
 def read_documents(spark: SparkSession, path: str, fmt: str = "jsonl", text_col: str = "json",
@@ -64,15 +72,15 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "jsonl", text_col:
         dtype = dict(t.dtypes)[text_col]
         if dtype == "variant":
             parsed = t.select(F.col(seq_col).cast("bigint").alias(SEQ), F.col(text_col).alias(DOC),
-                              F.lit(None).cast("string").alias("_raw"))
+                              F.lit(None).cast("string").alias("_raw"), F.lit(0).alias(FENCE))
         else:
             parsed = parse_documents(t.withColumn(SEQ, F.col(seq_col).cast("bigint")), text_col, [SEQ])
     else:
         raise ValueError(fmt)
-    docs = parsed.where(F.col(DOC).isNotNull()).select(SEQ, DOC)
+    docs = parsed.where(F.col(DOC).isNotNull() & (F.col(FENCE) >= 0)).select(SEQ, DOC)
     if not with_rejects:
         return docs
-    rejects = parsed.where(F.col(DOC).isNull()).select(
+    rejects = parsed.where(F.col(DOC).isNull() & (F.col(FENCE) >= 0)).select(
         SEQ, F.col("_raw").alias("raw"), F.lit("unparsable_json").alias("reject_reason"))
     return docs, rejects
 

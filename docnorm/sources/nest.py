@@ -101,8 +101,14 @@ def build_order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                   lastName=F.col("c_mktsegment"))))
                   .when(ck % 5 == 3, obj(user=obj(id=F.concat(F.lit("u"), (ck % 100).cast("string")))))
                   .otherwise(F.to_variant_object(F.create_map().cast("map<string,string>"))))
-    snapshot_u = F.when(k % 2 == 1, obj(user=obj(id=U, firstname=F.concat(F.lit("G"), k.cast("string")),
-                                                 lastname=F.concat(F.lit("L"), k.cast("string")))))
+    # updatedBy of odd orders names user uid(k div 4): two documents per id (first wins),
+    # ids beyond the customer range have no user (ghost parents); k%4==1 uses camelCase names
+    gid = uid(F.floor(k / 4))
+    snapshot_u = (F.when(k % 4 == 1, obj(user=obj(id=gid, firstName=F.concat(F.lit("G"), k.cast("string")),
+                                                  lastName=F.concat(F.lit("L"), k.cast("string")))))
+                  .when(k % 4 == 3, obj(user=obj(id=gid, firstname=F.concat(F.lit("G"), k.cast("string")),
+                                                 lastname=F.concat(F.lit("L"), k.cast("string")),
+                                                 email=F.concat(F.lit("g"), k.cast("string"), F.lit("@x.org"))))))
     movements = F.transform(lines_c, lambda e: F.when(e["l_linenumber"] == 3, var(e["l_partkey"])).otherwise(obj(
         at=F.date_format(e["l_shipdate"], PLAIN), id=e["l_partkey"], to=e["l_returnflag"], qty=e["l_quantity"],
         line=e["l_linenumber"], supp=e["l_suppkey"])))
@@ -155,7 +161,8 @@ def build_order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("lastMovement", last_movement),
         ("recipients", recipients),
         ("documentSteps", steps),
-        ("lumbreNextSigner", F.when(k % 2 == 0, obj(id=U, role=obj(id=F.col("c_mktsegment"), name=F.col("c_name"))))),
+        ("lumbreNextSigner", F.when(k % 2 == 0, obj(id=U, role=obj(id=F.col("c_mktsegment"), name=F.col("c_name")),
+                                                    area=obj(id=F.col("c_nationkey"), name=F.col("n_name"))))),
         ("lumbreNextParticipant", F.when(k % 3 == 0, obj(_id=obj(**{"$oid": U})))),
         ("lumbreNextReviewer", F.when(k % 3 == 1, F.to_variant_object(F.create_map().cast("map<string,string>")))),
         (F.concat(F.lit("campo_"), (k % 3).cast("string")), var(F.col("o_orderpriority"))),
@@ -180,8 +187,7 @@ def build_user_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     role = (F.when(ck % 7 == 0, var(F.lit("text")))
             .when(ck % 7 == 1, F.to_variant_object(F.create_map().cast("map<string,string>")))
             .when(ck % 7 == 2, obj(id=F.lit(""), name=F.lit("empty")))
-            .otherwise(obj(id=F.concat(F.lit("R"), F.substring(seg, 1, 3)),
-                           name=F.concat(seg, F.lit("-"), (ck % 3).cast("string")))))
+            .otherwise(obj(id=seg, name=F.concat(seg, F.lit("-"), (ck % 3).cast("string")))))
     day = F.make_timestamp_ntz(F.lit(2020), (ck % 12 + 1).cast("int"), (ck % 28 + 1).cast("int"),
                                (ck % 24).cast("int"), (ck % 60).cast("int"), F.lit(0))
     json = _doc(
@@ -215,7 +221,10 @@ def docs(spark: SparkSession, sf_dir: str, collection: str) -> DataFrame:
     """(``_seq``, ``doc``) of a nested collection built from ``sf_dir``; written once as a
     table in the shared checkpoint folder, then read like any collection at rest."""
     root = ensure_checkpoint_dir(spark)
-    tag = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    # keyed by input folder and by this module's source, so a changed builder rebuilds
+    with open(__file__, "rb") as fh:
+        src = fh.read()
+    tag = hashlib.sha1(os.path.abspath(sf_dir).encode() + src).hexdigest()[:16]
     path = os.path.join(root, "docnorm-collections", tag, collection)
     if not _complete(spark, path):
         _BUILDERS[collection](spark, sf_dir).write.mode("overwrite").parquet(path)
