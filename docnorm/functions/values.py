@@ -307,3 +307,22 @@ def snake(name: str) -> str:
 def json_text(v: Column) -> Column:
     """Canonical JSON text of a VARIANT (keys sorted by the variant encoding)."""
     return F.to_json(v)
+
+
+# --------------------------------------------------------------------------- G21
+_JSON_KEY = r'"(?:[^"\\]|\\.)*":'
+_JSON_BLANK_STR = r'"\s*"'
+_JSON_STR = r'"(?:[^"\\]|\\.)*"'
+
+
+def has_data(v: Column) -> Column:
+    """Recursive emptiness test: NULL, blank text, empty arrays and objects whose values
+    all lack data -> false; numbers and booleans (0, false included) and non-empty arrays
+    -> true. Works on the JSON text, so nesting depth is unbounded."""
+    j = F.to_json(v)
+    no_keys = F.regexp_replace(j, _JSON_KEY, "")
+    no_blank = F.regexp_replace(no_keys, _JSON_BLANK_STR, "")
+    strs = F.regexp_replace(no_blank, _JSON_STR, "S")
+    nonempty_array = strs.rlike(r"\[[^\]]")
+    rest = F.regexp_replace(strs, r"null|\[\]|[{},]", "")
+    return F.coalesce(F.when(v.isNull(), F.lit(False)).otherwise(nonempty_array | (F.length(rest) > 0)), F.lit(False))
