@@ -83,7 +83,7 @@ USERSGROUPS = Collection("lml_usersgroups", "usersgroups", depends=("users",), g
     ), key=("id",), policy="first"),
     Table("members", S.truthy_items("users"), (
         C("group_id", S.parent(), n=255), C("user_id", S.item_str(), n=255),
-    ), key=("group_id", "user_id"), policy="strict",
+    ), key=("group_id", "user_id"), policy="strict", sync_by=("group_id",),
         parents=(ParentRule("user_id", "lml_users.main"),), fks=(FK(("user_id",), "lml_users.main"),)),
 ))
 

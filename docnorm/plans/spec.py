@@ -244,6 +244,7 @@ class Table:
     parents: tuple[ParentRule, ...] = ()
     fks: tuple[FK, ...] = ()
     catalog: bool = False
+    sync_by: tuple[str, ...] | None = None   # U6: groups replaced as a whole on incremental loads
 
     def schema(self) -> list[tuple[str, str]]:
         return [(c.name, c.dtype) for c in self.cols]
