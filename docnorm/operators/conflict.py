@@ -25,15 +25,30 @@ def has_null_key(key: str | Sequence[str]) -> Column:
     return cond
 
 
-def _pick(df: DataFrame, key: Sequence[str], order: Column) -> DataFrame:
-    """One row per key: the row with the largest ``order`` (a struct of orderable fields)."""
+def _pick(df: DataFrame, key: Sequence[str], order: Column, extra_group: Column | None = None) -> DataFrame:
+    """One row per key: the row with the largest ``order`` (a struct of orderable fields).
+    ``extra_group`` (NULL for ordinary rows) splits rows that must not conflict."""
     others = [c for c in df.columns if c not in key]
+    groups = [F.col(c) for c in key] + ([extra_group.alias("_nk")] if extra_group is not None else [])
     if not others:
-        return df.dropDuplicates(list(key))
-    picked = df.groupBy(*key).agg(F.max_by(F.struct(*others), order).alias("_row"))
+        return df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")).select(*key)
+    picked = df.groupBy(*groups).agg(F.max_by(F.struct(*others), order).alias("_row"))
     return picked.select(*key, *[F.col("_row")[c].alias(c) for c in others])
 
 
+def order_key(order: Sequence[str]) -> Column:
+    """Total order of rows as one value. One or two non-negative integer columns (``_seq``,
+    array ``pos``) are packed into DECIMAL(38,0), which hash aggregation can keep as a
+    mutable buffer (a struct would force a sort-based aggregate)."""
+    cols = list(order)
+    if len(cols) == 1:
+        return F.col(cols[0]).cast("decimal(38,0)")
+    if len(cols) == 2:
+        return (F.col(cols[0]).cast("decimal(38,0)") * F.lit(10 ** 18).cast("decimal(38,0)")
+                + F.col(cols[1]).cast("decimal(38,0)")).cast("decimal(38,0)")
+    return F.struct(*[F.col(c) for c in cols])
+
+
 def dedupe(
     df: DataFrame,
     key: str | Sequence[str],
@@ -62,7 +77,7 @@ def dedupe(
         if keep == "first":
             # smallest struct first: max_by over the negated components
             order = F.struct(*[(-F.col(c)).alias(c) for c in seq])
-        return _dedupe_with(df, k, order, null_keys_conflict)
+        return _dedupe_with(df, k, order, null_keys_conflict, seq)
     s = F.col(seq)
     if batch_size:
         order = F.struct((-F.floor(s / F.lit(batch_size))).alias("b"), s.alias("s"))
@@ -72,15 +87,16 @@ def dedupe(
         order = -s
     else:
         raise ValueError(keep)
-    return _dedupe_with(df, k, order, null_keys_conflict)
+    return _dedupe_with(df, k, order, null_keys_conflict, [seq])
 
 
-def _dedupe_with(df: DataFrame, k: list[str], order: Column, null_keys_conflict: bool) -> DataFrame:
+def _dedupe_with(df: DataFrame, k: list[str], order: Column, null_keys_conflict: bool,
+                 order_cols: Sequence[str] = (SEQ,)) -> DataFrame:
     if null_keys_conflict:
         return _pick(df, k, order).select(*df.columns)
-    nulls = df.where(has_null_key(k))
-    rest = df.where(~has_null_key(k))
-    return _pick(rest, k, order).select(*df.columns).unionByName(nulls)
+    # U5 in the same pass: a row with a NULL key part is its own group
+    guard = F.when(has_null_key(k), F.struct(*[F.col(c) for c in order_cols]))
+    return _pick(df, k, order, guard).select(*df.columns)
 
 
 def upsert(target: DataFrame, incoming: DataFrame, key: str | Sequence[str], policy: str = "last",
@@ -119,18 +135,17 @@ def strict_insert(df: DataFrame, key: str | Sequence[str], order: str | Sequence
     """
     k = _keys(key)
     o = _keys(order)
-    keyed = df.where(~has_null_key(k))
-    firsts = (keyed.groupBy(*k).agg(F.min(F.struct(*o)).alias("_o"))
-              .select(*k, *[F.col("_o")[c].alias(c) for c in o]).withColumn("_first", F.lit(True)))
-    marked = keyed.join(firsts, on=[*k, *o], how="left")
+    ok_col = order_key(o)
+    firsts = df.where(~has_null_key(k)).groupBy(*k).agg(F.min(ok_col).alias("_ok")).withColumn("_first", F.lit(True))
+    marked = df.withColumn("_ok", ok_col).join(firsts, on=[*k, "_ok"], how="left")
     if existing is not None:
         marked = marked.join(
             existing.select(*k).where(~has_null_key(k)).dropDuplicates(k).withColumn("_exists", F.lit(True)),
             on=k, how="left")
-        ok = F.col("_first").isNotNull() & F.col("_exists").isNull()
+        ok = (F.col("_first").isNotNull() & F.col("_exists").isNull()) | has_null_key(k)
     else:
-        ok = F.col("_first").isNotNull()
-    accepted = marked.where(ok).select(*df.columns).unionByName(df.where(has_null_key(k)))
+        ok = F.col("_first").isNotNull() | has_null_key(k)
+    accepted = marked.where(ok).select(*df.columns)
     rejects = marked.where(~ok).select(*df.columns).withColumn(REJECT_REASON, F.lit("duplicate_key"))
     return accepted, rejects
 
