@@ -374,7 +374,7 @@ DOCUMENTS = Collection("lml_documents", "documents", depends=("users",), ghosts=
         C("document_id", S.parent()), C("position", S.dd("documentSteps.position", 0), INT),
         C("step_order", S.pos(), INT, nn=True), C("title", S.g("title"), n=255),
         C("description", S.g("description"), n=500), C("avatar", S.g("avatar"), n=500),
-    )),
+    ), reads_doc=True),
     _entities("instance_privileges", "instancePrivileges", ("area", "subarea", "role"), tags_as_is=True),
     Table("access", S.union({V.singular(b): f"calculatedProps.whoCanAccess.{b}" for b in ("users", "areas", "subareas")},
                             where=lambda c: V.truthy(c.item)), (

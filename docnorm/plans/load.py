@@ -11,6 +11,7 @@ is checkpointed before the overwrite.
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators import conflict as U
 from ..operators import integrity as R
 from ..operators import validate as VAL
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.documents import count_documents
 from . import collections as CL
 from .spec import Collection, Table, normalise
@@ -105,7 +106,8 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             parents[f"{schema}.{table}"] = df
     users_ids = users_main.select("id") if users_main is not None else (
         store.empty(CL.USERS.main).select("id") if coll.ghosts else None)
-    result = normalise(coll, docs, users=users_ids, parents=parents, run_ts=run_ts)
+    rows_path = os.path.join(ensure_checkpoint_dir(spark), "docnorm-rows", f"{coll.name}-{uuid.uuid4().hex}")
+    result = normalise(coll, docs, users=users_ids, parents=parents, run_ts=run_ts, rows_path=rows_path)
     summary: list[str] = []
     if result.ghosts is not None:
         result.ghosts = cut_lineage(result.ghosts)

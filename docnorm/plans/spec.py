@@ -245,6 +245,7 @@ class Table:
     fks: tuple[FK, ...] = ()
     catalog: bool = False
     sync_by: tuple[str, ...] | None = None   # U6: groups replaced as a whole on incremental loads
+    reads_doc: bool = False                  # child columns read document-level values (X9)
 
     def schema(self) -> list[tuple[str, str]]:
         return [(c.name, c.dtype) for c in self.cols]
@@ -308,15 +309,75 @@ def _row_sources(coll: Collection, t: Table, docs: DataFrame, run_ts: Column | N
     return out, ctx
 
 
+_ROW_T = "struct<_table:string,pos:bigint,key:string,tag:string,item:variant>"
+
+
+def _row_struct(table: str, pos: Column, key: Column | None, tag: Column | None, item: Column) -> Column:
+    return F.struct(F.lit(table).alias("_table"), pos.cast("bigint").alias("pos"),
+                    (key if key is not None else F.lit(None).cast("string")).alias("key"),
+                    (tag if tag is not None else F.lit(None).cast("string")).alias("tag"), item.alias("item"))
+
+
+def _table_rows(t: Table, doc: Column) -> Column:
+    """``array<row>`` of one child table for one document (see ``all_child_rows``)."""
+    r = t.rows
+    empty_arr = F.array().cast("array<variant>")
+    if r.kind == "array":
+        arr = F.coalesce(V.as_array(V.at(doc, r.path)), empty_arr)
+        return F.transform(arr, lambda x, i: _row_struct(t.name, i, None, None, x))
+    if r.kind == "map":
+        m = F.coalesce(V.as_object(V.at(doc, r.path)), F.create_map().cast("map<string,variant>"))
+        return F.transform(F.map_entries(m), lambda e: _row_struct(t.name, F.lit(0), e["key"], None, e["value"]))
+    if r.kind == "union":
+        parts = []
+        for tg, p in r.branches:
+            a = F.coalesce(V.as_array(V.at(doc, p)), empty_arr)
+            parts.append(F.transform(a, (lambda tgv: lambda x: F.struct(F.lit(tgv).alias("tag"), x.alias("item")))(tg)))
+        allv = F.concat(*parts) if len(parts) > 1 else parts[0]
+        return F.transform(allv, lambda x, i: _row_struct(t.name, i, None, x["tag"], x["item"]))
+    if r.kind == "unpivot":
+        return F.array(*[_row_struct(t.name, F.lit(0), None, F.lit(tg), V.at(doc, p)) for tg, p in r.branches])
+    if r.kind in ("one", "object"):
+        item = V.at(doc, r.path) if r.path else doc
+        return F.array(_row_struct(t.name, F.lit(0), None, None, item))
+    raise ValueError(r.kind)
+
+
+def all_child_rows(coll: Collection, docs: DataFrame) -> DataFrame:
+    """Every child-table row of every document in **one** generator over one scan:
+    (``_table``, ``_seq``, ``_parent``, pos, key, tag, item). Written partitioned by
+    ``_table``, each table then reads only its own rows instead of rescanning documents."""
+    pk = coll.main.cols[0]
+    doc = F.col(DOC)
+    arrays = [_table_rows(t, doc) for t in coll.tables if t.rows.kind != "main"]
+    allr = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+    out = docs.select(SEQ, _typed_value(pk.fn(Ctx(doc)), pk.dtype).alias("_parent"), F.inline(allr))
+    return out
+
+
+def _rows_from_all(t: Table, allrows: DataFrame, run_ts: Column | None) -> tuple[DataFrame, Ctx]:
+    out = allrows.where(F.col("_table") == t.name)
+    ctx = Ctx(doc=F.lit(None).cast("variant"), item=F.col("item"), pos=F.col("pos"), key=F.col("key"),
+              tag=F.col("tag"), parent=F.col("_parent"), run_ts=run_ts)
+    if t.rows.kind in ("unpivot", "one"):
+        out = out.where(V.truthy(F.col("item")))
+    if t.rows.where is not None:
+        out = out.where(t.rows.where(ctx))
+    return out, ctx
+
+
 def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
               parents: dict[str, DataFrame] | None = None, run_ts: Column | None = None,
-              batch_size: int = BATCH_SIZE) -> Normalised:
+              batch_size: int = BATCH_SIZE, rows_path: str | None = None) -> Normalised:
     """All tables of a collection as lazy DataFrames (after key policies and parent rules).
 
     ``docs``     (``_seq``, ``doc``) — the source collection
     ``users``    users.main (``id``) for ghost parents and audit ids, when the spec has ghosts
     ``parents``  other tables named by parent rules, keyed "<schema>.<table>"
     ``run_ts``   load timestamp (ghost rows, S4 defaults); fixed by the caller for repeatable runs
+    ``rows_path`` when given, all child rows are generated in one pass over the documents and
+                 written there partitioned by table (eager); each child table reads its part.
+                 Without it every child table is its own lazy scan of ``docs``.
     """
     parents = dict(parents or {})
     run_ts = run_ts if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
@@ -326,6 +387,10 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
     if coll.ghosts and users is not None:
         ghosts = R.ghost_users(docs, users, flavour=coll.ghosts, run_ts=run_ts)
         parents["lml_users.main"] = R.valid_parents(users, ghosts)
+    allrows = None
+    if rows_path is not None and any(t.rows.kind != "main" and not _needs_doc(t) for t in coll.tables):
+        all_child_rows(coll, docs).write.mode("overwrite").partitionBy("_table").parquet(rows_path)
+        allrows = docs.sparkSession.read.parquet(rows_path)
     for t in coll.tables:
         if t.rows.kind == "main":
             base = docs
@@ -333,6 +398,9 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
                 base = R.with_audit_ids(docs, dict(coll.audit), flavour=coll.ghosts)
             ctx = Ctx(doc=F.col(DOC), run_ts=run_ts)
             df = base.select(SEQ, F.lit(0).alias("pos"), *[_col(c, ctx) for c in t.cols])
+        elif allrows is not None and not _needs_doc(t):
+            rows, ctx = _rows_from_all(t, allrows, run_ts)
+            df = rows.select(SEQ, F.col("pos").cast("bigint").alias("pos"), *[_col(c, ctx) for c in t.cols])
         else:
             rows, ctx = _row_sources(coll, t, docs, run_ts)
             df = rows.select(SEQ, F.col("pos").cast("bigint").alias("pos"), *[_col(c, ctx) for c in t.cols])
@@ -351,6 +419,12 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
     return Normalised(out, rejects, ghosts)
 
 
+def _needs_doc(t: Table) -> bool:
+    """Child tables whose columns read the document itself (a parent scalar broadcast into
+    child rows, X9) keep their own scan; all others come from the single-pass row table."""
+    return t.reads_doc
+
+
 def _col(c: Col, ctx: Ctx) -> Column:
     v = c.fn(ctx)
     if c.dtype == "variant":

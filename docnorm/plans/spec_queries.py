@@ -29,7 +29,14 @@ def spec_group_members(spark, d):
     return r.tables["members"]
 
 
+def spec_users_main(spark, d):
+    from .queries import users_docs
+    m = normalise(CL.USERS, users_docs(spark, d), run_ts=run_ts()).tables["main"]
+    return m.select(*[tstr(F.col(c)).alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in CL.USERS.main.schema()])
+
+
 QUERIES = {
+    "spec_users_main": spec_users_main,
     "spec_processes_main": spec_processes_main,
     "spec_process_documents": spec_process_documents,
     "spec_group_members": spec_group_members,
@@ -37,7 +44,23 @@ QUERIES = {
 
 _CE = "CASE k % 6 WHEN 0 THEN T WHEN 1 THEN date_trunc('second', T) WHEN 2 THEN T WHEN 3 THEN T END"
 
+_DAY = "make_timestamp(2020, ck % 12 + 1, ck % 28 + 1, ck % 24, ck % 60, 0)"
+
 ORACLE = {
+    "spec_users_main": f"""WITH u AS (SELECT c_custkey AS ck, * FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
+SELECT {_uid('ck')} AS id, 'F' || ck AS firstname, c_mktsegment AS lastname,
+ CASE WHEN ck % 4 <> 0 THEN c_name END AS username, 'c' || ck || '@x.org' AS email, CAST(NULL AS VARCHAR) AS password,
+ CASE WHEN ck % 7 = 2 THEN '' WHEN ck % 7 >= 3 THEN c_mktsegment END AS role_id,
+ CAST(c_nationkey AS VARCHAR) AS area_id, CAST(n_regionkey AS VARCHAR) AS subarea_id,
+ CAST(NULL AS VARCHAR) AS position_id, CAST(NULL AS VARCHAR) AS signaturetype_id,
+ CAST(CASE WHEN ck % 3 = 1 THEN c_nationkey + 100 ELSE c_nationkey END AS VARCHAR) AS customer_id,
+ CASE ck % 3 WHEN 0 THEN FALSE WHEN 2 THEN TRUE END AS deleted,
+ CAST(NULL AS VARCHAR) AS user_type, CAST(NULL AS VARCHAR) AS license_status, CAST(NULL AS VARCHAR) AS signature,
+ CAST(NULL AS VARCHAR) AS dni, CAST(ck % 5 AS INTEGER) AS lumbre_version,
+ strftime(CASE WHEN ck % 2 = 0 OR ck % 4 = 1 THEN {_DAY} END, {F_TS}) AS created_at,
+ CAST(NULL AS VARCHAR) AS updated_at, {_uid('ck + 1')} AS updated_by_user_id, CAST(ck % 10 AS INTEGER) AS __v
+FROM u""",
+
     "spec_processes_main": _w(OD) + f"""SELECT pid AS process_id, CAST(k AS VARCHAR) AS process_number,
  o_orderpriority AS process_type_name, CAST(NULL AS VARCHAR) AS process_address,
  'pt' || CAST(k % 7 AS VARCHAR) AS process_type_id, CAST(ck AS VARCHAR) AS customer_id,
