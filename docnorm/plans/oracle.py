@@ -221,4 +221,6 @@ UNION ALL SELECT od.pid, CAST(li.l_linenumber AS BIGINT), min(li.pos)
 FROM li JOIN od ON li.l_orderkey = od.k WHERE li.l_linenumber <> 3 GROUP BY od.pid, li.l_linenumber""",
 
     "sync_members": _w(OD) + f"SELECT od.pid AS group_id, {_uid('l.l_partkey')} AS user_id FROM {LJ}",
+
+    "full_refresh": f"SELECT {_uid('c_custkey')} AS id, 'F' || c_custkey AS name FROM customer",
 }

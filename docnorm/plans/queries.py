@@ -336,6 +336,12 @@ def sync_members(spark, d):
     return U.sync_members(target, incoming, "group_id", present)
 
 
+def full_refresh(spark, d):
+    """Users.main refreshed from its collection: rows of the previous state are gone."""
+    old = _part_users_catalog(spark, d)
+    return U.full_refresh(old, _incoming_users(spark, d))
+
+
 QUERIES = {
     "main_projection": main_projection,
     "timestamp_formats": timestamp_formats,
@@ -370,4 +376,5 @@ QUERIES = {
     "strict_insert_rejects": strict_insert_rejects,
     "null_key_bypass": null_key_bypass,
     "sync_members": sync_members,
+    "full_refresh": full_refresh,
 }
