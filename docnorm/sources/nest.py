@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -227,12 +228,27 @@ def docs(spark: SparkSession, sf_dir: str, collection: str) -> DataFrame:
     tag = hashlib.sha1(os.path.abspath(sf_dir).encode() + src).hexdigest()[:16]
     path = os.path.join(root, "docnorm-collections", tag, collection)
     if not _complete(spark, path):
-        _BUILDERS[collection](spark, sf_dir).write.mode("overwrite").parquet(path)
+        # build beside the final folder, then rename: concurrent readers never see a
+        # half-written collection and a second builder's rename simply loses
+        tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+        _BUILDERS[collection](spark, sf_dir).write.mode("overwrite").parquet(tmp)
+        _rename(spark, tmp, path)
     return read_documents(spark, path, fmt="parquet", text_col="json", seq_col="_seq")
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path + "/_SUCCESS")
+    return bool(fs.exists(p))
+
+
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    s, fs = _fs(spark, src)
+    d, _ = _fs(spark, dst)
+    if not fs.exists(d):
+        fs.rename(s, d)
