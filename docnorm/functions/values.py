@@ -91,7 +91,9 @@ def is_array(v: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return as_object(v).isNotNull()
+    # an empty-struct cast succeeds exactly for objects and reads no field: O(1), where a
+    # map cast would copy every key and schema_of_variant would walk the whole value
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
 def _scalar_schema(v: Column) -> Column:
@@ -135,7 +137,7 @@ def truthy(v: Column) -> Column:
     return F.coalesce(
         F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
         .when(arr.isNotNull(), F.size(arr) > 0)
-        .when(obj.isNotNull(), F.size(obj) > 0)
+        .when(is_object(v), F.size(obj) > 0)
         .when(s == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
         .when(
             s.startswith("DECIMAL") | s.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT"),

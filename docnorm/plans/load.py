@@ -1,8 +1,8 @@
 """Load a collection into its target tables: dependency check, full refresh or
 incremental merge, ghost parents into users, key policies, rejects, validation.
 
-Target tables are parquet folders ``<root>/<schema>/<table>`` (or, with a catalog,
-``saveAsTable``). The parsed collection is checkpointed once into the shared
+Target tables are parquet folders ``<root>/<schema>/<table>`` on shared storage
+(``sources.documents.write_table`` / ``write_jdbc`` write elsewhere). The parsed collection is checkpointed once into the shared
 checkpoint folder, so the 5–15 tables of a collection read binary VARIANT instead of
 parsing the JSON again, and a lost executor recomputes from the checkpoint, not from
 the source scan. A table that is rewritten from itself (catalog merge, ghost users)
