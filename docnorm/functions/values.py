@@ -235,14 +235,13 @@ def ts_text(t: Column) -> Column:
 
 
 def ts(v: Column) -> Column:
-    """``ts(v)`` (S2): native timestamp kept, ``{"$date": text}`` unwrapped, text parsed, rest NULL."""
-    s = schema(v)
-    d = F.try_variant_get(v, "$['$date']", "variant")
-    text = F.when(s == "STRING", F.try_variant_get(v, "$", "string")).when(
-        schema(d) == "STRING", F.try_variant_get(d, "$", "string")
-    )
-    native = F.when(s.startswith("TIMESTAMP"), F.try_variant_get(v, "$", "timestamp_ntz"))
-    return F.coalesce(native, ts_text(text))
+    """``ts(v)`` (S2): native timestamp kept, ``{"$date": text}`` unwrapped, text parsed, rest NULL.
+
+    No type test is needed before parsing: a non-text value read as text (a number, JSON of
+    an object or array, ``true``) never matches the timestamp patterns."""
+    text = F.coalesce(F.try_variant_get(v, "$['$date']", "string"), F.try_variant_get(v, "$", "string"))
+    native = F.when(schema(v).startswith("TIMESTAMP"), F.try_variant_get(v, "$", "timestamp_ntz"))
+    return F.coalesce(ts_text(text), native)
 
 
 def ts_at(v: Column | str, path: str) -> Column:
