@@ -35,7 +35,41 @@ def spec_users_main(spark, d):
     return m.select(*[tstr(F.col(c)).alias(c) if t == "timestamp_ntz" else F.col(c) for c, t in CL.USERS.main.schema()])
 
 
+def _processtypes(spark, d):
+    from .queries import users_docs
+    from ..sources import nest
+    users = normalise(CL.USERS, users_docs(spark, d), run_ts=run_ts()).tables
+    parents = {f"lml_users.{t}": users[t] for t in ("areas", "subareas", "roles")}
+    return normalise(CL.PROCESSTYPES, nest.docs(spark, d, "processtypes"), users=users["main"].select("id"),
+                     parents=parents, run_ts=run_ts())
+
+
+def spec_type_prefixes(spark, d):
+    return _processtypes(spark, d).tables["type_prefixes"]
+
+
+def spec_people_types(spark, d):
+    return _processtypes(spark, d).tables["people_types"]
+
+
+def spec_starter_people_types(spark, d):
+    return _processtypes(spark, d).tables["starter_people_types"]
+
+
+def spec_instance_actions_area(spark, d):
+    return _processtypes(spark, d).tables["instance_actions_area"]
+
+
+def spec_process_fields(spark, d):
+    return _processtypes(spark, d).tables["process_fields"].select("processtype_id", "field_id", "field_order", "class")
+
+
 QUERIES = {
+    "spec_type_prefixes": spec_type_prefixes,
+    "spec_people_types": spec_people_types,
+    "spec_starter_people_types": spec_starter_people_types,
+    "spec_instance_actions_area": spec_instance_actions_area,
+    "spec_process_fields": spec_process_fields,
     "spec_users_main": spec_users_main,
     "spec_processes_main": spec_processes_main,
     "spec_process_documents": spec_process_documents,
@@ -46,7 +80,35 @@ _CE = "CASE k % 6 WHEN 0 THEN T WHEN 1 THEN date_trunc('second', T) WHEN 2 THEN
 
 _DAY = "make_timestamp(2020, ck % 12 + 1, ck % 28 + 1, ck % 24, ck % 60, 0)"
 
+_PT = "('T' || lpad(CAST(p_partkey AS VARCHAR), 8, '0'))"
+_SEG = "(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[p_partkey % 5 + 1]"
+
 ORACLE = {
+    "spec_type_prefixes": """SELECT id, name FROM (
+ SELECT p_brand AS id, p_brand || '-' || (p_partkey % 3) AS name,
+        row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey // 2000, p_partkey DESC) AS rn
+ FROM part WHERE p_size % 3 <> 0) WHERE rn = 1""",
+
+    "spec_people_types": """SELECT id, name FROM (
+ SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY k // 2000, k DESC, pos DESC) AS rn FROM (
+   SELECT p_partkey AS k, 0 AS pos, 'P' || (p_size % 5) AS id, 'People' || (p_size % 5) AS name FROM part
+   UNION ALL SELECT p_partkey, 1, 'P' || (p_size % 7), 'People7-' || (p_size % 7) FROM part)) WHERE rn = 1""",
+
+    "spec_starter_people_types": f"""SELECT DISTINCT {_PT} AS processtype_id, id AS people_type_id FROM (
+ SELECT p_partkey, 'P' || (p_size % 5) AS id FROM part UNION ALL SELECT p_partkey, 'P' || (p_size % 7) FROM part)""",
+
+    "spec_instance_actions_area": f"""SELECT {_PT} AS processtype_id, CAST(p_size % 25 AS VARCHAR) AS area_id,
+ 'A' || (p_size % 25) AS area_name,
+ CASE WHEN p_partkey % 6 <> 0 AND {_SEG} IN (SELECT c_mktsegment FROM customer WHERE c_custkey % 7 >= 3) THEN {_SEG} END
+   AS role_id, 'R' AS action
+FROM part WHERE CAST(p_size % 25 AS VARCHAR) IN (SELECT CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_nationkey <> 0)""",
+
+    "spec_process_fields": f"""SELECT {_PT} AS processtype_id, CAST(p_partkey * 10 AS VARCHAR) AS field_id, 0 AS field_order,
+ 'c' AS class FROM part
+UNION ALL SELECT {_PT}, NULL, 1, 'noid' FROM part
+UNION ALL SELECT {_PT}, NULL, 2, NULL FROM part
+UNION ALL SELECT {_PT}, 'dup', 3, 'first' FROM part""",
+
     "spec_users_main": f"""WITH u AS (SELECT c_custkey AS ck, * FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
 SELECT {_uid('ck')} AS id, 'F' || ck AS firstname, c_mktsegment AS lastname,
  CASE WHEN ck % 4 <> 0 THEN c_name END AS username, 'c' || ck || '@x.org' AS email, CAST(NULL AS VARCHAR) AS password,

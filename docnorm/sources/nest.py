@@ -216,7 +216,51 @@ def build_user_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select(ck.alias("_seq"), json.alias("json"))
 
 
-_BUILDERS = {"orders": build_order_docs, "users": build_user_docs}
+# Market segments used as role ids of the process-type fixtures.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+def build_processtype_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(``_seq``, ``json``) — one processtypes-like document per ``part`` row (no grouping)."""
+    p = table(spark, sf_dir, "part")
+    k, sz = F.col("p_partkey"), F.col("p_size")
+    seg = F.element_at(F.array(*[F.lit(x) for x in SEGMENTS]), (k % 5 + 1).cast("int"))
+    role = F.when(k % 6 == 0, F.lit("NOPE")).otherwise(seg)
+    json = _doc(
+        ("_id", obj(**{"$oid": F.concat(F.lit("T"), F.lpad(k.cast("string"), 8, "0"))})),
+        ("typeName", var(F.col("p_name"))),
+        ("typeAlias", var(F.col("p_brand"))),
+        ("typeNumerator", var(F.col("p_type"))),
+        ("published", var(sz % 2 == 0)),
+        ("typePrefix", F.when(sz % 3 == 0, obj(id=F.lit(""))).otherwise(
+            obj(id=F.col("p_brand"), name=F.concat(F.col("p_brand"), F.lit("-"), (k % 3).cast("string"))))),
+        ("instanceStarters", obj(
+            peopleTypes=F.to_variant_object(F.array(
+                F.struct(F.concat(F.lit("P"), (sz % 5).cast("string")).alias("id"),
+                         F.concat(F.lit("People"), (sz % 5).cast("string")).alias("name")),
+                F.struct(F.concat(F.lit("P"), (sz % 7).cast("string")).alias("id"),
+                         F.concat(F.lit("People7-"), (sz % 7).cast("string")).alias("name")))),
+            initiatorTypes=F.to_variant_object(F.array(
+                F.struct(F.concat(F.lit("I"), (k % 4).cast("string")).alias("id"),
+                         F.concat(F.lit("Init"), (k % 4).cast("string")).alias("name")))))),
+        ("instanceActions", obj(
+            area=F.to_variant_object(F.array(obj(id=sz % 25, name=F.concat(F.lit("A"), (sz % 25).cast("string")),
+                                                 role=obj(id=role), action=F.lit("R")))),
+            subarea=F.to_variant_object(F.array(obj(id=sz % 5, name=F.concat(F.lit("S"), (sz % 5).cast("string")),
+                                                    action=F.lit("W")))))),
+        ("processFields", F.to_variant_object(F.array(
+            obj(id=k * 10, **{"class": F.lit("c")}, componentName=F.lit("x")),
+            obj(**{"class": F.lit("noid")}),
+            obj(id=jnull()),
+            obj(id=F.lit("dup"), **{"class": F.lit("first")}),
+            obj(id=F.lit("dup"), **{"class": F.lit("second")})))),
+        ("createdBy", obj(user=obj(id=F.concat(F.lit("pt-user-"), (k % 50).cast("string"))))),
+        ("__v", var(k % 3)),
+    )
+    return p.select(k.alias("_seq"), json.alias("json"))
+
+
+_BUILDERS = {"orders": build_order_docs, "users": build_user_docs, "processtypes": build_processtype_docs}
 
 
 def docs(spark: SparkSession, sf_dir: str, collection: str) -> DataFrame:
