@@ -64,7 +64,69 @@ def spec_process_fields(spark, d):
     return _processtypes(spark, d).tables["process_fields"].select("processtype_id", "field_id", "field_order", "class")
 
 
+def _people(spark, d):
+    from ..sources import nest
+    return normalise(CL.PEOPLE, nest.docs(spark, d, "people"), run_ts=run_ts())
+
+
+def spec_people_main(spark, d):
+    m = _people(spark, d).tables["main"]
+    return m.select("people_id", "people_type_id", "person_id_type_id", "person_name", "person_email",
+                    "domicilio_humana", F.to_json("dynamic_fields").alias("dynamic_fields"),
+                    tstr(F.col("created_at")).alias("created_at"), tstr(F.col("updated_at")).alias("updated_at"),
+                    "deleted", "lumbre_version", "created_by_user_id")
+
+
+def spec_people_types(spark, d):
+    return _people(spark, d).tables["people_types"]
+
+
+def spec_person_id_types(spark, d):
+    return _people(spark, d).tables["person_id_types"]
+
+
+def _listbuilder(spark, d):
+    from ..sources import nest
+    return normalise(CL.LISTBUILDER, nest.docs(spark, d, "listbuilder"), run_ts=run_ts())
+
+
+def spec_listbuilder_main(spark, d):
+    m = _listbuilder(spark, d).tables["main"]
+    return m.select("listbuilder_id", "alias", "title_list", F.to_json("gql_variables").alias("gql_variables"),
+                    "mode_table", "mode_map", "lumbre_internal", "mongo_version", "created_by_user_id")
+
+
+def spec_listbuilder_fields(spark, d):
+    return _listbuilder(spark, d).tables["fields"]
+
+
+def spec_search_fields_selected(spark, d):
+    return _listbuilder(spark, d).tables["search_fields_selected"]
+
+
+def spec_search_fields_rejects(spark, d):
+    return _listbuilder(spark, d).rejects["search_fields_selected"].select(
+        "listbuilder_id", "field_name", "field_order", "reject_reason")
+
+
+def spec_button_links(spark, d):
+    return _listbuilder(spark, d).tables["button_links"]
+
+
+def spec_listbuilder_privileges(spark, d):
+    return _listbuilder(spark, d).tables["privileges"]
+
+
 QUERIES = {
+    "spec_people_main": spec_people_main,
+    "spec_people_types_catalog": spec_people_types,
+    "spec_person_id_types": spec_person_id_types,
+    "spec_listbuilder_main": spec_listbuilder_main,
+    "spec_listbuilder_fields": spec_listbuilder_fields,
+    "spec_search_fields_selected": spec_search_fields_selected,
+    "spec_search_fields_rejects": spec_search_fields_rejects,
+    "spec_button_links": spec_button_links,
+    "spec_listbuilder_privileges": spec_listbuilder_privileges,
     "spec_type_prefixes": spec_type_prefixes,
     "spec_people_types": spec_people_types,
     "spec_starter_people_types": spec_starter_people_types,
@@ -83,7 +145,61 @@ _DAY = "make_timestamp(2020, ck % 12 + 1, ck % 28 + 1, ck % 24, ck % 60, 0)"
 _PT = "('T' || lpad(CAST(p_partkey AS VARCHAR), 8, '0'))"
 _SEG = "(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[p_partkey % 5 + 1]"
 
+_SID = "('S' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0'))"
+_LID = "('L' || lpad(CAST(event_id AS VARCHAR), 8, '0'))"
+_SDAY = "make_timestamp(2021, s_suppkey % 12 + 1, s_suppkey % 28 + 1, s_suppkey % 24, 0, 0)"
+
 ORACLE = {
+    "spec_people_main": f"""SELECT {_SID} AS people_id,
+ CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'PT' || (s_nationkey % 4) END AS people_type_id,
+ CASE WHEN s_suppkey % 7 <> 0 THEN CASE WHEN s_suppkey % 2 = 0 THEN 'DNI' ELSE 'CUIT' END END AS person_id_type_id,
+ s_name AS person_name, CASE WHEN s_suppkey % 3 <> 0 THEN 's' || s_suppkey || '@x.org' END AS person_email,
+ CASE WHEN s_suppkey % 2 = 0 THEN 'Street ' || s_suppkey END AS domicilio_humana,
+ '{{"_4":"v' || s_suppkey || '"' || CASE WHEN s_suppkey % 3 = 0 THEN ',"_6":{{"a":' || s_suppkey || '}}' ELSE '' END
+   || '}}' AS dynamic_fields,
+ strftime(CASE WHEN s_suppkey % 2 = 0 THEN {_SDAY} ELSE TIMESTAMP '2030-01-01 00:00:00' END, {F_TS}) AS created_at,
+ strftime(CASE WHEN s_suppkey % 4 = 0 THEN {_SDAY} + INTERVAL 1 HOUR
+               WHEN s_suppkey % 2 = 0 THEN {_SDAY} ELSE TIMESTAMP '2030-01-01 00:00:00' END, {F_TS}) AS updated_at,
+ s_suppkey % 6 = 0 AS deleted, CAST(s_suppkey % 3 AS INTEGER) AS lumbre_version,
+ 'su' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS created_by_user_id
+FROM supplier""",
+
+    "spec_people_types_catalog": """SELECT id, name, alias FROM (
+ SELECT 'PT' || (s_nationkey % 4) AS id, 'Type' || (s_nationkey % 4) || '-' || (s_suppkey % 3) AS name,
+        'alias' || (s_nationkey % 4) AS alias, row_number() OVER (PARTITION BY s_nationkey % 4 ORDER BY s_suppkey DESC) AS rn
+ FROM supplier WHERE s_suppkey % 5 <> 0) WHERE rn = 1""",
+
+    "spec_person_id_types": """SELECT id, name FROM (
+ SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'DNI' ELSE 'CUIT' END AS id,
+        'Doc' || (s_suppkey % 2) || '-' || (s_suppkey % 3) AS name,
+        row_number() OVER (PARTITION BY s_suppkey % 2 ORDER BY s_suppkey DESC) AS rn
+ FROM supplier WHERE s_suppkey % 7 <> 0) WHERE rn = 1""",
+
+    "spec_listbuilder_main": f"""SELECT {_LID} AS listbuilder_id, event_type AS alias, 'List ' || event_id AS title_list,
+ CASE WHEN event_id % 5 <> 0 THEN replace(props, ' ', '') END AS gql_variables,
+ event_id % 3 <> 0 AS mode_table, event_id % 3 = 0 AS mode_map, event_id % 4 = 0 AS lumbre_internal,
+ CAST(event_id % 2 AS INTEGER) AS mongo_version, {_uid('user_id')} AS created_by_user_id
+FROM events""",
+
+    "spec_listbuilder_fields": f"""SELECT {_LID} AS listbuilder_id, 'f1' AS field_key, 'L1' AS field_label, TRUE AS sortable,
+ 0 AS field_order FROM events
+UNION ALL SELECT {_LID}, 'f2', 'L2', FALSE, 2 FROM events
+UNION ALL SELECT {_LID}, 'f1', 'dup', FALSE, 3 FROM events WHERE event_id % 2 = 0""",
+
+    "spec_search_fields_selected": f"""SELECT {_LID} AS listbuilder_id, 'a' AS field_name, 0 AS field_order FROM events
+UNION ALL SELECT {_LID}, 'b', 2 FROM events""",
+
+    "spec_search_fields_rejects": f"""SELECT {_LID} AS listbuilder_id, 'a' AS field_name, 3 AS field_order,
+ 'duplicate_key' AS reject_reason FROM events""",
+
+    "spec_button_links": f"""SELECT {_LID} AS listbuilder_id, 'go' AS button_value, '/x' AS button_to,
+ CAST(NULL AS VARCHAR) AS button_class, CAST(NULL AS VARCHAR) AS endpoint_to_validate_visibility,
+ FALSE AS show_button, FALSE AS disabled, 0 AS button_order FROM events
+UNION ALL SELECT {_LID}, 'back', NULL, NULL, NULL, TRUE, FALSE, 1 FROM events""",
+
+    "spec_listbuilder_privileges": f"""SELECT {_LID} AS listbuilder_id, CAST(user_id AS VARCHAR) AS privilege_id,
+ 'priv' || user_id AS privilege_name, 'C' || user_id AS privilege_code FROM events""",
+
     "spec_type_prefixes": """SELECT id, name FROM (
  SELECT p_brand AS id, p_brand || '-' || (p_partkey % 3) AS name,
         row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey // 2000, p_partkey DESC) AS rn

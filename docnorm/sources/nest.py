@@ -260,7 +260,72 @@ def build_processtype_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(k.alias("_seq"), json.alias("json"))
 
 
-_BUILDERS = {"orders": build_order_docs, "users": build_user_docs, "processtypes": build_processtype_docs}
+def build_people_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(``_seq``, ``json``) — one people-like document per ``supplier`` row (no grouping)."""
+    sp = table(spark, sf_dir, "supplier")
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    day = F.make_timestamp_ntz(F.lit(2021), (k % 12 + 1).cast("int"), (k % 28 + 1).cast("int"), (k % 24).cast("int"),
+                               F.lit(0), F.lit(0))
+    json = _doc(
+        ("_id", obj(**{"$oid": F.concat(F.lit("S"), F.lpad(k.cast("string"), 8, "0"))})),
+        ("peopleTypeId", var(F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("PT"), (n % 4).cast("string"))))),
+        ("peopleTypeName", var(F.concat(F.lit("Type"), (n % 4).cast("string"), F.lit("-"), (k % 3).cast("string")))),
+        ("peopleTypeAlias", var(F.concat(F.lit("alias"), (n % 4).cast("string")))),
+        ("personIdType", F.when(k % 7 == 0, var(F.lit("text"))).otherwise(obj(
+            id=F.when(k % 2 == 0, F.lit("DNI")).otherwise(F.lit("CUIT")),
+            name=F.concat(F.lit("Doc"), (k % 2).cast("string"), F.lit("-"), (k % 3).cast("string"))))),
+        ("personName", var(F.col("s_name"))),
+        ("personEmail", F.when(k % 3 != 0, var(F.concat(F.lit("s"), k.cast("string"), F.lit("@x.org"))))),
+        ("personId", var(k.cast("string"))),
+        ("domicilio_0", F.when(k % 2 == 0, var(F.concat(F.lit("Street "), k.cast("string"))))),
+        ("_3", F.when(k % 4 == 0, var(F.lit(0)))),
+        ("_4", var(F.concat(F.lit("v"), k.cast("string")))),
+        ("_5", F.to_variant_object(F.create_map().cast("map<string,string>"))),
+        ("_6", F.when(k % 3 == 0, obj(a=k))),
+        ("_8", var(F.lit("ignored"))),
+        ("peopleContent", var(F.col("s_name"))),
+        ("customerId", var(n.cast("string"))),
+        ("createdAt", F.when(k % 2 == 0, obj(**{"$date": F.date_format(day, Z_MS)}))),
+        ("updatedAt", F.when(k % 4 == 0, var(F.date_format(day + F.expr("INTERVAL 1 HOUR"), Z_S)))),
+        ("deleted", F.when(k % 6 == 0, var(F.lit(True)))),
+        ("lumbreVersion", var(k % 3)),
+        ("createdBy", obj(user=obj(id=F.concat(F.lit("su"), F.lpad(k.cast("string"), 5, "0")),
+                                   firstname=F.concat(F.lit("S"), k.cast("string"))))),
+        ("__v", var(k % 2)),
+    )
+    return sp.select(k.alias("_seq"), json.alias("json"))
+
+
+def build_listbuilder_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(``_seq``, ``json``) — one listbuilder-like document per ``events`` row (no grouping)."""
+    ev = table(spark, sf_dir, "events")
+    e, u = F.col("event_id"), F.col("user_id")
+    fields = F.array(obj(key=F.lit("f1"), label=F.lit("L1"), sortable=F.lit(True)), var(F.lit(7)),
+                     obj(key=F.lit("f2"), label=F.lit("L2")))
+    fields = F.when(e % 2 == 0, F.concat(fields, F.array(obj(key=F.lit("f1"), label=F.lit("dup"))))).otherwise(fields)
+    json = _doc(
+        ("_id", obj(**{"$oid": F.concat(F.lit("L"), F.lpad(e.cast("string"), 8, "0"))})),
+        ("alias", var(F.col("event_type"))),
+        ("titleList", var(F.concat(F.lit("List "), e.cast("string")))),
+        ("gqlVariables", F.when(e % 5 == 0, F.to_variant_object(F.create_map().cast("map<string,string>")))
+         .otherwise(F.parse_json(F.col("props")))),
+        ("mode", F.when(e % 3 == 0, obj(table=F.lit(False), map=F.lit(True))).when(e % 3 == 2, var(F.lit("x")))),
+        ("lumbreInternal", F.when(e % 4 == 0, var(F.lit(True)))),
+        ("fields", F.to_variant_object(fields)),
+        ("searchOnFieldsSelected", F.to_variant_object(F.array(var(F.lit("a")), var(F.lit(5)), var(F.lit("b")),
+                                                               var(F.lit("a"))))),
+        ("buttonLinks", F.to_variant_object(F.array(obj(value=F.lit("go"), to=F.lit("/x"), show=F.lit(False)),
+                                                    obj(value=F.lit("back"))))),
+        ("privileges", F.to_variant_object(F.array(obj(id=u, name=F.concat(F.lit("priv"), u.cast("string")),
+                                                       codigo_privilegio=F.concat(F.lit("C"), u.cast("string")))))),
+        ("createdBy", obj(user=obj(id=uid(u)))),
+        ("__v", var(e % 2)),
+    )
+    return ev.select(e.alias("_seq"), json.alias("json"))
+
+
+_BUILDERS = {"orders": build_order_docs, "users": build_user_docs, "processtypes": build_processtype_docs,
+             "people": build_people_docs, "listbuilder": build_listbuilder_docs}
 
 
 def docs(spark: SparkSession, sf_dir: str, collection: str) -> DataFrame:
