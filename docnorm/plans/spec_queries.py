@@ -117,7 +117,27 @@ def spec_listbuilder_privileges(spark, d):
     return _listbuilder(spark, d).tables["privileges"]
 
 
+def _documents(spark, d):
+    return normalise(CL.DOCUMENTS, orders_docs(spark, d), users=users_main_ids(spark, d), run_ts=run_ts())
+
+
+def spec_documents_recipients(spark, d):
+    return _documents(spark, d).tables["recipients"]
+
+
+def spec_documents_steps(spark, d):
+    return _documents(spark, d).tables["steps"]
+
+
+def spec_next_workflow(spark, d):
+    return _documents(spark, d).tables["next_workflow"].select(
+        "document_id", "workflow_type", "user_id", "role_id", "role_name", "area_id", "area_name", "firstname")
+
+
 QUERIES = {
+    "spec_documents_recipients": spec_documents_recipients,
+    "spec_documents_steps": spec_documents_steps,
+    "spec_next_workflow": spec_next_workflow,
     "spec_people_main": spec_people_main,
     "spec_people_types_catalog": spec_people_types,
     "spec_person_id_types": spec_person_id_types,
@@ -150,6 +170,21 @@ _LID = "('L' || lpad(CAST(event_id AS VARCHAR), 8, '0'))"
 _SDAY = "make_timestamp(2021, s_suppkey % 12 + 1, s_suppkey % 28 + 1, s_suppkey % 24, 0, 0)"
 
 ORACLE = {
+    "spec_documents_recipients": _w(OD) + f"""SELECT DISTINCT od.pid AS document_id, 'user' AS entity_type,
+ {_uid('l.l_partkey')} AS entity_id, 'P' || l.l_partkey AS entity_name FROM lineitem l JOIN od ON l.l_orderkey = od.k
+UNION ALL SELECT pid, 'area', CAST(c_nationkey AS VARCHAR), n_name FROM od WHERE c_nationkey <> 0
+UNION ALL SELECT pid, 'subarea', CAST(n_regionkey AS VARCHAR), r_name FROM od WHERE k % 2 = 1 AND n_regionkey <> 0""",
+
+    "spec_documents_steps": _w(OD, LI) + """SELECT od.pid AS document_id,
+ CAST(CASE WHEN od.k % 4 = 3 THEN 0 ELSE od.k % 4 END AS INTEGER) AS position, CAST(li.pos AS INTEGER) AS step_order,
+ 'T' || li.l_linenumber AS title, li.l_returnflag AS description, CAST(NULL AS VARCHAR) AS avatar
+FROM li JOIN od ON li.l_orderkey = od.k""",
+
+    "spec_next_workflow": _w(OD) + """SELECT pid AS document_id, 'signer' AS workflow_type, U AS user_id,
+ c_mktsegment AS role_id, c_name AS role_name, CAST(c_nationkey AS VARCHAR) AS area_id, n_name AS area_name,
+ CAST(NULL AS VARCHAR) AS firstname FROM od WHERE k % 2 = 0
+UNION ALL SELECT pid, 'participant', U, NULL, NULL, NULL, NULL, NULL FROM od WHERE k % 3 = 0""",
+
     "spec_people_main": f"""SELECT {_SID} AS people_id,
  CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'PT' || (s_nationkey % 4) END AS people_type_id,
  CASE WHEN s_suppkey % 7 <> 0 THEN CASE WHEN s_suppkey % 2 = 0 THEN 'DNI' ELSE 'CUIT' END END AS person_id_type_id,
