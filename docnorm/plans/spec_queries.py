@@ -134,7 +134,34 @@ def spec_next_workflow(spark, d):
         "document_id", "workflow_type", "user_id", "role_id", "role_name", "area_id", "area_name", "firstname")
 
 
+def _formbuilder(spark, d):
+    from ..sources import nest
+    return normalise(CL.FORMBUILDER, nest.docs(spark, d, "formbuilder"), run_ts=run_ts())
+
+
+def spec_form_elements(spark, d):
+    e = _formbuilder(spark, d).tables["elements"]
+    return e.select("formbuilder_id", e["element_id"].cast("double").alias("element_id"), "component_name", "class_name",
+                    F.to_json("component_props").alias("component_props"), "is_hidden_on_pdf", "has_label_on_pdf",
+                    "order_index")
+
+
+def spec_form_allow_create(spark, d):
+    r = _formbuilder(spark, d)
+    acc = r.tables["allow_create"].withColumn("reject_reason", F.lit(None).cast("string"))
+    return acc.unionByName(r.rejects["allow_create"].select(*acc.columns))
+
+
+def spec_form_main(spark, d):
+    m = _formbuilder(spark, d).tables["main"]
+    return m.select("formbuilder_id", "alias", "page_title_data", F.to_json("validations").alias("validations"),
+                    tstr(F.col("created")).alias("created"), "mongo_version", "created_by_user_id")
+
+
 QUERIES = {
+    "spec_form_main": spec_form_main,
+    "spec_form_elements": spec_form_elements,
+    "spec_form_allow_create": spec_form_allow_create,
     "spec_documents_recipients": spec_documents_recipients,
     "spec_documents_steps": spec_documents_steps,
     "spec_next_workflow": spec_next_workflow,
@@ -169,7 +196,24 @@ _SID = "('S' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0'))"
 _LID = "('L' || lpad(CAST(event_id AS VARCHAR), 8, '0'))"
 _SDAY = "make_timestamp(2021, s_suppkey % 12 + 1, s_suppkey % 28 + 1, s_suppkey % 24, 0, 0)"
 
+_FID = "('F' || lpad(CAST(c_custkey AS VARCHAR), 8, '0'))"
+
 ORACLE = {
+    "spec_form_main": f"""SELECT {_FID} AS formbuilder_id, c_name AS alias, 'Form ' || c_custkey AS page_title_data,
+ CASE WHEN c_custkey % 4 = 0 THEN '{{"required":true}}' END AS validations,
+ '2020-01-02 03:04:05.678000' AS created, CAST(c_custkey % 4 AS INTEGER) AS mongo_version,
+ {_uid('c_custkey')} AS created_by_user_id FROM customer""",
+
+    "spec_form_elements": f"""SELECT {_FID} AS formbuilder_id, CAST(c_custkey AS DOUBLE) AS element_id,
+ c_mktsegment AS component_name, 'c' AS class_name,
+ CASE WHEN c_custkey % 2 = 0 THEN '{{"a":' || c_custkey || '}}' END AS component_props,
+ c_custkey % 3 = 0 AS is_hidden_on_pdf, CAST(NULL AS BOOLEAN) AS has_label_on_pdf, 0 AS order_index FROM customer
+UNION ALL SELECT {_FID}, c_custkey * 1.5, 'second', NULL, NULL, NULL, TRUE, 2 FROM customer""",
+
+    "spec_form_allow_create": f"""SELECT {_FID} AS formbuilder_id, CAST(c_nationkey AS VARCHAR) AS privilege_id,
+ 'N' || c_nationkey AS name, 'X' AS codigo_privilegio, CAST(NULL AS VARCHAR) AS reject_reason FROM customer
+UNION ALL SELECT {_FID}, CAST(c_nationkey AS VARCHAR), 'N' || c_nationkey, 'X', 'duplicate_key' FROM customer""",
+
     "spec_documents_recipients": _w(OD) + f"""SELECT DISTINCT od.pid AS document_id, 'user' AS entity_type,
  {_uid('l.l_partkey')} AS entity_id, 'P' || l.l_partkey AS entity_name FROM lineitem l JOIN od ON l.l_orderkey = od.k
 UNION ALL SELECT pid, 'area', CAST(c_nationkey AS VARCHAR), n_name FROM od WHERE c_nationkey <> 0

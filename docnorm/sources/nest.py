@@ -324,7 +324,35 @@ def build_listbuilder_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(e.alias("_seq"), json.alias("json"))
 
 
-_BUILDERS = {"orders": build_order_docs, "users": build_user_docs, "processtypes": build_processtype_docs,
+def build_formbuilder_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(``_seq``, ``json``) — one formbuilder-like document per ``customer`` row (no grouping)."""
+    c = table(spark, sf_dir, "customer")
+    ck, nk = F.col("c_custkey"), F.col("c_nationkey")
+    elements = F.array(
+        obj(id=ck, componentName=F.col("c_mktsegment"), **{"class": F.lit("c")},
+            componentProps=F.when(ck % 2 == 0, obj(a=ck)).otherwise(F.to_variant_object(
+                F.create_map().cast("map<string,string>"))),
+            isHiddenOnPdf=ck % 3 == 0),
+        var(F.lit("not-an-element")),
+        obj(id=ck * 1.5, componentName=F.lit("second"), hasLabelOnPdf=F.lit(True)))
+    priv = obj(id=nk, name=F.concat(F.lit("N"), nk.cast("string")), codigo_privilegio=F.lit("X"))
+    json = _doc(
+        ("_id", obj(**{"$oid": F.concat(F.lit("F"), F.lpad(ck.cast("string"), 8, "0"))})),
+        ("alias", var(F.col("c_name"))),
+        ("pageTitleData", var(F.concat(F.lit("Form "), ck.cast("string")))),
+        ("validations", F.when(ck % 4 == 0, obj(required=F.lit(True))).otherwise(
+            F.to_variant_object(F.array().cast("array<int>")))),
+        ("created", obj(**{"$date": F.lit("2020-01-02T03:04:05.678Z")})),
+        ("formElements", F.to_variant_object(elements)),
+        ("allowAccess", F.to_variant_object(F.array(priv))),
+        ("allowCreate", F.to_variant_object(F.array(priv, priv))),
+        ("createdBy", obj(user=obj(id=uid(ck)))),
+        ("__v", var(ck % 4)),
+    )
+    return c.select(ck.alias("_seq"), json.alias("json"))
+
+
+_BUILDERS = {"formbuilder": build_formbuilder_docs, "orders": build_order_docs, "users": build_user_docs, "processtypes": build_processtype_docs,
              "people": build_people_docs, "listbuilder": build_listbuilder_docs}
 
 
