@@ -77,7 +77,7 @@ def spec_people_main(spark, d):
                     "deleted", "lumbre_version", "created_by_user_id")
 
 
-def spec_people_types(spark, d):
+def spec_people_types_catalog(spark, d):
     return _people(spark, d).tables["people_types"]
 
 
@@ -166,7 +166,7 @@ QUERIES = {
     "spec_documents_steps": spec_documents_steps,
     "spec_next_workflow": spec_next_workflow,
     "spec_people_main": spec_people_main,
-    "spec_people_types_catalog": spec_people_types,
+    "spec_people_types_catalog": spec_people_types_catalog,
     "spec_person_id_types": spec_person_id_types,
     "spec_listbuilder_main": spec_listbuilder_main,
     "spec_listbuilder_fields": spec_listbuilder_fields,
