@@ -312,7 +312,7 @@ def json_text(v: Column) -> Column:
 
 # --------------------------------------------------------------------------- G21
 _JSON_KEY = r'"(?:[^"\\]|\\.)*":'
-_JSON_BLANK_STR = r'"\s*"'
+_JSON_BLANK_STR = r'"(?:\s|\\[tnrf]|\\u000[bB]|\\u001[c-fC-F])*"'
 _JSON_STR = r'"(?:[^"\\]|\\.)*"'
 
 
@@ -322,8 +322,10 @@ def has_data(v: Column) -> Column:
     -> true. Works on the JSON text, so nesting depth is unbounded."""
     j = F.to_json(v)
     no_keys = F.regexp_replace(j, _JSON_KEY, "")
-    no_blank = F.regexp_replace(no_keys, _JSON_BLANK_STR, "")
-    strs = F.regexp_replace(no_blank, _JSON_STR, "S")
+    # every string becomes one letter first (B blank, S text) so brackets inside text vanish;
+    # blank text is whitespace as raw characters or as the JSON escapes to_json writes for it
+    blanks = F.regexp_replace(no_keys, "(?U)" + _JSON_BLANK_STR, "B")
+    strs = F.regexp_replace(blanks, _JSON_STR, "S")
     nonempty_array = strs.rlike(r"\[[^\]]")
-    rest = F.regexp_replace(strs, r"null|\[\]|[{},]", "")
+    rest = F.regexp_replace(strs, r"null|B|\[\]|[{},]", "")
     return F.coalesce(F.when(v.isNull(), F.lit(False)).otherwise(nonempty_array | (F.length(rest) > 0)), F.lit(False))
