@@ -25,24 +25,41 @@ def key_set(parent: DataFrame, col: str, alias: str | None = None, distinct: boo
     return out.distinct() if distinct else out
 
 
-def keep_if_parent(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
+def _join_parent(child: DataFrame, col: str, keys: DataFrame, how: str, salt: int) -> DataFrame:
+    """Join child rows to a parent key set (column ``_pk``).
+
+    ``salt`` > 1 spreads every key over ``salt`` tasks: the child side gets a salt from a
+    hash of its row (deterministic, so a recomputed task gives the same rows) and the key
+    set is replicated once per salt value with a generator (one row per key and salt).
+    Use it when one key may hold a large share of the child rows and AQE skew handling is
+    off; by default AQE splits skewed partitions itself."""
+    if salt <= 1:
+        return child.join(keys, child[col] == keys["_pk"], how)
+    salted = child.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in child.columns]), F.lit(salt)))
+    rep = keys.select("_pk", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_psalt"))
+    cond = (salted[col] == rep["_pk"]) & (salted["_salt"] == rep["_psalt"])
+    out = salted.join(rep, cond, how)
+    return out.drop("_salt", "_psalt")
+
+
+def keep_if_parent(child: DataFrame, col: str, parent: DataFrame, parent_col: str, salt: int = 1) -> DataFrame:
     """Child rows whose ``col`` exists in the parent (left semi join; NULL never matches)."""
-    keys = key_set(parent, parent_col, "_pk")
-    return child.join(keys, child[col] == keys["_pk"], "left_semi")
+    keys = key_set(parent, parent_col, "_pk", distinct=salt > 1)
+    return _join_parent(child, col, keys, "left_semi", salt)
 
 
-def null_if_orphan(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
+def null_if_orphan(child: DataFrame, col: str, parent: DataFrame, parent_col: str, salt: int = 1) -> DataFrame:
     """Keep every child row; set ``col`` to NULL when it has no parent."""
     keys = key_set(parent, parent_col, "_pk", distinct=True)
-    joined = child.join(keys, child[col] == keys["_pk"], "left")
+    joined = _join_parent(child, col, keys, "left", salt)
     return joined.select(*[F.when(F.col("_pk").isNotNull(), F.col(c)).alias(c) if c == col else F.col(c)
                            for c in child.columns])
 
 
-def orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
+def orphans(child: DataFrame, col: str, parent: DataFrame, parent_col: str, salt: int = 1) -> DataFrame:
     """Child rows with a non-NULL ``col`` that has no parent (left anti join)."""
-    keys = key_set(parent, parent_col, "_pk")
-    return child.where(F.col(col).isNotNull()).join(keys, child[col] == keys["_pk"], "left_anti")
+    keys = key_set(parent, parent_col, "_pk", distinct=salt > 1)
+    return _join_parent(child.where(F.col(col).isNotNull()), col, keys, "left_anti", salt)
 
 
 # --------------------------------------------------------------------------- R1–R3

@@ -83,7 +83,7 @@ def ghosts_as_users(ghosts: DataFrame) -> DataFrame:
 
 
 def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: Store, run_ts: Column | None = None,
-                    refresh: bool = True, check_parents: bool = True) -> DataFrame:
+                    refresh: bool = True, check_parents: bool = True, salt: int = 1) -> DataFrame:
     """Load one collection. Returns (table, rows, rejects) for every written table.
 
     refresh=True   U7: main and its child tables are replaced; catalogs are merged (stale
@@ -107,7 +107,7 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
     users_ids = users_main.select("id") if users_main is not None else (
         store.empty(CL.USERS.main).select("id") if coll.ghosts else None)
     rows_path = os.path.join(ensure_checkpoint_dir(spark), "docnorm-rows", f"{coll.name}-{uuid.uuid4().hex}")
-    result = normalise(coll, docs, users=users_ids, parents=parents, run_ts=run_ts, rows_path=rows_path)
+    result = normalise(coll, docs, users=users_ids, parents=parents, run_ts=run_ts, rows_path=rows_path, salt=salt)
     summary: list[str] = []
     if result.ghosts is not None:
         result.ghosts = cut_lineage(result.ghosts)

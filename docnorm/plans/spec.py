@@ -368,13 +368,14 @@ def _rows_from_all(t: Table, allrows: DataFrame, run_ts: Column | None) -> tuple
 
 def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
               parents: dict[str, DataFrame] | None = None, run_ts: Column | None = None,
-              batch_size: int = BATCH_SIZE, rows_path: str | None = None) -> Normalised:
+              batch_size: int = BATCH_SIZE, rows_path: str | None = None, salt: int = 1) -> Normalised:
     """All tables of a collection as lazy DataFrames (after key policies and parent rules).
 
     ``docs``     (``_seq``, ``doc``) — the source collection
     ``users``    users.main (``id``) for ghost parents and audit ids, when the spec has ghosts
     ``parents``  other tables named by parent rules, keyed "<schema>.<table>"
     ``run_ts``   load timestamp (ghost rows, S4 defaults); fixed by the caller for repeatable runs
+    ``salt``     > 1 salts the parent-rule joins (hot parent keys spread over ``salt`` tasks)
     ``rows_path`` when given, all child rows are generated in one pass over the documents and
                  written there partitioned by table (eager); each child table reads its part.
                  Without it every child table is its own lazy scan of ``docs``.
@@ -409,9 +410,9 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
             if p is None:
                 continue
             if rule.action == "keep":
-                df = R.keep_if_parent(df, rule.column, p, rule.parent_column)
+                df = R.keep_if_parent(df, rule.column, p, rule.parent_column, salt=salt)
             else:
-                df = R.null_if_orphan(df, rule.column, p, rule.parent_column)
+                df = R.null_if_orphan(df, rule.column, p, rule.parent_column, salt=salt)
         df, rej = apply_policy(df, t, batch_size)
         out[t.name] = df.select(*[c.name for c in t.cols])
         if rej is not None:

@@ -68,3 +68,15 @@ def test_ghost_plan_is_compact(docs, spark):
     d = docs({"createdBy": {"user": {"id": "ghost01"}}})
     plan = R.ghost_users(d, users(spark))._jdf.queryExecution().optimizedPlan().toString()
     assert len(plan) < 60000
+
+
+def test_salted_joins_equal_plain(spark):
+    child = spark.range(2000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 50 AS STRING) END AS k")
+    parent = spark.createDataFrame([("hot",)] + [(str(i),) for i in range(0, 50, 2)], "id string")
+    for salt in (1, 7):
+        assert sorted(R.keep_if_parent(child, "k", parent, "id", salt=salt).collect()) == \
+            sorted(R.keep_if_parent(child, "k", parent, "id").collect())
+        assert sorted(R.orphans(child, "k", parent, "id", salt=salt).collect()) == \
+            sorted(R.orphans(child, "k", parent, "id").collect())
+        assert sorted(R.null_if_orphan(child, "k", parent, "id", salt=salt).collect()) == \
+            sorted(R.null_if_orphan(child, "k", parent, "id").collect())
