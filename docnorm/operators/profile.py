@@ -117,16 +117,20 @@ def array_distinct_ids(docs: DataFrame, id_field: str = "id") -> DataFrame:
     return it.where(F.col("item_id").isNotNull()).groupBy(KEY).agg(F.countDistinct("item_id").alias("distinct_ids"))
 
 
-def object_profile(docs: DataFrame, top: int = 10) -> DataFrame:
-    """Per object field: documents with it and its most frequent keys (top ``top``)."""
+def object_profile(docs: DataFrame, top: int = 10, with_example: bool = False, width: int = 100) -> DataFrame:
+    """Per object field: documents with it, its most frequent keys (top ``top``) and,
+    with ``with_example``, the JSON of the first such object (cut to ``width``)."""
     e = entries(docs).where(F.col("kind") == "object")
-    present = e.groupBy(KEY).agg(F.count(F.lit(1)).alias("docs_with_object"))
+    aggs = [F.count(F.lit(1)).alias("docs_with_object")]
+    if with_example:
+        aggs.append(F.min_by(F.substring(F.to_json(F.col("value")), 1, width), F.col(SEQ)).alias("example"))
+    present = e.groupBy(KEY).agg(*aggs)
     keys = e.select(KEY, F.explode(F.map_keys(V.as_object(F.col("value")))).alias("sub_key"))
     c = keys.groupBy(KEY, "sub_key").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy(KEY).orderBy(F.col("n").desc(), F.col("sub_key"))
     topk = c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
-    return topk.join(present, KEY).select(KEY, "docs_with_object", "sub_key", "n",
-                                          F.col("rank").cast("bigint").alias("rank"))
+    cols = [KEY, "docs_with_object", "sub_key", "n", F.col("rank").cast("bigint").alias("rank")]
+    return topk.join(present, KEY).select(*cols, *(["example"] if with_example else []))
 
 
 # --------------------------------------------------------------------------- G9–G12
@@ -173,6 +177,13 @@ def fk_candidates(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- G13–G16
+def snapshot_keys(docs: DataFrame, fields: Sequence[str] = ("createdBy", "updatedBy")) -> DataFrame:
+    """G13 key frequency: how often each key appears inside the audit snapshot objects."""
+    arr = F.array(*[F.struct(F.lit(f).alias(KEY), V.at(DOC, f).alias("s")) for f in fields])
+    x = docs.select(F.inline(arr)).select(KEY, F.explode(F.map_keys(V.as_object(F.col("s")))).alias("sub_key"))
+    return x.groupBy(KEY, "sub_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 def snapshot_profile(docs: DataFrame, fields: Sequence[str] = ("createdBy", "updatedBy"),
                      user_key: str = "user", id_keys: Sequence[str] = ("id", "_id")) -> DataFrame:
     """Audit snapshots: present (object), with a user, missing, distinct user ids."""

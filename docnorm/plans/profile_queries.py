@@ -67,6 +67,10 @@ def snapshot_profile(spark, d):
     return G.snapshot_profile(orders_docs(spark, d))
 
 
+def snapshot_keys(spark, d):
+    return G.snapshot_keys(orders_docs(spark, d))
+
+
 def membership_profile(spark, d):
     return G.membership_profile(orders_docs(spark, d))
 
@@ -295,6 +299,10 @@ UNION ALL SELECT 'updatedBy', count(*) FILTER (WHERE k % 4 IN (1, 3)), count(*)
  count(*) FILTER (WHERE k % 4 NOT IN (1, 3)), count(DISTINCT CASE WHEN k % 4 IN (1, 3) THEN {_uid('k // 4')} END)
 FROM od""",
 
+    "snapshot_keys": _w(OD) + """SELECT 'createdBy' AS field, 'user' AS sub_key, count(*) AS n FROM od WHERE ck % 5 <> 4
+UNION ALL SELECT 'createdBy', 'userAgent', count(*) FROM od WHERE ck % 5 = 0
+UNION ALL SELECT 'updatedBy', 'user', count(*) FROM od WHERE k % 4 IN (1, 3)""",
+
     "membership_profile": _w(OD) + f""", s AS (SELECT k, {NL} + CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS n FROM od),
 m AS (SELECT {_uid('l.l_partkey')} AS m FROM {LJ} UNION ALL SELECT '' FROM od WHERE k % 5 = 0)
 SELECT count(*) FILTER (WHERE n > 0) AS groups_with_members, sum(n)::BIGINT AS memberships,
