@@ -107,10 +107,9 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
     users_ids = users_main.select("id") if users_main is not None else (
         store.empty(CL.USERS.main).select("id") if coll.ghosts else None)
     rows_path = os.path.join(ensure_checkpoint_dir(spark), "docnorm-rows", f"{coll.name}-{uuid.uuid4().hex}")
-    result = normalise(coll, docs, users=users_ids, parents=parents, run_ts=run_ts, rows_path=rows_path, salt=salt)
+    result = normalise(coll, docs, users=users_ids, parents=parents, run_ts=run_ts, rows_path=rows_path, salt=salt,
+                       materialize=cut_lineage)
     summary: list[str] = []
-    if result.ghosts is not None:
-        result.ghosts = cut_lineage(result.ghosts)
     main_keys = result.tables["main"].select(F.col(coll.main.cols[0].name))
     for t in coll.tables:
         incoming = result.tables[t.name]

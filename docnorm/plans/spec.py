@@ -368,7 +368,8 @@ def _rows_from_all(t: Table, allrows: DataFrame, run_ts: Column | None) -> tuple
 
 def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
               parents: dict[str, DataFrame] | None = None, run_ts: Column | None = None,
-              batch_size: int = BATCH_SIZE, rows_path: str | None = None, salt: int = 1) -> Normalised:
+              batch_size: int = BATCH_SIZE, rows_path: str | None = None, salt: int = 1,
+              materialize: Callable[[DataFrame], DataFrame] | None = None) -> Normalised:
     """All tables of a collection as lazy DataFrames (after key policies and parent rules).
 
     ``docs``     (``_seq``, ``doc``) — the source collection
@@ -376,6 +377,8 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
     ``parents``  other tables named by parent rules, keyed "<schema>.<table>"
     ``run_ts``   load timestamp (ghost rows, S4 defaults); fixed by the caller for repeatable runs
     ``salt``     > 1 salts the parent-rule joins (hot parent keys spread over ``salt`` tasks)
+    ``materialize`` applied to the ghost rows before they are used (e.g. a checkpoint), so
+                 parent rules and the users merge read them instead of recomputing them
     ``rows_path`` when given, all child rows are generated in one pass over the documents and
                  written there partitioned by table (eager); each child table reads its part.
                  Without it every child table is its own lazy scan of ``docs``.
@@ -387,6 +390,8 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
     ghosts = None
     if coll.ghosts and users is not None:
         ghosts = R.ghost_users(docs, users, flavour=coll.ghosts, run_ts=run_ts)
+        if materialize is not None:
+            ghosts = materialize(ghosts)
         parents["lml_users.main"] = R.valid_parents(users, ghosts)
     allrows = None
     if rows_path is not None and any(t.rows.kind != "main" and not _needs_doc(t) for t in coll.tables):
