@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tools.plan_lint import FORBIDDEN
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -33,6 +34,9 @@ def test_query_matches_oracle(spark, con, name):
     assert cols == sorted(rel.columns)
     want = Counter(tuple(norm(r[i]) for i in idx) for r in rel.fetchall())
     assert got == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for op in FORBIDDEN:
+        assert op not in plan, (name, op)
 
 
 def test_every_query_has_an_oracle():
