@@ -385,3 +385,27 @@ def schema_recommendation(docs: DataFrame, total: int | None = None, jsonb_keys:
            .otherwise(F.lit("main")))
     return x.select(KEY, rec.alias("recommendation"),
                     (is_scalar & (F.col("present") == F.col("total"))).alias("not_null"), "present", "types")
+
+
+def report(docs: DataFrame, total: int | None = None) -> dict[str, DataFrame]:
+    """The generic part of a collection analysis (what the per-collection analyzer scripts
+    print), as DataFrames keyed by section; ``documents.write_report`` stores each one."""
+    total = total_docs(docs) if total is None else total
+    return {
+        "field_coverage": field_coverage(docs, total),
+        "field_examples": field_examples(docs),
+        "array_profile": array_profile(docs),
+        "array_item_keys": array_item_keys(docs),
+        "array_distinct_ids": array_distinct_ids(docs),
+        "object_profile": object_profile(docs, with_example=True),
+        "structure_variants": structure_variants(docs),
+        "snapshot_profile": snapshot_profile(docs),
+        "snapshot_keys": snapshot_keys(docs),
+        "dynamic_detect": dynamic_detect(docs),
+        "dynamic_patterns": dynamic_patterns(docs),
+        "underscore_fields": underscore_fields(docs),
+        "timestamp_fields": timestamp_fields(docs, total),
+        "text_reference_probe": text_reference_probe(docs),
+        "position_sample": position_sample(docs, total),
+        "schema_recommendation": schema_recommendation(docs, total),
+    }

@@ -53,3 +53,22 @@ def cut_lineage(df, eager: bool = True):
 def table_path(spark: SparkSession, *parts: str) -> str:
     """Path for an intermediate table inside the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of documents on ``total_cores`` cores.
+
+    Shuffle partitions are sized from the data (~256 MB each, never fewer than 2x cores);
+    AQE coalesces small ones and splits skewed ones at run time; file splits stay at
+    128 MB so a scan task's VARIANT batch fits comfortably in executor memory.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

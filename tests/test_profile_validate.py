@@ -40,3 +40,12 @@ def test_validations(spark):
     full = VAL.with_defaults(spark.createDataFrame([("g",)], "id string"), [("id", "string"), ("deleted", "boolean")],
                              {"deleted": True})
     assert rows(full) == [("g", True)]
+
+
+def test_report_sections_run(docs):
+    d = docs({"_id": "a", "users": ["x"], "createdBy": {"user": "abcdef"}, "campo_1": "v"},
+             {"_id": "b", "users": [], "o": {"k": 1}})
+    rep = G.report(d)
+    assert set(rep) >= {"field_coverage", "schema_recommendation", "snapshot_profile"}
+    for name, df in rep.items():
+        df.collect()
