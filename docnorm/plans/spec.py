@@ -309,7 +309,6 @@ def _row_sources(coll: Collection, t: Table, docs: DataFrame, run_ts: Column | N
     return out, ctx
 
 
-_ROW_T = "struct<_table:string,pos:bigint,key:string,tag:string,item:variant>"
 
 
 def _row_struct(table: str, pos: Column, key: Column | None, tag: Column | None, item: Column) -> Column:
