@@ -329,3 +329,11 @@ def has_data(v: Column) -> Column:
     nonempty_array = strs.rlike(r"\[[^\]]")
     rest = F.regexp_replace(strs, r"null|B|\[\]|[{},]", "")
     return F.coalesce(F.when(v.isNull(), F.lit(False)).otherwise(nonempty_array | (F.length(rest) > 0)), F.lit(False))
+
+
+def ts_string(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.ffffff`` text of a TIMESTAMP_NTZ, independent of the session
+    time zone (``date_format`` on zone-less values still applies the session zone's
+    daylight-saving gaps; the string cast does not)."""
+    s = ts.cast("timestamp_ntz").cast("string")
+    return F.when(F.contains(s, F.lit(".")), F.rpad(s, 26, "0")).otherwise(F.concat(s, F.lit(".000000")))

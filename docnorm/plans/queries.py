@@ -21,7 +21,7 @@ BATCH = 200
 
 
 def tstr(c: Column) -> Column:
-    return F.date_format(c, TS_FMT)
+    return V.ts_string(c)
 
 
 def run_ts() -> Column:

@@ -26,12 +26,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..session import ensure_checkpoint_dir
 from .documents import read_documents
 
-Z_MS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-Z_S = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-Z_FRAC1 = "yyyy-MM-dd'T'HH:mm:ss.S'Z'"
-MS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-PLAIN = "yyyy-MM-dd HH:mm:ss"
-DAY = "yyyy-MM-dd"
+# Timestamp text forms of the fixtures (rendered from the zone-less value, never through
+# the session time zone): $date/Z with milliseconds, Z without fraction, Z with one
+# fraction digit, ISO with milliseconds (offset appended by the caller), plain, date only.
+Z_MS, Z_S, Z_FRAC1, MS, PLAIN, DAY = "z_ms", "z_s", "z_frac1", "ms", "plain", "day"
+
+
+def tsfmt(ts: Column, form: str) -> Column:
+    b = F.rpad(F.when(F.contains(ts.cast("timestamp_ntz").cast("string"), F.lit(".")),
+                      ts.cast("timestamp_ntz").cast("string"))
+               .otherwise(F.concat(ts.cast("timestamp_ntz").cast("string"), F.lit(".000000"))), 26, "0")
+    date, t = F.substring(b, 1, 10), F.lit("T")
+    return {
+        Z_MS: F.concat(date, t, F.substring(b, 12, 12), F.lit("Z")),
+        Z_S: F.concat(date, t, F.substring(b, 12, 8), F.lit("Z")),
+        Z_FRAC1: F.concat(date, t, F.substring(b, 12, 10), F.lit("Z")),
+        MS: F.concat(date, t, F.substring(b, 12, 12)),
+        PLAIN: F.substring(b, 1, 19),
+        DAY: date,
+    }[form]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,11 +102,11 @@ def build_order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = F.col("o_orderdate").cast("timestamp_ntz")
     lines_c = F.col("lines")
 
-    created = (F.when(k % 6 == 0, obj(**{"$date": F.date_format(T, Z_MS)}))
-               .when(k % 6 == 1, var(F.date_format(T, Z_S)))
-               .when(k % 6 == 2, var(F.concat(F.date_format(T, MS), F.lit("+00:00"))))
-               .when(k % 6 == 3, var(F.concat(F.date_format(T - F.expr("INTERVAL 3 HOURS"), MS), F.lit("-03:00"))))
-               .when(k % 6 == 4, var(F.date_format(T, DAY))))
+    created = (F.when(k % 6 == 0, obj(**{"$date": tsfmt(T, Z_MS)}))
+               .when(k % 6 == 1, var(tsfmt(T, Z_S)))
+               .when(k % 6 == 2, var(F.concat(tsfmt(T, MS), F.lit("+00:00"))))
+               .when(k % 6 == 3, var(F.concat(tsfmt(T - F.expr("INTERVAL 3 HOURS"), MS), F.lit("-03:00"))))
+               .when(k % 6 == 4, var(tsfmt(T, DAY))))
     snapshot_c = (F.when(ck % 5 == 0, obj(user=obj(id=U, firstname=F.concat(F.lit("F"), ck.cast("string")),
                                                    lastname=F.col("c_mktsegment"),
                                                    email=F.concat(F.lit("c"), ck.cast("string"), F.lit("@x.org")),
@@ -112,7 +125,7 @@ def build_order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  lastname=F.concat(F.lit("L"), k.cast("string")),
                                                  email=F.concat(F.lit("g"), k.cast("string"), F.lit("@x.org"))))))
     movements = F.transform(lines_c, lambda e: F.when(e["l_linenumber"] == 3, var(e["l_partkey"])).otherwise(obj(
-        at=F.date_format(e["l_shipdate"], PLAIN), id=e["l_partkey"], to=e["l_returnflag"], qty=e["l_quantity"],
+        at=tsfmt(e["l_shipdate"], PLAIN), id=e["l_partkey"], to=e["l_returnflag"], qty=e["l_quantity"],
         line=e["l_linenumber"], supp=e["l_suppkey"])))
     members = F.concat(F.coalesce(F.transform(lines_c, lambda e: uid(e["l_partkey"])), F.array().cast("array<string>")),
                        F.when(k % 5 == 0, F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
@@ -146,9 +159,9 @@ def build_order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("totalPrice", var(F.col("o_totalprice"))),
         ("deleted", F.when(F.col("o_orderstatus") == "F", var(F.lit(True))).when(F.col("o_orderstatus") == "P", jnull())),
         ("createdAt", created),
-        ("updatedAt", obj(**{"$date": F.date_format(T + F.expr("INTERVAL 1 DAY"), Z_MS)})),
-        ("created_at", F.when(k % 4 == 0, var(F.date_format(od, Z_S))).when(k % 4 == 1, var(F.date_format(od, Z_FRAC1)))),
-        ("processDate", var(F.concat(F.date_format(od, PLAIN), F.when(k % 2 == 1, F.lit("-03:00")).otherwise(F.lit(""))))),
+        ("updatedAt", obj(**{"$date": tsfmt(T + F.expr("INTERVAL 1 DAY"), Z_MS)})),
+        ("created_at", F.when(k % 4 == 0, var(tsfmt(od, Z_S))).when(k % 4 == 1, var(tsfmt(od, Z_FRAC1)))),
+        ("processDate", var(F.concat(tsfmt(od, PLAIN), F.when(k % 2 == 1, F.lit("-03:00")).otherwise(F.lit(""))))),
         ("processStarter", F.when(k % 5 != 0, obj(id=ck, name=F.col("c_name"), starterType=F.col("c_mktsegment")))
          .otherwise(jnull())),
         ("createdBy", snapshot_c),
@@ -207,8 +220,8 @@ def build_user_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("deleted", F.when(ck % 3 == 1, jnull()).when(ck % 3 == 2, var(F.lit(True)))),
         ("lumbre_version", F.when(ck % 2 == 0, var(F.lit(0)))),
         ("lumbreVersion", var((ck % 5).cast("int"))),
-        ("createdAt", F.when(ck % 2 == 0, obj(**{"$date": F.date_format(day, Z_MS)}))),
-        ("created_at", F.when(ck % 4 == 1, var(F.date_format(day, Z_S))).when(ck % 4 == 3, var(F.date_format(day, Z_MS)))),
+        ("createdAt", F.when(ck % 2 == 0, obj(**{"$date": tsfmt(day, Z_MS)}))),
+        ("created_at", F.when(ck % 4 == 1, var(tsfmt(day, Z_S))).when(ck % 4 == 3, var(tsfmt(day, Z_MS)))),
         ("updatedBy", obj(user=obj(id=uid(ck + 1)))),
         ("acctbal", var(F.col("c_acctbal"))),
         ("__v", var(ck % 10)),
@@ -285,8 +298,8 @@ def build_people_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("_8", var(F.lit("ignored"))),
         ("peopleContent", var(F.col("s_name"))),
         ("customerId", var(n.cast("string"))),
-        ("createdAt", F.when(k % 2 == 0, obj(**{"$date": F.date_format(day, Z_MS)}))),
-        ("updatedAt", F.when(k % 4 == 0, var(F.date_format(day + F.expr("INTERVAL 1 HOUR"), Z_S)))),
+        ("createdAt", F.when(k % 2 == 0, obj(**{"$date": tsfmt(day, Z_MS)}))),
+        ("updatedAt", F.when(k % 4 == 0, var(tsfmt(day + F.expr("INTERVAL 1 HOUR"), Z_S)))),
         ("deleted", F.when(k % 6 == 0, var(F.lit(True)))),
         ("lumbreVersion", var(k % 3)),
         ("createdBy", obj(user=obj(id=F.concat(F.lit("su"), F.lpad(k.cast("string"), 5, "0")),
