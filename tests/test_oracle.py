@@ -46,3 +46,14 @@ def test_every_query_has_an_oracle():
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and df.columns == ["process_id", "doc_type", "document_id"]
+
+
+@pytest.mark.parametrize("name", ["timestamp_formats", "child_explode", "spec_processes_main", "spec_people_main"])
+def test_timestamps_do_not_depend_on_session_zone(spark, con, name):
+    """Daylight-saving gaps of the session zone must not move zone-less timestamps."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
