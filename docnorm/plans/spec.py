@@ -409,21 +409,36 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
         else:
             rows, ctx = _row_sources(coll, t, docs, run_ts)
             df = rows.select(SEQ, F.col("pos").cast("bigint").alias("pos"), *[_col(c, ctx) for c in t.cols])
-        for rule in t.parents:
-            p = parents.get(rule.table)
-            if p is None:
-                continue
-            if rule.action == "keep":
-                df = R.keep_if_parent(df, rule.column, p, rule.parent_column, salt=salt)
-            else:
-                df = R.null_if_orphan(df, rule.column, p, rule.parent_column, salt=salt)
+        # A rule commutes with the key policy when it keeps rows by a key column (all rows
+        # of a key pass or fail together) or nulls a non-key column; those run after the
+        # policy, on the (smaller) deduplicated rows, and the policy's double read of its
+        # input then does not repeat the parent join.
+        key = set(t.key or ())
+        pre = [r for r in t.parents if not ((r.action == "keep") == (r.column in key))]
+        post = [r for r in t.parents if r not in pre]
+        df = _apply_rules(df, pre, parents, salt)
         df, rej = apply_policy(df, t, batch_size)
+        df = _apply_rules(df, post, parents, salt)
+        if rej is not None:
+            rej = _apply_rules(rej, post, parents, salt)
         out[t.name] = df.select(*[c.name for c in t.cols])
         if rej is not None:
             rejects[t.name] = rej
     return Normalised(out, rejects, ghosts)
 
 
+def _apply_rules(df: DataFrame, rules, parents: dict[str, DataFrame], salt: int) -> DataFrame:
+    for rule in rules:
+        p = parents.get(rule.table)
+        if p is None:
+            continue
+        if rule.action == "keep":
+            df = R.keep_if_parent(df, rule.column, p, rule.parent_column, salt=salt)
+        else:
+            df = R.null_if_orphan(df, rule.column, p, rule.parent_column, salt=salt)
+    return df
+
+
 def _needs_doc(t: Table) -> bool:
     """Child tables whose columns read the document itself (a parent scalar broadcast into
     child rows, X9) keep their own scan; all others come from the single-pass row table."""
