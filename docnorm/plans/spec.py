@@ -394,8 +394,10 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
         parents["lml_users.main"] = R.valid_parents(users, ghosts)
     allrows = None
     if rows_path is not None and any(t.rows.kind != "main" and not _needs_doc(t) for t in coll.tables):
-        all_child_rows(coll, docs).write.mode("overwrite").partitionBy("_table").parquet(rows_path)
-        allrows = docs.sparkSession.read.parquet(rows_path)
+        rows_df = all_child_rows(coll, docs)
+        rows_df.write.mode("overwrite").partitionBy("_table").parquet(rows_path)
+        # explicit schema: an empty collection writes no partition to infer it from
+        allrows = docs.sparkSession.read.schema(rows_df.schema).parquet(rows_path)
     for t in coll.tables:
         if t.rows.kind == "main":
             base = docs

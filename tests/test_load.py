@@ -64,3 +64,23 @@ def test_single_pass_rows_equal_per_table_scans(spark):
             a = sorted(map(str, lazy.tables[name].collect()))
             b = sorted(map(str, single.tables[name].collect()))
             assert a == b, (coll.name, name)
+
+
+def test_empty_source_still_refreshes(spark):
+    store = L.Store(spark, tempfile.mkdtemp(prefix="store-"))
+    users = nest.docs(spark, SF, "users")
+    L.load_collection(spark, "users", users, store, run_ts())
+    roles = store.read("lml_users", "roles").count()
+    assert store.read("lml_users", "main").count() > 0
+    L.load_collection(spark, "users", users.limit(0), store, run_ts())
+    assert L.is_empty(users.limit(0))
+    assert store.read("lml_users", "main").count() == 0          # main emptied
+    assert store.read("lml_users", "roles").count() == roles     # catalogs survive
+
+
+def test_reset_all_drops_collection_schemas(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lml_people")
+    spark.range(1).write.mode("overwrite").saveAsTable("lml_people.t_reset_probe")
+    dropped = L.reset_all(spark)
+    assert "lml_documents" in dropped and len(dropped) == 8
+    assert "lml_people" not in [d.name for d in spark.catalog.listDatabases()]
