@@ -88,7 +88,8 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
 
     refresh=True   U7: main and its child tables are replaced; catalogs are merged (stale
                    catalog rows survive, as with the source tool).
-    refresh=False  incremental: main/children merged by their policy, member tables synced.
+    refresh=False  incremental: main merged by its policy; the child rows of every incoming
+                   document replace that document's previous child rows; catalogs merged.
     """
     coll = CL.COLLECTIONS[source]
     if check_parents:
@@ -120,14 +121,15 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             # catalogs are parents: merged, never emptied (stale rows survive a refresh)
             out = U.upsert(existing, incoming.withColumn("_seq", F.lit(0)), list(t.key),
                            policy="last" if t.policy == "last" else "first")
-        elif t.sync_by:
-            present = main_keys.select(F.col(coll.main.cols[0].name).alias(t.sync_by[0]))
-            out = U.sync_members(existing, incoming, list(t.sync_by), present)
-        elif t.key and t.policy in ("first", "last", "first_batched"):
+        elif t.name == "main":
             out = U.upsert(existing, incoming.withColumn("_seq", F.lit(0)), list(t.key),
                            policy="last" if t.policy == "last" else "first")
         else:
-            out = existing.unionByName(incoming)
+            # a document that arrives again brings its whole child set: the children of
+            # every incoming document are replaced (U6 for member tables, same for the rest)
+            parent_col = t.sync_by[0] if t.sync_by else t.cols[0].name
+            present = main_keys.select(F.col(coll.main.cols[0].name).alias(parent_col))
+            out = U.sync_members(existing, incoming, [parent_col], present)
         store.write(coll.name, t.name, out, reads_itself=out is not incoming)
         summary.append(f"{coll.name}.{t.name}")
     for name, rej in result.rejects.items():

@@ -84,3 +84,13 @@ def test_reset_all_drops_collection_schemas(spark):
     dropped = L.reset_all(spark)
     assert "lml_documents" in dropped and len(dropped) == 8
     assert "lml_people" not in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_incremental_reload_replaces_children(spark):
+    store = L.Store(spark, tempfile.mkdtemp(prefix="store-"))
+    orders = nest.docs(spark, SF, "orders")
+    L.load_collection(spark, "users", nest.docs(spark, SF, "users"), store, run_ts())
+    L.load_collection(spark, "processes", orders, store, run_ts(), check_parents=False)
+    first = counts(store, "lml_processes", ["main", "movements", "process_documents", "initiator_fields"])
+    L.load_collection(spark, "processes", orders, store, run_ts(), refresh=False, check_parents=False)
+    assert counts(store, "lml_processes", ["main", "movements", "process_documents", "initiator_fields"]) == first
