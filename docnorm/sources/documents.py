@@ -57,7 +57,8 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "jsonl", text_col:
         raw = spark.read.text(path).select(
             "value", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_bs"))
         raw = with_dense_seq(raw, ["_fp", "_bs"])
-        parsed = parse_documents(raw, "value", [SEQ])
+        # blank lines separate nothing: they are neither documents nor rejects
+        parsed = parse_documents(raw.where(F.trim(F.col("value")) != ""), "value", [SEQ])
     elif fmt == "parquet":
         t = spark.read.parquet(path)
         if seq_col is None:
