@@ -54,11 +54,11 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "jsonl", text_col:
     Returns ``docs`` (``_seq``, ``doc``) or ``(docs, rejects)`` with ``with_rejects``.
     """
     if fmt == "jsonl":
-        raw = spark.read.text(path).select(
+        # blank lines separate nothing: they are neither documents nor rejects, nor counted
+        raw = spark.read.text(path).where(F.trim(F.col("value")) != "").select(
             "value", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_bs"))
         raw = with_dense_seq(raw, ["_fp", "_bs"])
-        # blank lines separate nothing: they are neither documents nor rejects
-        parsed = parse_documents(raw.where(F.trim(F.col("value")) != ""), "value", [SEQ])
+        parsed = parse_documents(raw, "value", [SEQ])
     elif fmt == "parquet":
         t = spark.read.parquet(path)
         if seq_col is None:

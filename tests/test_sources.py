@@ -10,7 +10,7 @@ from conftest import rows
 def test_read_jsonl_with_rejects(spark):
     d = tempfile.mkdtemp(prefix="jsonl-")
     with open(os.path.join(d, "a.json"), "w") as fh:
-        fh.write('{"_id": "a"}\n{broken\n{"_id": "b", "x": 1, "x": 2}\n{"_id": "c"}\n\n')
+        fh.write('{"_id": "a"}\n\n{broken\n{"_id": "b", "x": 1, "x": 2}\n{"_id": "c"}\n\n')
     docs, rejects = D.read_documents(spark, d, with_rejects=True)
     assert sorted(r["_seq"] for r in docs.collect()) == [0, 3]
     assert sorted(r["_seq"] for r in rejects.collect()) == [1, 2]
