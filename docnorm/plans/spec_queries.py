@@ -158,7 +158,43 @@ def spec_form_main(spark, d):
                     tstr(F.col("created")).alias("created"), "mongo_version", "created_by_user_id")
 
 
+def _docs2(spark, d):
+    from ..sources import nest
+    return normalise(CL.DOCUMENTS, nest.docs(spark, d, "documents"), users=users_main_ids(spark, d),
+                     run_ts=run_ts())
+
+
+def spec_doc_main(spark, d):
+    m = _docs2(spark, d).tables["main"]
+    return m.select("document_id", "document_number", "document_type_id", "lumbre_total_signers",
+                    "lumbre_total_reviewers", "deleted", "everyone_can_access", "signer_reviewer_id",
+                    "signer_reviewer_done", F.to_json("signer_position_map").alias("signer_position_map"),
+                    F.to_json("dynamic_fields").alias("dynamic_fields"), "created_by_user_id")
+
+
+def _doc_table(name):
+    def q(spark, d):
+        return _docs2(spark, d).tables[name]
+    q.__name__ = f"spec_doc_{name}"
+    return q
+
+
+def spec_doc_movements(spark, d):
+    m = _docs2(spark, d).tables["movements"]
+    return m.select("document_id", tstr(F.col("created_at")).alias("created_at"), "created_by_user_id",
+                    "created_by_user_name", F.to_json("movement_data").alias("movement_data"),
+                    F.to_json("documentation").alias("documentation"))
+
+
 QUERIES = {
+    "spec_doc_main": spec_doc_main,
+    "spec_doc_participants": _doc_table("participants"),
+    "spec_doc_signers": _doc_table("signers"),
+    "spec_doc_share_with": _doc_table("share_with"),
+    "spec_doc_viewers": _doc_table("viewers"),
+    "spec_doc_instance_privileges": _doc_table("instance_privileges"),
+    "spec_doc_access": _doc_table("access"),
+    "spec_doc_movements": spec_doc_movements,
     "spec_form_main": spec_form_main,
     "spec_form_elements": spec_form_elements,
     "spec_form_allow_create": spec_form_allow_create,
@@ -197,8 +233,51 @@ _LID = "('L' || lpad(CAST(event_id AS VARCHAR), 8, '0'))"
 _SDAY = "make_timestamp(2021, s_suppkey % 12 + 1, s_suppkey % 28 + 1, s_suppkey % 24, 0, 0)"
 
 _FID = "('F' || lpad(CAST(c_custkey AS VARCHAR), 8, '0'))"
+_DID = ("('D' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || "
+        "CAST(l_quantity AS BIGINT))")
+_UP, _US = _uid("l_partkey"), _uid("l_suppkey")
 
 ORACLE = {
+    "spec_doc_main": f"""SELECT {_DID} AS document_id, CAST(l_orderkey AS VARCHAR) AS document_number,
+ l_returnflag AS document_type_id, CAST(CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber ELSE 0 END AS INTEGER)
+   AS lumbre_total_signers, CAST(NULL AS INTEGER) AS lumbre_total_reviewers, l_linestatus = 'F' AS deleted,
+ l_linenumber % 3 <> 0 AS everyone_can_access,
+ CASE WHEN l_linenumber % 2 = 1 THEN {_US} END AS signer_reviewer_id,
+ CASE WHEN l_linenumber % 2 = 1 THEN TRUE END AS signer_reviewer_done,
+ CASE WHEN l_linenumber % 4 = 0 THEN '{{}}' END AS signer_position_map,
+ '{{"campo_' || (l_linenumber % 3) || '":"x"}}' AS dynamic_fields, {_US} AS created_by_user_id
+FROM lineitem""",
+
+    "spec_doc_participants": f"""SELECT {_DID} AS document_id, {_UP} AS user_id, 'P' || l_partkey AS user_name,
+ 'sign' AS action FROM lineitem
+UNION ALL SELECT {_DID}, {_US}, 'S' || l_suppkey, 'view' FROM lineitem""",
+
+    "spec_doc_signers": f"""SELECT {_DID} AS document_id, {_UP} AS user_id, 'P' || l_partkey AS user_name,
+ CAST(NULL AS VARCHAR) AS action FROM lineitem""",
+
+    "spec_doc_share_with": f"""SELECT {_DID} AS document_id, {_US} AS user_id, 'S' || l_suppkey AS user_name
+FROM lineitem""",
+
+    "spec_doc_viewers": f"""SELECT {_DID} AS document_id, 'user' AS entity_type, {_UP} AS entity_id,
+ 'P' || l_partkey AS entity_name FROM lineitem
+UNION ALL SELECT {_DID}, 'area', CAST(l_suppkey % 25 AS VARCHAR), 'A' || (l_suppkey % 25) FROM lineitem
+WHERE l_suppkey % 25 <> 0""",
+
+    "spec_doc_instance_privileges": f"""SELECT {_DID} AS document_id, 'area' AS entity_type,
+ CAST(l_partkey % 25 AS VARCHAR) AS entity_id, 'A' || (l_partkey % 25) AS entity_name FROM lineitem
+WHERE l_partkey % 25 <> 0
+UNION ALL SELECT {_DID}, 'role', l_returnflag, 'R' || l_returnflag FROM lineitem""",
+
+    "spec_doc_access": f"""SELECT DISTINCT document_id, entity_type, entity_id FROM (
+ SELECT {_DID} AS document_id, 'user' AS entity_type, {_UP} AS entity_id FROM lineitem
+ UNION ALL SELECT {_DID}, 'user', {_US} FROM lineitem
+ UNION ALL SELECT {_DID}, 'area', CAST(l_suppkey % 25 AS VARCHAR) FROM lineitem WHERE l_suppkey % 25 <> 0)""",
+
+    "spec_doc_movements": f"""SELECT {_DID} AS document_id, strftime(l_shipdate, {F_TS}) AS created_at,
+ {_US} AS created_by_user_id,
+ trim('F' || l_suppkey || ' ' || CASE WHEN l_linenumber % 2 = 0 THEN 'L' ELSE '' END) AS created_by_user_name,
+ '{{"step":' || l_linenumber || '}}' AS movement_data, '[]' AS documentation FROM lineitem""",
+
     "spec_form_main": f"""SELECT {_FID} AS formbuilder_id, c_name AS alias, 'Form ' || c_custkey AS page_title_data,
  CASE WHEN c_custkey % 4 = 0 THEN '{{"required":true}}' END AS validations,
  '2020-01-02 03:04:05.678000' AS created, CAST(c_custkey % 4 AS INTEGER) AS mongo_version,

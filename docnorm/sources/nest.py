@@ -365,7 +365,53 @@ def build_formbuilder_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(ck.alias("_seq"), json.alias("json"))
 
 
-_BUILDERS = {"formbuilder": build_formbuilder_docs, "orders": build_order_docs, "users": build_user_docs, "processtypes": build_processtype_docs,
+def build_document_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(``_seq``, ``json``) — one documents-like document per ``lineitem`` row (no grouping):
+    participants, signers, share lists, viewers, privileges, access lists and movements
+    all come from the row's own columns."""
+    li = table(spark, sf_dir, "lineitem")
+    o, ln, p, s_, q = (F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
+                       F.col("l_quantity").cast("bigint"))
+    did = F.concat_ws("-", F.concat(F.lit("D"), o.cast("string")), ln.cast("string"), p.cast("string"),
+                      s_.cast("string"), q.cast("string"))
+    name = lambda prefix, c: F.concat(F.lit(prefix), c.cast("string"))
+    arr = lambda *xs: F.to_variant_object(F.array(*xs))
+    json = _doc(
+        ("_id", obj(**{"$oid": did})),
+        ("documentNumber", var(o.cast("string"))),
+        ("documentName", var(F.concat(F.lit("Doc "), did))),
+        ("documentTypeId", var(F.col("l_returnflag"))),
+        ("lumbreTotalSigners", F.when(ln % 2 == 0, var(ln))),
+        ("deleted", F.when(F.col("l_linestatus") == "F", var(F.lit(True)))),
+        ("calculatedProps", obj(
+            everyoneCanAccess=F.when(ln % 3 == 0, F.lit(False)),
+            whoCanAccess=obj(users=arr(var(uid(p)), var(F.lit("")), var(uid(s_))),
+                             areas=arr(var(s_ % 25), var(F.lit(0)))))),
+        ("lumbreSignerReviewer", F.when(ln % 2 == 1, obj(id=uid(s_), name=name("S", s_), done=F.lit(True)))
+         .otherwise(F.to_variant_object(F.create_map().cast("map<string,string>")))),
+        ("signerPositionMap", F.when(ln % 4 == 0, F.to_variant_object(F.create_map().cast("map<string,string>")))),
+        ("participants", arr(obj(id=uid(p), name=name("P", p), action=F.lit("sign")),
+                             obj(id=F.lit(""), name=F.lit("x")),
+                             obj(id=uid(s_), name=name("S", s_), action=F.lit("view")))),
+        ("signers", arr(obj(id=uid(p), name=name("P", p)), obj(id=uid(p), name=F.lit("again")))),
+        ("shareWith", arr(obj(id=uid(s_), name=name("S", s_)))),
+        ("viewers", obj(users=arr(obj(id=uid(p), name=name("P", p))),
+                        areas=arr(obj(id=s_ % 25, name=name("A", s_ % 25))),
+                        subareas=var(F.lit("none")))),
+        ("instancePrivileges", obj(area=arr(obj(id=p % 25, name=name("A", p % 25))),
+                                   role=arr(obj(id=F.col("l_returnflag"), name=name("R", F.col("l_returnflag")))))),
+        ("movements", arr(obj(created_at=obj(**{"$date": tsfmt(F.col("l_shipdate"), Z_MS)}),
+                              created_by=obj(id=uid(s_), firstname=name("F", s_),
+                                             lastname=F.when(ln % 2 == 0, F.lit("L")).otherwise(jnull())),
+                              movement=obj(step=ln),
+                              documentation=F.to_variant_object(F.array().cast("array<int>"))))),
+        ("createdBy", obj(user=obj(id=uid(s_)))),
+        (F.concat(F.lit("campo_"), (ln % 3).cast("string")), var(F.lit("x"))),
+    )
+    return li.select(F.monotonically_increasing_id().alias("_seq"), json.alias("json"))
+
+
+_BUILDERS = {"documents": build_document_docs, "formbuilder": build_formbuilder_docs, "orders": build_order_docs, "users": build_user_docs, "processtypes": build_processtype_docs,
              "people": build_people_docs, "listbuilder": build_listbuilder_docs}
 
 
