@@ -15,18 +15,38 @@ SEQ = "_seq"
 DOC = "doc"
 
 
-def with_dense_seq(df: DataFrame, order_cols: list[str], seq: str = SEQ) -> DataFrame:
+# Offset tables (one row per input split or file) are broadcast up to this many rows
+# (~100 MB); beyond it they are joined like any table.
+MAX_BROADCAST_SPLITS = 1_000_000
+
+
+def estimated_splits(spark: SparkSession, path: str) -> int:
+    """Upper bound of input splits of ``path`` from file-system metadata only:
+    files + total bytes / maxPartitionBytes."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    summary = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p)
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)).rstrip("bB") or 134217728)
+    return int(summary.getFileCount()) + int(summary.getLength()) // max(split, 1) + 1
+
+
+def _offsets_side(offsets: DataFrame, splits: int | None) -> DataFrame:
+    return F.broadcast(offsets) if splits is not None and splits <= MAX_BROADCAST_SPLITS else offsets
+
+
+def with_dense_seq(df: DataFrame, order_cols: list[str], seq: str = SEQ, splits: int | None = None) -> DataFrame:
     """Dense 0-based index in ``order_cols`` order without a global sort.
 
     Rows are numbered inside each input split (``monotonically_increasing_id`` is
-    consecutive there); the per-split counts (one row per split, so bounded by
-    input size / split size) get running offsets, and are broadcast back.
+    consecutive there); the per-split counts (one row per split) get running offsets and
+    are joined back — broadcast when ``splits`` (an upper bound of the number of splits,
+    see ``estimated_splits``) is at most ``MAX_BROADCAST_SPLITS``, else a regular join.
     """
     base = df.withColumn("_mid", F.monotonically_increasing_id())
-    splits = base.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    per_split = base.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = splits.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-    out = base.join(F.broadcast(offsets), on=order_cols, how="inner")
+    offsets = per_split.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
+    out = base.join(_offsets_side(offsets, splits), on=order_cols, how="inner")
     return out.withColumn(seq, F.col("_off") + F.col("_mid") - F.col("_m0")).drop("_mid", "_m0", "_off", *order_cols)
 
 
@@ -57,7 +77,7 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "jsonl", text_col:
         # blank lines separate nothing: they are neither documents nor rejects, nor counted
         raw = spark.read.text(path).where(F.trim(F.col("value")) != "").select(
             "value", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_bs"))
-        raw = with_dense_seq(raw, ["_fp", "_bs"])
+        raw = with_dense_seq(raw, ["_fp", "_bs"], splits=estimated_splits(spark, path))
         parsed = parse_documents(raw, "value", [SEQ])
     elif fmt == "parquet":
         t = spark.read.parquet(path)
@@ -68,7 +88,8 @@ def read_documents(spark: SparkSession, path: str, fmt: str = "jsonl", text_col:
             files = t.groupBy("_fp").agg(F.count(F.lit(1)).alias("_n"))
             w = Window.orderBy("_fp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
             offs = files.withColumn("_off", F.sum("_n").over(w) - F.col("_n")).drop("_n")
-            t = t.join(F.broadcast(offs), "_fp").withColumn(SEQ, F.col("_off") + F.col("_ri")).drop("_fp", "_ri", "_off")
+            t = t.join(_offsets_side(offs, estimated_splits(spark, path)), "_fp").withColumn(
+                SEQ, F.col("_off") + F.col("_ri")).drop("_fp", "_ri", "_off")
             seq_col = SEQ
         dtype = dict(t.dtypes)[text_col]
         if dtype == "variant":
