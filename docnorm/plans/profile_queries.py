@@ -204,6 +204,18 @@ ORDER_ENTRIES = OD + ",\noe AS (" + "\nUNION ALL ".join(
 
 NL = f"(SELECT count(*) FROM lineitem l WHERE l.l_orderkey = od.k)"
 
+# key signature (sorted keys joined by ',') and key count of every object-valued field of
+# the user documents, from the builder's rules
+_SIGS = """sigs AS (
+  SELECT '_id' AS field, '$oid' AS sig, 1 AS nkeys FROM ub WHERE ck % 2 = 0
+  UNION ALL SELECT 'role', CASE WHEN ck % 7 = 1 THEN '' ELSE 'id,name' END,
+    CASE WHEN ck % 7 = 1 THEN 0 ELSE 2 END FROM ub WHERE ck % 7 <> 0
+  UNION ALL SELECT 'area', CASE WHEN ck % 2 = 0 THEN 'descripcion,id,name' ELSE 'id,name' END,
+    CASE WHEN ck % 2 = 0 THEN 3 ELSE 2 END FROM ub
+  UNION ALL SELECT 'subarea', 'id,name', 2 FROM ub
+  UNION ALL SELECT 'createdAt', '$date', 1 FROM ub WHERE ck % 2 = 0
+  UNION ALL SELECT 'updatedBy', 'user', 1 FROM ub)"""
+
 ORACLE = {
     "field_coverage": "WITH " + USER_ENTRIES + """
 SELECT field, count(*) AS present, (SELECT count(*) FROM customer) AS total,
@@ -368,9 +380,8 @@ UNION ALL SELECT 'lumbreNextSigner.id', 0::BIGINT, 0::BIGINT""",
     "nested_distribution": """SELECT CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE CAST(o_orderkey % 4 AS VARCHAR) END AS value,
  count(*) AS n FROM orders GROUP BY 1""",
 
-    "structure_variants": """SELECT field, variants, variants > 1 AS json_candidate FROM (VALUES
- ('_id', 1::BIGINT), ('role', 2::BIGINT), ('area', 2::BIGINT), ('subarea', 1::BIGINT), ('createdAt', 1::BIGINT),
- ('updatedBy', 1::BIGINT)) t(field, variants)""",
+    "structure_variants": "WITH " + USER_BASE + ", " + _SIGS + """
+SELECT field, count(DISTINCT sig) AS variants, count(DISTINCT sig) > 1 AS json_candidate FROM sigs GROUP BY field""",
 
     "text_reference_probe": """SELECT 'user' AS word, count(*) AS n FROM customer
 UNION ALL SELECT 'createdby', 0::BIGINT
@@ -381,11 +392,12 @@ SELECT CASE c_custkey WHEN 0 THEN 'first' WHEN (SELECT n FROM n) // 2 THEN 'midd
  c_custkey AS _seq, {_uid('c_custkey')} AS id
 FROM customer WHERE c_custkey IN (0, (SELECT n FROM n) // 2, (SELECT n FROM n) - 1)""",
 
-    "schema_recommendation": "WITH " + USER_ENTRIES + """, cov AS (
-  SELECT field, count(*) AS present, string_agg(DISTINCT kind, ',' ORDER BY kind) AS types FROM ue GROUP BY field)
-SELECT field,
+    "schema_recommendation": "WITH " + USER_ENTRIES + ", " + _SIGS + """,
+cov AS (SELECT field, count(*) AS present, string_agg(DISTINCT kind, ',' ORDER BY kind) AS types FROM ue GROUP BY field),
+obj AS (SELECT field, max(nkeys) AS max_keys, count(DISTINCT sig) AS variants FROM sigs GROUP BY field)
+SELECT cov.field,
  CASE WHEN types NOT LIKE '%array%' AND types NOT LIKE '%object%' THEN 'main'
-      WHEN field IN ('role', 'area') THEN 'jsonb' ELSE 'main' END AS recommendation,
+      WHEN obj.max_keys > 3 OR obj.variants > 1 THEN 'jsonb' ELSE 'main' END AS recommendation,
  (types NOT LIKE '%array%' AND types NOT LIKE '%object%' AND present = (SELECT count(*) FROM customer)) AS not_null,
- present, types FROM cov""",
+ present, types FROM cov LEFT JOIN obj ON cov.field = obj.field""",
 }
