@@ -59,10 +59,39 @@ class Store:
             df = cut_lineage(df)
         df.write.mode("overwrite").parquet(self.path(schema, table))
 
+    def write_rejects(self, schema: str, table: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(self.path(schema, f"_rejects_{table}"))
+
     def empty(self, t: Table) -> DataFrame:
         return self.spark.createDataFrame([], ", ".join(f"`{n}` {d}" for n, d in t.schema()))
 
 
+class CatalogStore(Store):
+    """Target tables as catalog tables ``<schema>.<table>`` (databases named like the
+    collection schemas), written with ``saveAsTable``; ``root`` is unused."""
+
+    def __init__(self, spark: SparkSession):
+        super().__init__(spark, "")
+
+    def path(self, schema: str, table: str) -> str:
+        return f"`{schema}`.`{table}`"
+
+    def exists(self, schema: str, table: str) -> bool:
+        return bool(self.spark.catalog.tableExists(f"{schema}.{table}"))
+
+    def read(self, schema: str, table: str) -> DataFrame | None:
+        return self.spark.table(self.path(schema, table)) if self.exists(schema, table) else None
+
+    def write(self, schema: str, table: str, df: DataFrame, reads_itself: bool = False) -> None:
+        if reads_itself:
+            df = cut_lineage(df)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        df.write.mode("overwrite").format("parquet").saveAsTable(self.path(schema, table))
+
+    def write_rejects(self, schema: str, table: str, df: DataFrame) -> None:
+        self.write(schema, f"_rejects_{table}", df)
+
+
 def dependency_report(store: Store, coll: Collection) -> DataFrame | None:
     """R4 over the target store: one row per parent collection main table."""
     parts = {}
@@ -133,7 +162,7 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
         store.write(coll.name, t.name, out, reads_itself=out is not incoming)
         summary.append(f"{coll.name}.{t.name}")
     for name, rej in result.rejects.items():
-        rej.write.mode("overwrite").parquet(store.path(coll.name, f"_rejects_{name}"))
+        store.write_rejects(coll.name, name, rej)
     if result.ghosts is not None:
         # ghosts go into users.main last: the tables above read the old users files
         base = users_main if users_main is not None else store.empty(CL.USERS.main)

@@ -94,3 +94,11 @@ def test_incremental_reload_replaces_children(spark):
     first = counts(store, "lml_processes", ["main", "movements", "process_documents", "initiator_fields"])
     L.load_collection(spark, "processes", orders, store, run_ts(), refresh=False, check_parents=False)
     assert counts(store, "lml_processes", ["main", "movements", "process_documents", "initiator_fields"]) == first
+
+
+def test_catalog_store_and_reset(spark):
+    store = L.CatalogStore(spark)
+    L.load_collection(spark, "users", nest.docs(spark, SF, "users"), store, run_ts())
+    assert spark.table("lml_users.main").count() == store.read("lml_users", "main").count() > 0
+    L.reset_all(spark)
+    assert not store.exists("lml_users", "main")
