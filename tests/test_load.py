@@ -102,3 +102,14 @@ def test_catalog_store_and_reset(spark):
     assert spark.table("lml_users.main").count() == store.read("lml_users", "main").count() > 0
     L.reset_all(spark)
     assert not store.exists("lml_users", "main")
+
+
+def test_concurrent_table_writes_match_sequential(spark):
+    a = L.Store(spark, tempfile.mkdtemp(prefix="store-"))
+    b = L.Store(spark, tempfile.mkdtemp(prefix="store-"))
+    for store, par in ((a, 1), (b, 4)):
+        L.load_collection(spark, "users", nest.docs(spark, SF, "users"), store, run_ts(), parallel=par)
+        L.load_collection(spark, "processes", nest.docs(spark, SF, "orders"), store, run_ts(), check_parents=False,
+                          parallel=par)
+    tables = ["main", "movements", "initiator_fields", "process_documents", "last_movements"]
+    assert counts(a, "lml_processes", tables) == counts(b, "lml_processes", tables)
