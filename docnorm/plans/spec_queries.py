@@ -186,7 +186,44 @@ def spec_doc_movements(spark, d):
                     F.to_json("documentation").alias("documentation"))
 
 
+def spec_listbuilder_items(spark, d):
+    r = _listbuilder(spark, d)
+    acc = r.tables["items"].withColumn("reject_reason", F.lit(None).cast("string"))
+    return acc.unionByName(r.rejects["items"].select(*acc.columns))
+
+
+def spec_available_fields(spark, d):
+    return _listbuilder(spark, d).tables["available_fields"]
+
+
+def spec_path_actions(spark, d):
+    return _listbuilder(spark, d).tables["path_actions"]
+
+
+def spec_search_fields_to_selected(spark, d):
+    return _listbuilder(spark, d).tables["search_fields_to_selected"]
+
+
+def spec_edit_area(spark, d):
+    return _processtypes(spark, d).tables["instance_actions_edit_area"]
+
+
+def spec_edit_role(spark, d):
+    return _processtypes(spark, d).tables["instance_actions_edit_role"]
+
+
+def spec_starter_initiator_types(spark, d):
+    return _processtypes(spark, d).tables["starter_initiator_types"]
+
+
 QUERIES = {
+    "spec_listbuilder_items": spec_listbuilder_items,
+    "spec_available_fields": spec_available_fields,
+    "spec_path_actions": spec_path_actions,
+    "spec_search_fields_to_selected": spec_search_fields_to_selected,
+    "spec_edit_area": spec_edit_area,
+    "spec_edit_role": spec_edit_role,
+    "spec_starter_initiator_types": spec_starter_initiator_types,
     "spec_doc_main": spec_doc_main,
     "spec_doc_participants": _doc_table("participants"),
     "spec_doc_signers": _doc_table("signers"),
@@ -238,6 +275,33 @@ _DID = ("('D' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' ||
 _UP, _US = _uid("l_partkey"), _uid("l_suppkey")
 
 ORACLE = {
+    "spec_listbuilder_items": f"""SELECT listbuilder_id, item_name, item_order,
+ CASE WHEN rn > 1 THEN 'duplicate_key' END AS reject_reason FROM (
+ SELECT listbuilder_id, item_name, item_order,
+        row_number() OVER (PARTITION BY listbuilder_id, item_name ORDER BY item_order) AS rn FROM (
+   SELECT {_LID} AS listbuilder_id, 'i1' AS item_name, 0 AS item_order FROM events
+   UNION ALL SELECT {_LID}, 'i1', 2 FROM events
+   UNION ALL SELECT {_LID}, 'i' || (event_id % 3), 3 FROM events))""",
+
+    "spec_available_fields": f"""SELECT {_LID} AS listbuilder_id, event_type AS field_key, 'T' AS field_label,
+ FALSE AS sortable, 0 AS field_order FROM events""",
+
+    "spec_path_actions": f"""SELECT {_LID} AS listbuilder_id, '/a' AS action_to, 't' AS tooltip,
+ 'fa' AS font_awesome_icon, 0 AS action_order FROM events WHERE event_id % 2 = 1""",
+
+    "spec_search_fields_to_selected": f"""SELECT {_LID} AS listbuilder_id, event_type AS field_name, 0 AS field_order
+FROM events""",
+
+    "spec_edit_area": f"""SELECT {_PT} AS processtype_id, CAST((p_size + 1) % 25 AS VARCHAR) AS area_id, 'EA' AS area_name
+FROM part WHERE CAST((p_size + 1) % 25 AS VARCHAR) IN
+  (SELECT CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_nationkey <> 0)""",
+
+    "spec_edit_role": f"""SELECT {_PT} AS processtype_id, {_SEG} AS role_id, 'ER' AS role_name FROM part
+WHERE p_partkey % 6 <> 0 AND {_SEG} IN (SELECT c_mktsegment FROM customer WHERE c_custkey % 7 >= 3)""",
+
+    "spec_starter_initiator_types": f"""SELECT {_PT} AS processtype_id, 'I' || (p_partkey % 4) AS initiator_type_id
+FROM part""",
+
     "spec_doc_main": f"""SELECT {_DID} AS document_id, CAST(l_orderkey AS VARCHAR) AS document_number,
  l_returnflag AS document_type_id, CAST(CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber ELSE 0 END AS INTEGER)
    AS lumbre_total_signers, CAST(NULL AS INTEGER) AS lumbre_total_reviewers, l_linestatus = 'F' AS deleted,

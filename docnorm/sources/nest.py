@@ -261,6 +261,9 @@ def build_processtype_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  role=obj(id=role), action=F.lit("R")))),
             subarea=F.to_variant_object(F.array(obj(id=sz % 5, name=F.concat(F.lit("S"), (sz % 5).cast("string")),
                                                     action=F.lit("W")))))),
+        ("instanceActionsEdit", obj(
+            area=F.to_variant_object(F.array(obj(id=(sz + 1) % 25, name=F.lit("EA")))),
+            role=F.to_variant_object(F.array(obj(id=role, name=F.lit("ER")))))),
         ("processFields", F.to_variant_object(F.array(
             obj(id=k * 10, **{"class": F.lit("c")}, componentName=F.lit("x")),
             obj(**{"class": F.lit("noid")}),
@@ -327,6 +330,12 @@ def build_listbuilder_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("fields", F.to_variant_object(fields)),
         ("searchOnFieldsSelected", F.to_variant_object(F.array(var(F.lit("a")), var(F.lit(5)), var(F.lit("b")),
                                                                var(F.lit("a"))))),
+        ("searchOnFieldsToSelected", F.to_variant_object(F.array(var(F.col("event_type"))))),
+        ("allAvailableFields", F.to_variant_object(F.array(obj(key=F.col("event_type"), label=F.lit("T"))))),
+        ("items", F.to_variant_object(F.array(obj(name=F.lit("i1")), obj(name=F.lit("")), obj(name=F.lit("i1")),
+                                              obj(name=F.concat(F.lit("i"), (e % 3).cast("string")))))),
+        ("lmPathActions", F.when(e % 2 == 1, F.to_variant_object(F.array(
+            obj(to=F.lit("/a"), tooltip=F.lit("t"), fontAwesomeIcon=F.lit("fa")))))),
         ("buttonLinks", F.to_variant_object(F.array(obj(value=F.lit("go"), to=F.lit("/x"), show=F.lit(False)),
                                                     obj(value=F.lit("back"))))),
         ("privileges", F.to_variant_object(F.array(obj(id=u, name=F.concat(F.lit("priv"), u.cast("string")),
