@@ -252,11 +252,21 @@ def timestamp_format(v: Column) -> Column:
             .otherwise(F.lit("other")))
 
 
-def timestamp_profile(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Coverage and set of formats of the named timestamp fields."""
+def timestamp_profile(docs: DataFrame, fields: Sequence[str], examples: int = 0) -> DataFrame:
+    """Coverage and set of formats of the named timestamp fields; with ``examples``,
+    also that many first-seen example values (as JSON text) per field."""
     arr = F.array(*[F.struct(F.lit(f).alias(KEY), V.at(DOC, f).alias("v")) for f in fields])
-    x = docs.select(F.inline(arr)).where(F.col("v").isNotNull())
-    return x.groupBy(KEY).agg(F.count(F.lit(1)).alias("present"), _types(timestamp_format(F.col("v"))).alias("formats"))
+    x = docs.select(SEQ, F.inline(arr)).where(F.col("v").isNotNull())
+    out = x.groupBy(KEY).agg(F.count(F.lit(1)).alias("present"), _types(timestamp_format(F.col("v"))).alias("formats"))
+    if examples:
+        ex = x.select(KEY, SEQ, F.to_json(F.col("v")).alias("example")).groupBy(KEY, "example").agg(
+            F.min(SEQ).alias("first_seq"))
+        w = Window.partitionBy(KEY).orderBy("first_seq", "example")
+        top = ex.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= examples)
+        lists = top.groupBy(KEY).agg(F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("rank", "example"))), lambda e: e["example"]), " | ").alias("examples"))
+        out = out.join(lists, KEY, "left")
+    return out
 
 
 def timestamp_fields(docs: DataFrame, total: int | None = None) -> DataFrame:
@@ -319,6 +329,12 @@ def nonempty_subarray(docs: DataFrame, path: str, id_col: Column | None = None)
     return docs.select(idc.alias("id"), n.alias("n")).where(F.col("n") > 0)
 
 
+def access_list_docs(docs: DataFrame, paths: Sequence[str]) -> DataFrame:
+    """G23 companion: documents whose access list (array) at each path is non-empty."""
+    arr = F.array(*[F.struct(F.lit(p).alias(KEY), F.size(V.as_array(V.at(DOC, p))).alias("n")) for p in paths])
+    return docs.select(F.inline(arr)).groupBy(KEY).agg(F.count_if(F.col("n") > 0).alias("docs_with_list"))
+
+
 def bool_distribution(docs: DataFrame, paths: Sequence[str]) -> DataFrame:
     """Strict true / strict false counts per boolean path (other values ignored)."""
     arr = F.array(*[F.struct(F.lit(p).alias(KEY), V.at(DOC, p).alias("v")) for p in paths])

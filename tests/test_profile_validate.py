@@ -49,3 +49,12 @@ def test_report_sections_run(docs):
     assert set(rep) >= {"field_coverage", "schema_recommendation", "snapshot_profile"}
     for name, df in rep.items():
         df.collect()
+
+
+def test_timestamp_examples_and_access_lists(docs):
+    d = docs({"t": {"$date": "2021-01-01T00:00:00Z"}, "acc": ["a"]}, {"t": "2021-01-02T00:00:00Z", "acc": []},
+             {"t": "2021-01-02T00:00:00Z"})
+    row = G.timestamp_profile(d, ["t"], examples=2).first()
+    assert row["present"] == 3 and row["formats"] == "iso_z,object_date"
+    assert row["examples"] == '{"$date":"2021-01-01T00:00:00Z"} | "2021-01-02T00:00:00Z"'
+    assert rows(G.access_list_docs(d, ["acc"])) == [("acc", 1)]
