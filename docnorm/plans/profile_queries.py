@@ -115,6 +115,13 @@ def bool_distribution(spark, d):
     return G.bool_distribution(orders_docs(spark, d), ["deleted", "lumbreNextSigner.id"])
 
 
+def access_list_docs(spark, d):
+    from ..sources import nest
+    return G.access_list_docs(nest.docs(spark, d, "documents"),
+                              ["calculatedProps.whoCanAccess.users", "calculatedProps.whoCanAccess.areas",
+                               "calculatedProps.whoCanAccess.subareas"])
+
+
 def nested_distribution(spark, d):
     return G.nested_distribution(orders_docs(spark, d), "documentSteps.position")
 
@@ -377,6 +384,10 @@ UNION ALL SELECT 'recipients', 'emails', count(*) FILTER (WHERE k % 3 = 0), coun
  0::BIGINT AS n_false FROM orders
 UNION ALL SELECT 'lumbreNextSigner.id', 0::BIGINT, 0::BIGINT""",
 
+    "access_list_docs": """SELECT 'calculatedProps.whoCanAccess.users' AS field, count(*) AS docs_with_list FROM lineitem
+UNION ALL SELECT 'calculatedProps.whoCanAccess.areas', count(*) FROM lineitem
+UNION ALL SELECT 'calculatedProps.whoCanAccess.subareas', 0::BIGINT""",
+
     "nested_distribution": """SELECT CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE CAST(o_orderkey % 4 AS VARCHAR) END AS value,
  count(*) AS n FROM orders GROUP BY 1""",
 

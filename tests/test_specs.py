@@ -56,3 +56,12 @@ def test_refresh_of_users_reaches_consumers_not_catalogs():
     closure = L.refresh_tables("users")
     assert "lml_users.main" in closure and "lml_usersgroups.members" in closure
     assert "lml_users.roles" not in closure and "lml_usersgroups.main" not in closure
+
+
+def test_recommended_conf_scales_with_input():
+    from docnorm.session import recommended_conf
+    small = recommended_conf(10 * 1024 ** 3, 64)
+    big = recommended_conf(100 * 1024 ** 4, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128          # 2x cores floor
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600         # ~256 MB each
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
