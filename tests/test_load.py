@@ -113,3 +113,14 @@ def test_concurrent_table_writes_match_sequential(spark):
                           parallel=par)
     tables = ["main", "movements", "initiator_fields", "process_documents", "last_movements"]
     assert counts(a, "lml_processes", tables) == counts(b, "lml_processes", tables)
+
+
+def test_salted_parent_rules_match_plain(spark):
+    from docnorm.plans import spec as S, collections as CL
+    docs = nest.docs(spark, SF, "orders")
+    users = nest.docs(spark, SF, "users").selectExpr("1 as x")
+    from docnorm.plans.queries import users_main_ids
+    ids = users_main_ids(spark, SF)
+    a = S.normalise(CL.USERSGROUPS, docs, users=ids, run_ts=run_ts()).tables["members"]
+    b = S.normalise(CL.USERSGROUPS, docs, users=ids, run_ts=run_ts(), salt=5).tables["members"]
+    assert sorted(a.collect()) == sorted(b.collect())
