@@ -20,14 +20,23 @@ DOC = "doc"
 MAX_BROADCAST_SPLITS = 1_000_000
 
 
-def estimated_splits(spark: SparkSession, path: str) -> int:
-    """Upper bound of input splits of ``path`` from file-system metadata only:
-    files + total bytes / maxPartitionBytes."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    summary = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p)
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024)).rstrip("bB") or 134217728)
-    return int(summary.getFileCount()) + int(summary.getLength()) // max(split, 1) + 1
+def estimated_splits(spark: SparkSession, path: str) -> int | None:
+    """Upper bound of input splits of ``path`` (globs allowed) from file-system metadata
+    only: files + total bytes / maxPartitionBytes. None when it cannot be told."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        matches = fs.globStatus(p) or []
+        files = size = 0
+        for st in matches:
+            summary = fs.getContentSummary(st.getPath())
+            files += int(summary.getFileCount())
+            size += int(summary.getLength())
+        split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("bB") or 134217728)
+        return files + size // max(split, 1) + 1
+    except Exception:  # unknown: no broadcast hint, AQE decides from run-time sizes
+        return None
 
 
 def _offsets_side(offsets: DataFrame, splits: int | None) -> DataFrame:

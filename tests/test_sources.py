@@ -40,3 +40,15 @@ def test_export_empty_sample_writes_nothing(spark, docs):
     out = os.path.join(tempfile.mkdtemp(prefix="sample-"), "s")
     assert D.export_sample(src, out) == 0
     assert not os.path.exists(out)
+
+
+def test_read_parquet_text_column_dense_seq(spark):
+    d = tempfile.mkdtemp(prefix="pq-")
+    for i in range(2):
+        spark.createDataFrame([(f'{{"f": {i}, "n": {j}}}',) for j in range(4)], "json string") \
+            .coalesce(1).write.mode("overwrite").parquet(os.path.join(d, f"part{i}"))
+    docs = D.read_documents(spark, os.path.join(d, "*"), fmt="parquet", text_col="json")
+    got = sorted((r["_seq"], r["doc"].toJson()) for r in docs.collect())
+    assert [s for s, _ in got] == list(range(8))
+    # file order, then row order inside each file
+    assert [j for _, j in got][:4] == [f'{{"f":0,"n":{j}}}' for j in range(4)]
