@@ -33,12 +33,19 @@ def estimated_splits(spark: SparkSession, path: str) -> int | None:
             summary = fs.getContentSummary(st.getPath())
             files += int(summary.getFileCount())
             size += int(summary.getLength())
-        split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("bB") or 134217728)
+        split = _bytes(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")))
         return files + size // max(split, 1) + 1
     except Exception:  # unknown: no broadcast hint, AQE decides from run-time sizes
         return None
 
 
+def _bytes(text: str) -> int:
+    """Spark byte-size text ('134217728', '128m', '1g', '64MB') -> bytes."""
+    t = text.strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+    return int(t[:-1]) * units[t[-1]] if t and t[-1] in units else int(t)
+
+
 def _offsets_side(offsets: DataFrame, splits: int | None) -> DataFrame:
     return F.broadcast(offsets) if splits is not None and splits <= MAX_BROADCAST_SPLITS else offsets
 

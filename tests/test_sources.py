@@ -52,3 +52,24 @@ def test_read_parquet_text_column_dense_seq(spark):
     assert [s for s, _ in got] == list(range(8))
     # file order, then row order inside each file
     assert [j for _, j in got][:4] == [f'{{"f":0,"n":{j}}}' for j in range(4)]
+
+
+def test_read_jsonl_glob_and_unit_suffixed_split_size(spark):
+    d = tempfile.mkdtemp(prefix="jsonl-")
+    for i in range(2):
+        with open(os.path.join(d, f"p{i}.json"), "w") as fh:
+            fh.write("".join(f'{{"f": {i}, "n": {j}}}\n' for j in range(3)))
+    assert D.estimated_splits(spark, os.path.join(d, "*.json")) >= 2
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    try:
+        docs = D.read_documents(spark, os.path.join(d, "*.json"))
+        assert sorted(r["_seq"] for r in docs.collect()) == list(range(6))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_byte_sizes():
+    assert D._bytes("134217728") == 134217728
+    assert D._bytes("128m") == D._bytes("128MB") == 128 * 1024 * 1024
+    assert D._bytes("1g") == 1 << 30
