@@ -59,3 +59,12 @@ def test_dedupe_is_partial_aggregate(spark):
     d = df(spark, [("a", "x", 0)])
     plan = U.dedupe(d, "id")._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan or "HashAggregate" in plan
+
+
+def test_upsert_null_keys_never_conflict(spark):
+    target = spark.createDataFrame([(None, "t-null"), ("a", "old")], "id string, name string")
+    inc = df(spark, [(None, "i-null", 0), ("a", "new", 1)])
+    assert sorted(rows(U.upsert(target, inc, "id", "last")), key=str) == sorted(
+        [(None, "t-null"), (None, "i-null"), ("a", "new")], key=str)
+    assert sorted(rows(U.upsert(target, inc, "id", "first")), key=str) == sorted(
+        [(None, "t-null"), (None, "i-null"), ("a", "old")], key=str)

@@ -80,3 +80,9 @@ def test_salted_joins_equal_plain(spark):
             sorted(R.orphans(child, "k", parent, "id").collect())
         assert sorted(R.null_if_orphan(child, "k", parent, "id", salt=salt).collect()) == \
             sorted(R.null_if_orphan(child, "k", parent, "id").collect())
+
+
+def test_load_order_detects_cycles():
+    import pytest
+    with pytest.raises(ValueError):
+        R.load_order({"a": ("b",), "b": ("a",)})

@@ -73,3 +73,11 @@ def test_byte_sizes():
     assert D._bytes("134217728") == 134217728
     assert D._bytes("128m") == D._bytes("128MB") == 128 * 1024 * 1024
     assert D._bytes("1g") == 1 << 30
+
+
+def test_write_table_to_path_and_catalog(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="wt-"), "t")
+    D.write_table(spark.range(3), "ignored", path=out)
+    assert spark.read.parquet(out).count() == 3
+    D.write_table(spark.range(2), "default.docnorm_write_probe")
+    assert spark.table("default.docnorm_write_probe").count() == 2
