@@ -31,12 +31,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "doc
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a folder under the system temp dir is chosen.
+    A local session (driver and executors in one process) gets a folder under the system
+    temp dir when none is set; on a cluster an unset folder is an error, since executors
+    do not share the driver's disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="docnorm-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
