@@ -1,12 +1,14 @@
 """Registered queries of the operators and the DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
-from docnorm.llm import mixing
+from docnorm.llm import chat, mixing
 
 QUERIES = {
+    "op5_chat_format": chat.op5_chat_format,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 
 ORACLE = {
+    "op5_chat_format": chat.ORACLE_SQL,
     "op9_mix_sources": mixing.ORACLE_SQL,
 }
