@@ -1,9 +1,11 @@
 """Registered queries of the operators and the DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
-from docnorm.llm import chat, mixing
+from docnorm.llm import chat, mixing, packing, training_order
 
 QUERIES = {
+    "op1_pack_best_fit": packing.op1_pack_best_fit,
+    "op4_training_order": training_order.op4_training_order,
     "op5_chat_format": chat.op5_chat_format,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
