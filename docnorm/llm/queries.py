@@ -1,18 +1,20 @@
 """Registered queries of the operators and the DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
-from docnorm.llm import chat, mixing, near_dup, packing, training_order
+from docnorm.llm import chat, merkle, mixing, near_dup, packing, training_order
 
 QUERIES = {
     "op1_pack_best_fit": packing.op1_pack_best_fit,
     "op4_training_order": training_order.op4_training_order,
     "op5_chat_format": chat.op5_chat_format,
     "op7_minhash_near_dup": near_dup.op7_minhash_near_dup,
+    "op8_merkle_fingerprints": merkle.op8_merkle_fingerprints,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 
 ORACLE = {
     "op5_chat_format": chat.ORACLE_SQL,
     "op7_minhash_near_dup": near_dup.ORACLE_SQL,
+    "op8_merkle_fingerprints": merkle.ORACLE_SQL,
     "op9_mix_sources": mixing.ORACLE_SQL,
 }
