@@ -1,10 +1,11 @@
 """Registered queries of the operators and the DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
-from docnorm.llm import chat, merkle, mixing, near_dup, packing, training_order
+from docnorm.llm import chat, merkle, mixing, near_dup, packing, top_k, training_order
 
 QUERIES = {
     "op1_pack_best_fit": packing.op1_pack_best_fit,
+    "op3_bit_sliced_top_k": top_k.op3_bit_sliced_top_k,
     "op4_training_order": training_order.op4_training_order,
     "op5_chat_format": chat.op5_chat_format,
     "op7_minhash_near_dup": near_dup.op7_minhash_near_dup,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_bit_sliced_top_k": top_k.ORACLE_SQL,
     "op5_chat_format": chat.ORACLE_SQL,
     "op7_minhash_near_dup": near_dup.ORACLE_SQL,
     "op8_merkle_fingerprints": merkle.ORACLE_SQL,
