@@ -1,7 +1,9 @@
 """Helpers shared by the operators: written tables, a distributed rank, word pattern."""
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -23,7 +25,19 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package whatever folder the driver was started in.
+
+    On a cluster the package is installed or shipped with ``--py-files``; there this adds a
+    path that workers do not have and ignore.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

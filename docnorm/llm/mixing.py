@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docnorm.llm.common import global_rank, n_words, write_table
+from docnorm.llm.common import global_rank, n_words, table, write_table
 
 HASH_BITS, STEP_BITS = 60, 10
 
@@ -129,7 +129,7 @@ def mix(docs: DataFrame, seed: str = "mix", max_repeats: int = 3) -> DataFrame:
 
 
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
-    return mix_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mix_counts(table(spark, sf_dir, "documents"))
 
 
 ORACLE_SQL = r"""

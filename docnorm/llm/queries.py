@@ -1,16 +1,18 @@
 """Registered queries of the operators and the DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
-from docnorm.llm import chat, merkle, mixing, near_dup, packing, top_k, training_order
+from docnorm.llm import chat, language, merkle, mixing, near_dup, packing, quality, top_k, training_order
 
 QUERIES = {
     "op1_pack_best_fit": packing.op1_pack_best_fit,
     "op3_bit_sliced_top_k": top_k.op3_bit_sliced_top_k,
     "op4_training_order": training_order.op4_training_order,
     "op5_chat_format": chat.op5_chat_format,
+    "op6_language_centroids": language.op6_language_centroids,
     "op7_minhash_near_dup": near_dup.op7_minhash_near_dup,
     "op8_merkle_fingerprints": merkle.op8_merkle_fingerprints,
     "op9_mix_sources": mixing.op9_mix_sources,
+    "op10_ordinal_quality": quality.op10_ordinal_quality,
 }
 
 ORACLE = {
