@@ -1,10 +1,11 @@
 """Registered queries of the operators and the DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
-from docnorm.llm import chat, language, merkle, mixing, near_dup, packing, quality, top_k, training_order
+from docnorm.llm import chat, language, merkle, mixing, near_dup, packing, quality, suffix_dedup, top_k, training_order
 
 QUERIES = {
     "op1_pack_best_fit": packing.op1_pack_best_fit,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_bit_sliced_top_k": top_k.op3_bit_sliced_top_k,
     "op4_training_order": training_order.op4_training_order,
     "op5_chat_format": chat.op5_chat_format,
