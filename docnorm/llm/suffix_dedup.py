@@ -283,7 +283,7 @@ def with_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False)
 def united(spans: list | None) -> list[tuple[int, int]]:
     """Maximal ranges covered by the spans."""
     out: list[tuple[int, int]] = []
-    for first, end in sorted((s["first"], s["end"]) for s in spans or ()):
+    for first, end in sorted((s["first"], s["end"]) for s in (() if spans is None else spans)):
         if out and first <= out[-1][1]:
             out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
