@@ -58,7 +58,7 @@ def likeness(a: Column, b: Column, set_a: Column, set_b: Column) -> Column:
 
 def edited_branches(a: Column, b: Column) -> Column:
     """(section, paragraph) places, from 0, where two trees differ; equal sections are not entered."""
-    def inside(s, i):
+    def inside(i):
         left, right = F.get(a, i)["paragraphs"], F.get(b, i)["paragraphs"]
         places = F.sequence(F.lit(0), F.greatest(F.size(F.coalesce(left, F.array())), F.size(F.coalesce(right, F.array())), F.lit(1)) - 1)
         return F.transform(F.filter(places, lambda j: ~F.get(left, j)["hash"].eqNullSafe(F.get(right, j)["hash"])),

@@ -55,9 +55,22 @@ def best_pattern(sizes: list[int], counts: list[int], room: int) -> dict[int, in
     return pattern
 
 
-def pack(lengths: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS, small: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of every length in 1..capacity."""
-    small = capacity // 3 if small is None else small
+def pack(lengths: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of every length in 1..capacity, with the fewest bins of three views on
+    which pieces are large: those over an eighth, a third or half of the capacity."""
+    tried = [pack_above(lengths, capacity, groups, capacity // part) for part in (8, 3, 2)]
+    bins = min(tried, key=lambda b: b.max(initial=-1))
+    by_bin = np.argsort(bins, kind="stable")
+    sizes = lengths[by_bin]
+    starts = np.cumsum(sizes) - sizes
+    new = np.r_[True, np.diff(bins[by_bin]) > 0][:len(bins)]
+    offsets = np.empty(len(bins), np.int64)
+    offsets[by_bin] = starts - np.repeat(starts[new], np.diff(np.r_[np.flatnonzero(new), len(bins)]))
+    return bins, offsets
+
+
+def pack_above(lengths: np.ndarray, capacity: int, groups: int, small: int) -> np.ndarray:
+    """Bin of every length; those over ``small`` are grouped and rounded up."""
     order = np.argsort(-lengths, kind="stable")
     n_large = int((lengths > small).sum())
     large, bins, room = order[:n_large], np.empty(len(lengths), np.int64), []
@@ -80,13 +93,7 @@ def pack(lengths: np.ndarray, capacity: int = CAPACITY, groups: int = GROUPS, sm
                             used += int(lengths[i])
                     room.append(capacity - used)
     best_fit(order[n_large:], lengths, bins, room, capacity)
-    by_bin = np.lexsort((np.arange(len(bins)), bins))
-    ends = np.cumsum(lengths[by_bin])
-    starts = ends - lengths[by_bin]
-    new = np.r_[True, np.diff(bins[by_bin]) > 0] if len(bins) else np.zeros(0, bool)
-    offsets = np.empty(len(bins), np.int64)
-    offsets[by_bin] = starts - np.repeat(starts[new], np.diff(np.r_[np.flatnonzero(new), len(bins)]))
-    return bins, offsets
+    return bins
 
 
 def best_fit(pieces: np.ndarray, lengths: np.ndarray, bins: np.ndarray, room: list[int], capacity: int) -> None:

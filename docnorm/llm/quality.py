@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from docnorm.llm.common import table
 from docnorm.llm.sampling import bounded_sample
 
-BITS, PER_GRADE, STEPS, RIDGE = 17, 4000, 150, 2e-4
+BITS, PER_GRADE, STEPS, RIDGE = 17, 4000, 250, 5e-5
 STYLE = 8  # features kept ahead of the hashed ones
 WORD_PARTS = re.compile(r"[^\W\d_]+|[^\w\s]+")
 
@@ -74,15 +74,20 @@ class Model:
         return sigmoid(scores(*csr, self.weight)[:, None] - self.cuts[None, :])
 
 
-def fit_rows(csr: tuple, grades: np.ndarray, n_grades: int, steps: int = STEPS, rare: int = 3) -> Model:
+def fit_rows(csr: tuple, grades: np.ndarray, n_grades: int, steps: int = STEPS, rare: int | None = None) -> Model:
     """Full-batch Adam on the cumulative-link likelihood with a ridge; every grade weighs the
-    same, features of fewer than ``rare`` rows are left out."""
+    same. Hashed features are scaled by inverse document frequency (the scale becomes part of
+    the weights); those of fewer than ``rare`` rows (by default 3 and one more for every 500
+    rows) are left out."""
     starts, at, value = csr
     rows = np.repeat(np.arange(len(grades)), np.diff(starts))
-    known = np.bincount(at, minlength=STYLE + (1 << BITS)) >= rare
-    value = value * known[at]
+    rare = 3 + len(grades) // 500 if rare is None else rare
+    found = np.bincount(at, minlength=STYLE + (1 << BITS))
+    scale = np.log((1 + len(grades)) / (1 + found)) / 4 * (found >= rare)
+    scale[:STYLE] = 1
+    value = value * scale[at]
     share = 1 / np.maximum(np.bincount(grades, minlength=n_grades), 1)[grades] / n_grades
-    weight, low, gaps = np.zeros(len(known)), 0.0, np.zeros(max(n_grades - 2, 0))
+    weight, low, gaps = np.zeros(len(scale)), 0.0, np.zeros(max(n_grades - 2, 0))
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (weight, np.zeros(1), gaps)]
     for step in range(1, steps + 1):
         cuts = low + np.r_[0.0, np.cumsum(np.exp(gaps))]
@@ -104,7 +109,7 @@ def fit_rows(csr: tuple, grades: np.ndarray, n_grades: int, steps: int = STEPS,
             v += 0.01 * (g * g - v)
             moves.append(0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8))
         weight, low, gaps = weight - moves[0], low - moves[1][0], gaps - moves[2]
-    return Model(weight.astype(np.float32), low + np.r_[0.0, np.cumsum(np.exp(gaps))])
+    return Model((weight * scale).astype(np.float32), low + np.r_[0.0, np.cumsum(np.exp(gaps))])
 
 
 def fit(rated: DataFrame, n_grades: int = 3, per_grade: int = PER_GRADE) -> Model | None:
