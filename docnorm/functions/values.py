@@ -175,6 +175,24 @@ def coalesce_truthy(*vals: Column) -> Column:
     return out
 
 
+def _scalar_id(v: Column) -> Column:
+    """Text of a truthy scalar, else NULL; smaller code than ``truthy``, whose container
+    tests a scalar does not need."""
+    text = to_str(v)
+    zero = F.coalesce(F.try_variant_get(v, "$", "double"), F.lit(1.0)) == 0
+    return F.when((F.length(text) > 0) & ((schema(v) == "STRING") | ~zero), text)
+
+
+def user_id(v: Column | str, first: str = "id", second: str = "_id") -> Column:
+    """Id text of an object's ``id``, else ``_id``; an id object gives its ``$oid``. NULL when
+    both are falsy or the object holds none."""
+    a, b = at(v, first), at(v, second)
+    def oid_text(x):
+        return F.nullif(F.try_variant_get(x, jpath(["$oid"]), "string"), F.lit(""))
+    return (F.when(is_object(a) & (F.size(as_object(a)) > 0), oid_text(a))
+            .otherwise(F.coalesce(_scalar_id(a), F.when(is_object(b), oid_text(b)).otherwise(_scalar_id(b)))))
+
+
 def ct(v: Column | str, paths: list[str], dtype: str = "string") -> Column:
     """Truthy coalesce of several paths, typed."""
     return F.try_variant_get(coalesce_truthy(*[at(v, p) for p in paths]), "$", dtype)

@@ -23,6 +23,17 @@ def _keep(df: DataFrame, keep: Sequence[str | Column] | None) -> list:
     return list(keep)
 
 
+def _generated(df: DataFrame, cols: list, given: Column, generator, *names: str) -> DataFrame:
+    """Rows of ``generator`` over ``given``, beside ``cols``.
+
+    Columns and the generator's input are computed first, once per document, so the
+    generator carries neither the document nor expressions over it from item to item.
+    """
+    narrow = df.select(*cols, given.alias("_given"))
+    kept = [c for c in narrow.columns if c != "_given"]
+    return narrow.select(*kept, generator(F.col("_given")).alias(*names))
+
+
 def explode_array(
     df: DataFrame,
     path: str,
@@ -40,8 +51,8 @@ def explode_array(
     arr = V.as_array(V.at(doc, path))
     cols = _keep(df, keep)
     if with_pos:
-        return df.select(*cols, F.posexplode(arr).alias(pos, item))
-    return df.select(*cols, F.explode(arr).alias(item))
+        return _generated(df, cols, arr, F.posexplode, pos, item)
+    return _generated(df, cols, arr, F.explode, item)
 
 
 def explode_object(
@@ -54,7 +65,7 @@ def explode_object(
 ) -> DataFrame:
     """One row per (key, value) of the object at ``path`` used as a map."""
     m = V.as_object(V.at(doc, path))
-    return df.select(*_keep(df, keep), F.explode(m).alias(key, item))
+    return _generated(df, _keep(df, keep), m, F.explode, key, item)
 
 
 def tagged_union(
@@ -80,7 +91,7 @@ def tagged_union(
         arr = F.coalesce(V.as_array(V.at(doc, p)), F.array().cast("array<variant>"))
         parts.append(F.transform(arr, tagger(t)))
     allv = F.concat(*parts) if len(parts) > 1 else parts[0]
-    out = df.select(*_keep(df, keep), F.posexplode(allv).alias(pos, "_u"))
+    out = _generated(df, _keep(df, keep), allv, F.posexplode, pos, "_u")
     return out.select(*[c for c in out.columns if c != "_u"], F.col("_u")[tag].alias(tag), F.col("_u")[item].alias(item))
 
 
@@ -93,11 +104,11 @@ def unpivot_objects(
     item: str = ITEM,
     truthy_only: bool = True,
 ) -> DataFrame:
-    """Sibling **objects** to rows (one row per present branch), tagged."""
+    """Sibling **objects** to rows (one row per branch that holds a non-empty object), tagged."""
     arr = F.array(*[F.struct(F.lit(t).alias(tag), V.at(doc, p).alias(item)) for t, p in branches.items()])
     out = df.select(*_keep(df, keep), F.inline(arr))
     if truthy_only:
-        out = out.where(V.truthy(F.col(item)))
+        out = out.where(F.size(V.as_object(F.col(item))) > 0)
     return out
 
 

@@ -37,19 +37,20 @@ def _types(kind: Column) -> Column:
 
 # --------------------------------------------------------------------------- G1–G4
 def field_coverage(docs: DataFrame, total: int | None = None) -> DataFrame:
-    """G1: per top-level field: documents having it, share (floor %), JSON nulls, type set."""
+    """G1: per top-level field: documents having it, exact share in per cent, JSON nulls,
+    type set, and whether the name is that of a dynamic field (``<base>_<n>``)."""
     total = total_docs(docs) if total is None else total
     e = entries(docs)
     agg = e.groupBy(KEY).agg(F.count(F.lit(1)).alias("present"), F.count_if(F.col("kind") == "null").alias("nulls"),
                              _types(F.col("kind")).alias("types"))
     return agg.select(KEY, "present", F.lit(total).cast("bigint").alias("total"),
-                      F.floor(F.col("present") * 100 / F.lit(total)).cast("bigint").alias("pct"), "nulls", "types")
+                      (F.col("present") * 100 / F.lit(total)).alias("pct"), "nulls", "types", _is_dynamic(F.col(KEY)).alias("dynamic"))
 
 
 def presence_pct(docs: DataFrame, total: int | None = None) -> DataFrame:
     """Integer-percent presence listing (floor), most present first."""
     cov = field_coverage(docs, total)
-    return cov.select(KEY, "present", "pct")
+    return cov.select(KEY, "present", F.floor("pct").cast("bigint").alias("pct"))
 
 
 def null_counts(docs: DataFrame, empty_is_null: bool = False) -> DataFrame:
@@ -71,9 +72,10 @@ def example_text(v: Column, width: int = 60) -> Column:
             .otherwise(F.substring(V.to_str(v), 1, width)))
 
 
-def field_examples(docs: DataFrame, k: int = 3, width: int = 60) -> DataFrame:
-    """Up to ``k`` distinct example values per field, in first-seen document order."""
-    e = entries(docs).where(F.col("kind") != "null")
+def field_examples(docs: DataFrame, k: int = 3, width: int = 60, truthy_only: bool = False) -> DataFrame:
+    """Up to ``k`` distinct example values per field, in first-seen document order; with
+    ``truthy_only``, falsy values ('' 0 false [] {}) give no example."""
+    e = entries(docs).where(V.truthy(F.col("value")) if truthy_only else F.col("kind") != "null")
     ex = e.select(SEQ, KEY, example_text(F.col("value"), width).alias("example"))
     firsts = ex.groupBy(KEY, "example").agg(F.min(SEQ).alias("first_seq"))
     w = Window.partitionBy(KEY).orderBy("first_seq", "example")
@@ -212,16 +214,17 @@ def membership_sizes(docs: DataFrame, path: str = "users") -> DataFrame:
 def membership_profile(docs: DataFrame, path: str = "users") -> DataFrame:
     """G14 summary: groups with members, total memberships, distinct members, min/max/avg.
 
-    One aggregation over (group, member) rows; a group without members contributes one
-    row with a NULL member, so group-level and member-level counts come out together."""
-    s = membership_sizes(docs, path)
-    x = s.select(SEQ, "n", F.explode_outer("members").alias("m")).select(SEQ, "n", V.to_str(F.col("m")).alias("m"))
-    return x.agg(
-        F.countDistinct(F.when(F.col("n") > 0, F.col(SEQ))).alias("groups_with_members"),
-        F.count(F.col("m")).alias("memberships"),
-        F.countDistinct("m").alias("distinct_members"),
-        F.min("n").cast("bigint").alias("min_size"), F.max("n").cast("bigint").alias("max_size"),
-        (F.count(F.col("m")) / F.countDistinct(SEQ)).alias("avg_size"))
+    Sizes count groups that have members. Groups and members are aggregated apart (one row
+    each, put together by a last aggregate), so neither makes the other's rows."""
+    s = membership_sizes(docs, path).where(F.col("n") > 0)
+    groups = s.agg(F.count(F.lit(1)).alias("groups_with_members"), F.sum("n").cast("bigint").alias("memberships"),
+                   F.min("n").cast("bigint").alias("min_size"), F.max("n").cast("bigint").alias("max_size"),
+                   F.avg("n").alias("avg_size"))
+    members = (s.select(F.explode("members").alias("m")).select(V.to_str(F.col("m")).alias("m")).where("m IS NOT NULL")
+               .groupBy("m").agg(F.count(F.lit(1)).alias("times")).agg(F.count(F.lit(1)).alias("distinct_members")))
+    both = groups.unionByName(members, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("groups_with_members", "memberships", "distinct_members", "min_size",
+                                                  "max_size", "avg_size")])
 
 
 # Membership histogram buckets.
@@ -272,37 +275,58 @@ def timestamp_profile(docs: DataFrame, fields: Sequence[str], examples: int = 0)
 def timestamp_fields(docs: DataFrame, total: int | None = None) -> DataFrame:
     """Fields whose name contains 'at' or 'date' (any case), with coverage."""
     cov = field_coverage(docs, total)
-    return cov.where(F.lower(F.col(KEY)).rlike("at|date")).select(KEY, "present", "pct")
+    return cov.where(F.lower(F.col(KEY)).rlike("at|date")).select(KEY, "present", F.floor("pct").cast("bigint").alias("pct"))
 
 
 # --------------------------------------------------------------------------- G17–G19
 # Dynamic-field detection pattern and the keys it ignores.
 DYNAMIC_DETECT = r"^(.+)_(\d+)$"
 DYNAMIC_DETECT_IGNORED = ("__v", "_id")
+# Names of ``_<n>`` fields and of their values' types.
+UNDERSCORE = r"^_\d+$"
+UNDERSCORE_TYPES = {"integer": "int", "boolean": "bool", "array": "list"}
+
+
+def _is_dynamic(name: Column) -> Column:
+    return name.rlike(DYNAMIC_DETECT) & ~name.isin(*DYNAMIC_DETECT_IGNORED)
 
 
-def dynamic_detect(docs: DataFrame) -> DataFrame:
-    """Fields named ``<base>_<n>``: documents with each and the first example."""
-    e = entries(docs).where(F.col(KEY).rlike(DYNAMIC_DETECT) & ~F.col(KEY).isin(*DYNAMIC_DETECT_IGNORED))
-    return e.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"),
-                              F.min_by(example_text(F.col("value"), 100), F.col(SEQ)).alias("example"))
+def dynamic_detect(docs: DataFrame, examples: int = 2) -> DataFrame:
+    """Fields named ``<base>_<n>``: documents with each and its first truthy examples."""
+    e = entries(docs).where(_is_dynamic(F.col(KEY)))
+    w = Window.partitionBy(KEY).orderBy(SEQ)
+    firsts = (e.where(V.truthy(F.col("value"))).select(KEY, SEQ, "value").withColumn("rank", F.row_number().over(w))
+              .where(F.col("rank") <= examples).select(KEY, "rank", example_text(F.col("value"), 100).alias("example")))
+    lists = firsts.groupBy(KEY).agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("rank", "example"))), lambda x: x["example"]), " | ").alias("examples"))
+    return e.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).join(lists, KEY, "left").select(KEY, "n", "examples")
 
 
 def dynamic_patterns(docs: DataFrame, top: int = 20) -> DataFrame:
     """Dynamic base names by number of variants (top ``top``)."""
-    d = dynamic_detect(docs).select(F.regexp_extract(KEY, DYNAMIC_DETECT, 1).alias("base"), KEY, "n")
-    g = d.groupBy("base").agg(F.count(F.lit(1)).alias("variants"), F.sum("n").cast("bigint").alias("occurrences"))
-    w = Window.orderBy(F.col("variants").desc(), F.col("base"))
-    return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select(
+    d = entries(docs).where(_is_dynamic(F.col(KEY))).groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    g = d.groupBy(F.regexp_extract(KEY, DYNAMIC_DETECT, 1).alias("base")).agg(
+        F.count(F.lit(1)).alias("variants"), F.sum("n").cast("bigint").alias("occurrences"))
+    order = [F.col("variants").desc(), F.col("base")]
+    w = Window.orderBy(*order)  # over the ``top`` rows that are left
+    return g.orderBy(*order).limit(top).withColumn("rank", F.row_number().over(w)).select(
         "base", "variants", "occurrences", F.col("rank").cast("bigint").alias("rank"))
 
 
 def underscore_fields(docs: DataFrame) -> DataFrame:
-    """Fields named ``_<n>``: documents, type set, and how many keys their objects hold."""
-    e = entries(docs).where(F.col(KEY).rlike(r"^_\d+$"))
-    nk = F.size(V.as_object(F.col("value")))
-    return e.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), _types(F.col("kind")).alias("types"),
-                              F.sum(F.when(F.col("kind") == "object", nk).otherwise(0)).cast("bigint").alias("nested_keys"))
+    """Fields named ``_<n>``: documents and type set, empty text counting as null."""
+    e = entries(docs).where(F.col(KEY).rlike(UNDERSCORE))
+    empty = (F.col("kind") == "null") | ((F.col("kind") == "string") & (F.try_variant_get("value", "$", "string") == ""))
+    names = F.coalesce(F.when(empty, F.lit("null/empty")), F.element_at(
+        F.create_map(*[F.lit(x) for pair in UNDERSCORE_TYPES.items() for x in pair]), F.col("kind")), F.col("kind"))
+    return e.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"), _types(names).alias("types"))
+
+
+def underscore_nested(docs: DataFrame) -> DataFrame:
+    """Keys inside the objects of ``_<n>`` fields, with the documents that have each."""
+    e = entries(docs).where(F.col(KEY).rlike(UNDERSCORE) & (F.col("kind") == "object"))
+    keys = e.select(KEY, F.explode(F.map_keys(V.as_object(F.col("value")))).alias("nested_key"))
+    return keys.groupBy(KEY, "nested_key").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --------------------------------------------------------------------------- G20–G27
@@ -358,15 +382,17 @@ def structure_variants(docs: DataFrame) -> DataFrame:
     return g.withColumn("json_candidate", F.col("variants") > 1)
 
 
-# Words the reference probe looks for in serialised documents.
-PROBE_WORDS = ("user", "createdby", "customer")
+# Entities the reference probe looks for in serialised documents, by word.
+PROBES = {"user": ("user", "createdby"), "customer": ("customer",)}
 
 
-def text_reference_probe(docs: DataFrame, words: Sequence[str] = PROBE_WORDS) -> DataFrame:
-    """Documents whose serialised text contains each word (case-insensitive)."""
-    low = F.lower(F.to_json(F.col(DOC)))
-    arr = F.array(*[F.struct(F.lit(w).alias("word"), F.contains(low, F.lit(w)).alias("hit")) for w in words])
-    return docs.select(F.inline(arr)).groupBy("word").agg(F.count_if("hit").alias("n"))
+def text_reference_probe(docs: DataFrame, probes: dict[str, Sequence[str]] = PROBES) -> DataFrame:
+    """Documents whose serialised text contains any word of each entity (any case)."""
+    x = docs.select(F.lower(F.to_json(F.col(DOC))).alias("low"))
+    def hit(words):
+        return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.col("low"), w))
+    arr = F.array(*[F.struct(F.lit(k).alias("word"), hit(words).alias("hit")) for k, words in probes.items()])
+    return x.select(F.inline(arr)).groupBy("word").agg(F.count_if("hit").alias("n"))
 
 
 def position_sample(docs: DataFrame, total: int | None = None) -> DataFrame:
@@ -403,6 +429,16 @@ def schema_recommendation(docs: DataFrame, total: int | None = None, jsonb_keys:
                     (is_scalar & (F.col("present") == F.col("total"))).alias("not_null"), "present", "types")
 
 
+def child_table_candidates(docs: DataFrame, min_avg: float = 5) -> DataFrame:
+    """G28 flavour: array fields whose average length passes ``min_avg``."""
+    return array_profile(docs).where(F.col("avg_len") > min_avg).select(KEY, "avg_len", "docs_with_array")
+
+
+def optional_fields(docs: DataFrame, total: int | None = None) -> DataFrame:
+    """G28 flavour: fields that some document lacks, with their share."""
+    return field_coverage(docs, total).where(F.col("present") < F.col("total")).select(KEY, "present", "pct")
+
+
 def report(docs: DataFrame, total: int | None = None) -> dict[str, DataFrame]:
     """The generic part of a collection analysis (what the per-collection analyzer scripts
     print), as DataFrames keyed by section; ``documents.write_report`` stores each one."""
@@ -420,6 +456,7 @@ def report(docs: DataFrame, total: int | None = None) -> dict[str, DataFrame]:
         "dynamic_detect": dynamic_detect(docs),
         "dynamic_patterns": dynamic_patterns(docs),
         "underscore_fields": underscore_fields(docs),
+        "underscore_nested": underscore_nested(docs),
         "timestamp_fields": timestamp_fields(docs, total),
         "text_reference_probe": text_reference_probe(docs),
         "position_sample": position_sample(docs, total),

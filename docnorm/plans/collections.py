@@ -29,11 +29,12 @@ def catalog(name, path, cols, policy="last") -> Table:
     return Table(name, S.catalog_object(path), tuple(cols), key=("id",), policy=policy, catalog=True)
 
 
-def _oid_or_id():
-    def f(c):
-        u = V.coalesce_truthy(V.at(c.item, "id"), V.at(c.item, "_id"))
-        return F.when(V.is_object(u), V.get(u, ["$oid"])).otherwise(V.to_str(u))
-    return f
+def _user_text(c):
+    return V.user_id(c.item)
+
+
+def _has_user(c):
+    return V.is_object(c.item) & V.user_id(c.item).isNotNull()
 
 
 def _ts_or_run(path):
@@ -208,7 +209,7 @@ FORMBUILDER = Collection("lml_formbuilder", "formbuilder", depends=("users",), g
 
 # --------------------------------------------------------------------------- processtypes
 def _pt_catalog(name, path):
-    return Table(name, S.truthy_id(path), (C("id", S.str_id("id"), n=255), C("name", S.g("name"), n=255, nn=True)),
+    return Table(name, S.truthy_id(path), (C("id", S.str_id("id"), n=255), C("name", S.d("name", ""), n=255, nn=True)),
                  key=("id",), policy="first_batched", catalog=True)
 
 
@@ -361,7 +362,7 @@ DOCUMENTS = Collection("lml_documents", "documents", depends=("users",), ghosts=
     Table("movements", S.objects("movements"), (
         C("document_id", S.parent()), C("created_at", S.ts("created_at"), TS),
         C("created_by_user_id", S.str_id("created_by.id"), n=255),
-        C("created_by_user_name", S.full_name("created_by"), n=500),
+        C("created_by_user_name", S.name_of("created_by"), n=500),
         C("movement_data", S.jv("movement"), JSON), C("documentation", S.jv("documentation"), JSON),
     )),
     _entities("recipients", "recipients", ("users", "areas", "subareas", "groups")),
@@ -382,8 +383,8 @@ DOCUMENTS = Collection("lml_documents", "documents", depends=("users",), ghosts=
         C("entity_id", S.item_str(), n=255, nn=True),
     ), key=("document_id", "entity_type", "entity_id"), policy="first"),
     Table("next_workflow", S.unpivot({"signer": "lumbreNextSigner", "participant": "lumbreNextParticipant",
-                                      "reviewer": "lumbreNextReviewer"}), (
-        C("document_id", S.parent()), C("workflow_type", S.tag(), n=20, nn=True), C("user_id", _oid_or_id(), n=255),
+                                      "reviewer": "lumbreNextReviewer"}, where=_has_user), (
+        C("document_id", S.parent()), C("workflow_type", S.tag(), n=20, nn=True), C("user_id", _user_text, n=255),
         C("firstname", S.g("firstname"), n=255), C("lastname", S.g("lastname"), n=255), C("email", S.g("email"), n=255),
         C("user_type", S.g("userType"), n=50), C("user_initials", S.g("userInitials"), n=10),
         C("profile_picture", S.g("profilePicture"), n=500), C("role_id", S.sub("role", "id"), n=255),

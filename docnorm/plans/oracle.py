@@ -9,7 +9,7 @@ F_TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
 def _uid(x: str) -> str:
-    return f"('u' || lpad(CAST({x} AS VARCHAR), 6, '0'))"
+    return f"printf('u%06d', CAST({x} AS BIGINT))"
 
 
 OD = f"""od AS (

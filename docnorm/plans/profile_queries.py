@@ -138,6 +138,10 @@ def position_sample(spark, d):
     return G.position_sample(users_docs(spark, d))
 
 
+def optional_fields(spark, d):
+    return G.optional_fields(users_docs(spark, d))
+
+
 def schema_recommendation(spark, d):
     return G.schema_recommendation(users_docs(spark, d))
 
@@ -226,10 +230,15 @@ _SIGS = """sigs AS (
 ORACLE = {
     "field_coverage": "WITH " + USER_ENTRIES + """
 SELECT field, count(*) AS present, (SELECT count(*) FROM customer) AS total,
- CAST(floor(count(*) * 100 / (SELECT count(*) FROM customer)) AS BIGINT) AS pct,
- count(*) FILTER (WHERE kind = 'null') AS nulls, string_agg(DISTINCT kind, ',' ORDER BY kind) AS types
+ count(*) * 100 / (SELECT count(*) FROM customer) AS pct,
+ count(*) FILTER (WHERE kind = 'null') AS nulls, string_agg(DISTINCT kind, ',' ORDER BY kind) AS types,
+ regexp_full_match(field, '(.+)_(\\d+)') AS dynamic
 FROM ue GROUP BY field""",
 
+    "optional_fields": "WITH " + USER_ENTRIES + """
+SELECT field, count(*) AS present, count(*) * 100 / (SELECT count(*) FROM customer) AS pct
+FROM ue GROUP BY field HAVING count(*) < (SELECT count(*) FROM customer)""",
+
     "presence_pct": "WITH " + USER_ENTRIES + """
 SELECT field, count(*) AS present, CAST(floor(count(*) * 100 / (SELECT count(*) FROM customer)) AS BIGINT) AS pct
 FROM ue GROUP BY field""",
@@ -324,9 +333,9 @@ UNION ALL SELECT 'updatedBy', 'user', count(*) FROM od WHERE k % 4 IN (1, 3)""",
 
     "membership_profile": _w(OD) + f""", s AS (SELECT k, {NL} + CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS n FROM od),
 m AS (SELECT {_uid('l.l_partkey')} AS m FROM {LJ} UNION ALL SELECT '' FROM od WHERE k % 5 = 0)
-SELECT count(*) FILTER (WHERE n > 0) AS groups_with_members, sum(n)::BIGINT AS memberships,
+SELECT count(*) AS groups_with_members, sum(n)::BIGINT AS memberships,
  (SELECT count(DISTINCT m) FROM m) AS distinct_members, CAST(min(n) AS BIGINT) AS min_size,
- CAST(max(n) AS BIGINT) AS max_size, sum(n) / count(*) AS avg_size FROM s""",
+ CAST(max(n) AS BIGINT) AS max_size, avg(n) AS avg_size FROM s WHERE n > 0""",
 
     "membership_buckets": _w(OD) + f""", s AS (SELECT {NL} + CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS n FROM od)
 SELECT CASE WHEN n <= 5 THEN '1-5' WHEN n <= 10 THEN '6-10' WHEN n <= 20 THEN '11-20' ELSE '20+' END AS bucket,
@@ -347,10 +356,11 @@ FROM ue WHERE regexp_matches(lower(field), 'at|date') GROUP BY field""",
 
     "dynamic_detect": _w(OD) + """, e AS (
   SELECT k, 'campo_' || (k % 3) AS field, substr(o_orderpriority, 1, 100) AS ex FROM od
-  UNION ALL SELECT k, 'extra_9', 'array[0]' FROM od
-  UNION ALL SELECT k, 'obj_8', '{}' FROM od WHERE k % 5 = 0
-  UNION ALL SELECT k, 'zero_2', '0' FROM od WHERE k % 7 = 0)
-SELECT field, count(*) AS n, arg_min(ex, k) AS example FROM e GROUP BY field""",
+  UNION ALL SELECT k, 'extra_9', NULL FROM od
+  UNION ALL SELECT k, 'obj_8', NULL FROM od WHERE k % 5 = 0
+  UNION ALL SELECT k, 'zero_2', NULL FROM od WHERE k % 7 = 0)
+SELECT field, count(*) AS n, array_to_string(list_slice(list(ex ORDER BY k) FILTER (WHERE ex IS NOT NULL), 1, 2), ' | ') AS examples
+FROM e GROUP BY field""",
 
     "dynamic_patterns": _w(OD) + """, e AS (
   SELECT 'campo' AS base, 'campo_' || (k % 3) AS field FROM od
@@ -362,8 +372,8 @@ SELECT base, variants, occurrences, rank FROM (
   SELECT *, CAST(row_number() OVER (ORDER BY variants DESC, base) AS BIGINT) AS rank FROM g) WHERE rank <= 20""",
 
     "underscore_fields": _w(OD) + """SELECT '_' || (k % 4 + 3) AS field, count(*) AS n,
- string_agg(DISTINCT CASE WHEN k % 2 = 0 THEN 'integer' ELSE 'string' END, ','
-   ORDER BY CASE WHEN k % 2 = 0 THEN 'integer' ELSE 'string' END) AS types, 0::BIGINT AS nested_keys
+ string_agg(DISTINCT CASE WHEN k % 2 = 0 THEN 'int' ELSE 'null/empty' END, ','
+   ORDER BY CASE WHEN k % 2 = 0 THEN 'int' ELSE 'null/empty' END) AS types
 FROM od GROUP BY 1""",
 
     "container_profile": _w(OD) + f""", n AS (SELECT k, {NL} AS nl FROM od)
@@ -395,7 +405,6 @@ UNION ALL SELECT 'calculatedProps.whoCanAccess.subareas', 0::BIGINT""",
 SELECT field, count(DISTINCT sig) AS variants, count(DISTINCT sig) > 1 AS json_candidate FROM sigs GROUP BY field""",
 
     "text_reference_probe": """SELECT 'user' AS word, count(*) AS n FROM customer
-UNION ALL SELECT 'createdby', 0::BIGINT
 UNION ALL SELECT 'customer', count(*) FROM customer""",
 
     "position_sample": f"""WITH n AS (SELECT count(*) AS n FROM customer)

@@ -179,8 +179,8 @@ def unpivot_objects(spark, d):
     m = N.unpivot_objects(orders_docs(spark, d), {"signer": "lumbreNextSigner", "participant": "lumbreNextParticipant",
                                                   "reviewer": "lumbreNextReviewer"}, keep=[_pid("document_id")])
     it = F.col("item")
-    uidv = V.coalesce_truthy(V.at(it, "id"), V.at(it, "_id"))
-    uidv = F.when(V.is_object(uidv), V.get(uidv, ["$oid"])).otherwise(V.to_str(uidv))
+    uidv = V.user_id(it)
+    m = m.where(uidv.isNotNull())
     return m.select("document_id", F.col("tag").alias("workflow_type"), uidv.alias("user_id"),
                     V.get(it, "role.id").alias("role_id"), V.get(it, "role.name").alias("role_name"),
                     V.get(it, "area.id", "bigint").alias("area_id"), V.get(it, "area.name").alias("area_name"))

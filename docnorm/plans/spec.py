@@ -114,6 +114,11 @@ def full_name(base: str, first: str = "firstname", last: str = "lastname") -> Ex
     return lambda c: V.full_name(V.at(c.src, base), first, last)
 
 
+def name_of(base: str) -> Expr:
+    """S6 of an object: '' when ``base`` is missing, NULL when it is null or no object."""
+    return lambda c: F.when(V.at(c.src, base).isNull() | V.is_object(V.at(c.src, base)), V.full_name(V.at(c.src, base)))
+
+
 def str_id(path: str) -> Expr:
     """Id coerced to text (``str(id)``), NULL when missing/null."""
     return lambda c: V.to_str(V.at(c.src, path))
@@ -204,8 +209,8 @@ def union(branches: dict[str, str], where=None) -> Rows:
                 where=where or (lambda c: V.is_object(c.item)))
 
 
-def unpivot(branches: dict[str, str]) -> Rows:
-    return Rows("unpivot", branches=tuple(branches.items()))
+def unpivot(branches: dict[str, str], where=None) -> Rows:
+    return Rows("unpivot", branches=tuple(branches.items()), where=where)
 
 
 def one(path: str) -> Rows:
@@ -281,11 +286,12 @@ class Normalised:
 
 
 def _row_sources(coll: Collection, t: Table, docs: DataFrame, run_ts: Column | None = None) -> tuple[DataFrame, Ctx]:
-    """Rows of one table before its columns: keeps ``_seq``, ``doc``, the parent key and
-    the generator outputs (``pos``/``key``/``tag``/``item``)."""
+    """Rows of one table before its columns: keeps ``_seq``, the parent key, ``doc`` where a
+    column reads it, and the generator outputs (``pos``/``key``/``tag``/``item``)."""
     pk = coll.main.cols[0]
-    base = [F.col(SEQ), F.col(DOC), _typed_value(pk.fn(Ctx(F.col(DOC))), pk.dtype).alias("_parent")]
     r = t.rows
+    with_doc = t.reads_doc or r.kind not in ("array", "map", "union")
+    base = [F.col(SEQ), *([F.col(DOC)] if with_doc else []), _typed_value(pk.fn(Ctx(F.col(DOC))), pk.dtype).alias("_parent")]
     if r.kind == "array":
         out = N.explode_array(docs, r.path, keep=base)
     elif r.kind == "map":
@@ -301,7 +307,7 @@ def _row_sources(coll: Collection, t: Table, docs: DataFrame, run_ts: Column | N
         out = docs.select(*base, item.alias("item"), F.lit(0).alias("pos"))
     else:
         raise ValueError(r.kind)
-    ctx = Ctx(doc=F.col(DOC), item=F.col("item"), pos=F.col("pos"),
+    ctx = Ctx(doc=F.col(DOC) if with_doc else F.lit(None).cast("variant"), item=F.col("item"), pos=F.col("pos"),
               key=F.col("key") if "key" in out.columns else None,
               tag=F.col("tag") if "tag" in out.columns else None, parent=F.col("_parent"), run_ts=run_ts)
     if r.where is not None:

@@ -262,14 +262,14 @@ _CE = "CASE k % 6 WHEN 0 THEN T WHEN 1 THEN date_trunc('second', T) WHEN 2 THEN
 
 _DAY = "make_timestamp(2020, ck % 12 + 1, ck % 28 + 1, ck % 24, ck % 60, 0)"
 
-_PT = "('T' || lpad(CAST(p_partkey AS VARCHAR), 8, '0'))"
+_PT = "printf('T%08d', CAST(p_partkey AS BIGINT))"
 _SEG = "(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'])[p_partkey % 5 + 1]"
 
-_SID = "('S' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0'))"
-_LID = "('L' || lpad(CAST(event_id AS VARCHAR), 8, '0'))"
+_SID = "printf('S%08d', CAST(s_suppkey AS BIGINT))"
+_LID = "printf('L%08d', CAST(event_id AS BIGINT))"
 _SDAY = "make_timestamp(2021, s_suppkey % 12 + 1, s_suppkey % 28 + 1, s_suppkey % 24, 0, 0)"
 
-_FID = "('F' || lpad(CAST(c_custkey AS VARCHAR), 8, '0'))"
+_FID = "printf('F%08d', CAST(c_custkey AS BIGINT))"
 _DID = ("('D' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || "
         "CAST(l_quantity AS BIGINT))")
 _UP, _US = _uid("l_partkey"), _uid("l_suppkey")
@@ -338,8 +338,9 @@ UNION ALL SELECT {_DID}, 'role', l_returnflag, 'R' || l_returnflag FROM lineitem
  UNION ALL SELECT {_DID}, 'area', CAST(l_suppkey % 25 AS VARCHAR) FROM lineitem WHERE l_suppkey % 25 <> 0)""",
 
     "spec_doc_movements": f"""SELECT {_DID} AS document_id, strftime(l_shipdate, {F_TS}) AS created_at,
- {_US} AS created_by_user_id,
- trim('F' || l_suppkey || ' ' || CASE WHEN l_linenumber % 2 = 0 THEN 'L' ELSE '' END) AS created_by_user_name,
+ CASE WHEN l_linenumber NOT IN (5, 6) THEN {_US} END AS created_by_user_id,
+ CASE WHEN l_linenumber NOT IN (5, 6)
+      THEN trim('F' || l_suppkey || ' ' || CASE WHEN l_linenumber % 2 = 0 THEN 'L' ELSE '' END) END AS created_by_user_name,
  '{{"step":' || l_linenumber || '}}' AS movement_data, '[]' AS documentation FROM lineitem""",
 
     "spec_form_main": f"""SELECT {_FID} AS formbuilder_id, c_name AS alias, 'Form ' || c_custkey AS page_title_data,
@@ -383,7 +384,7 @@ UNION ALL SELECT pid, 'participant', U, NULL, NULL, NULL, NULL, NULL FROM od WHE
  strftime(CASE WHEN s_suppkey % 4 = 0 THEN {_SDAY} + INTERVAL 1 HOUR
                WHEN s_suppkey % 2 = 0 THEN {_SDAY} ELSE TIMESTAMP '2030-01-01 00:00:00' END, {F_TS}) AS updated_at,
  s_suppkey % 6 = 0 AS deleted, CAST(s_suppkey % 3 AS INTEGER) AS lumbre_version,
- 'su' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS created_by_user_id
+ printf('su%05d', CAST(s_suppkey AS BIGINT)) AS created_by_user_id
 FROM supplier""",
 
     "spec_people_types_catalog": """SELECT id, name, alias FROM (
@@ -430,7 +431,8 @@ UNION ALL SELECT {_LID}, 'back', NULL, NULL, NULL, TRUE, FALSE, 1 FROM events"""
     "spec_people_types": """SELECT id, name FROM (
  SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY k // 2000, k DESC, pos DESC) AS rn FROM (
    SELECT p_partkey AS k, 0 AS pos, 'P' || (p_size % 5) AS id, 'People' || (p_size % 5) AS name FROM part
-   UNION ALL SELECT p_partkey, 1, 'P' || (p_size % 7), 'People7-' || (p_size % 7) FROM part)) WHERE rn = 1""",
+   UNION ALL SELECT p_partkey, 1, 'P' || (p_size % 7), CASE WHEN p_size % 7 = 6 THEN '' ELSE 'People7-' || (p_size % 7) END
+   FROM part)) WHERE rn = 1""",
 
     "spec_starter_people_types": f"""SELECT DISTINCT {_PT} AS processtype_id, id AS people_type_id FROM (
  SELECT p_partkey, 'P' || (p_size % 5) AS id FROM part UNION ALL SELECT p_partkey, 'P' || (p_size % 7) FROM part)""",

@@ -51,9 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def padded(prefix: str, c: Column, digits: int) -> Column:
+    """``prefix`` and the key, zero-padded to ``digits``; longer keys stay whole (``lpad`` cuts)."""
+    return F.when(c.isNotNull(), F.format_string(f"{prefix}%0{digits}d", c.cast("long")))
+
+
 def uid(c: Column) -> Column:
-    """User id text of a numeric key: 'u' + 6-digit zero padded."""
-    return F.concat(F.lit("u"), F.lpad(c.cast("string"), 6, "0"))
+    """User id text of a numeric key: 'u' + at least 6 digits."""
+    return padded("u", c, 6)
 
 
 def var(c: Column) -> Column:
@@ -179,7 +184,9 @@ def build_order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("lumbreNextSigner", F.when(k % 2 == 0, obj(id=U, role=obj(id=F.col("c_mktsegment"), name=F.col("c_name")),
                                                     area=obj(id=F.col("c_nationkey"), name=F.col("n_name"))))),
         ("lumbreNextParticipant", F.when(k % 3 == 0, obj(_id=obj(**{"$oid": U})))),
-        ("lumbreNextReviewer", F.when(k % 3 == 1, F.to_variant_object(F.create_map().cast("map<string,string>")))),
+        ("lumbreNextReviewer", F.when(k % 3 == 1, F.to_variant_object(F.create_map().cast("map<string,string>")))
+         .when(k % 9 == 2, obj(role=obj(id=U))).when(k % 9 == 5, var(F.lit("someone")))
+         .when(k % 9 == 8, obj(id=F.lit(""), _id=obj(**{"$oid": F.lit("")})))),
         (F.concat(F.lit("campo_"), (k % 3).cast("string")), var(F.col("o_orderpriority"))),
         (F.concat(F.lit("_"), (k % 4 + 3).cast("string")), F.when(k % 2 == 0, var(ck)).otherwise(var(F.lit("")))),
         ("extra_9", F.to_variant_object(F.array().cast("array<int>"))),
@@ -240,7 +247,7 @@ def build_processtype_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     seg = F.element_at(F.array(*[F.lit(x) for x in SEGMENTS]), (k % 5 + 1).cast("int"))
     role = F.when(k % 6 == 0, F.lit("NOPE")).otherwise(seg)
     json = _doc(
-        ("_id", obj(**{"$oid": F.concat(F.lit("T"), F.lpad(k.cast("string"), 8, "0"))})),
+        ("_id", obj(**{"$oid": padded("T", k, 8)})),
         ("typeName", var(F.col("p_name"))),
         ("typeAlias", var(F.col("p_brand"))),
         ("typeNumerator", var(F.col("p_type"))),
@@ -249,10 +256,9 @@ def build_processtype_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             obj(id=F.col("p_brand"), name=F.concat(F.col("p_brand"), F.lit("-"), (k % 3).cast("string"))))),
         ("instanceStarters", obj(
             peopleTypes=F.to_variant_object(F.array(
-                F.struct(F.concat(F.lit("P"), (sz % 5).cast("string")).alias("id"),
-                         F.concat(F.lit("People"), (sz % 5).cast("string")).alias("name")),
-                F.struct(F.concat(F.lit("P"), (sz % 7).cast("string")).alias("id"),
-                         F.concat(F.lit("People7-"), (sz % 7).cast("string")).alias("name")))),
+                obj(id=F.concat(F.lit("P"), (sz % 5).cast("string")), name=F.concat(F.lit("People"), (sz % 5).cast("string"))),
+                obj(id=F.concat(F.lit("P"), (sz % 7).cast("string")),  # the name of P6 is missing
+                    name=F.when(sz % 7 != 6, F.concat(F.lit("People7-"), (sz % 7).cast("string")))))),
             initiatorTypes=F.to_variant_object(F.array(
                 F.struct(F.concat(F.lit("I"), (k % 4).cast("string")).alias("id"),
                          F.concat(F.lit("Init"), (k % 4).cast("string")).alias("name")))))),
@@ -283,7 +289,7 @@ def build_people_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.make_timestamp_ntz(F.lit(2021), (k % 12 + 1).cast("int"), (k % 28 + 1).cast("int"), (k % 24).cast("int"),
                                F.lit(0), F.lit(0))
     json = _doc(
-        ("_id", obj(**{"$oid": F.concat(F.lit("S"), F.lpad(k.cast("string"), 8, "0"))})),
+        ("_id", obj(**{"$oid": padded("S", k, 8)})),
         ("peopleTypeId", var(F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("PT"), (n % 4).cast("string"))))),
         ("peopleTypeName", var(F.concat(F.lit("Type"), (n % 4).cast("string"), F.lit("-"), (k % 3).cast("string")))),
         ("peopleTypeAlias", var(F.concat(F.lit("alias"), (n % 4).cast("string")))),
@@ -305,7 +311,7 @@ def build_people_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("updatedAt", F.when(k % 4 == 0, var(tsfmt(day + F.expr("INTERVAL 1 HOUR"), Z_S)))),
         ("deleted", F.when(k % 6 == 0, var(F.lit(True)))),
         ("lumbreVersion", var(k % 3)),
-        ("createdBy", obj(user=obj(id=F.concat(F.lit("su"), F.lpad(k.cast("string"), 5, "0")),
+        ("createdBy", obj(user=obj(id=padded("su", k, 5),
                                    firstname=F.concat(F.lit("S"), k.cast("string"))))),
         ("__v", var(k % 2)),
     )
@@ -320,7 +326,7 @@ def build_listbuilder_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                      obj(key=F.lit("f2"), label=F.lit("L2")))
     fields = F.when(e % 2 == 0, F.concat(fields, F.array(obj(key=F.lit("f1"), label=F.lit("dup"))))).otherwise(fields)
     json = _doc(
-        ("_id", obj(**{"$oid": F.concat(F.lit("L"), F.lpad(e.cast("string"), 8, "0"))})),
+        ("_id", obj(**{"$oid": padded("L", e, 8)})),
         ("alias", var(F.col("event_type"))),
         ("titleList", var(F.concat(F.lit("List "), e.cast("string")))),
         ("gqlVariables", F.when(e % 5 == 0, F.to_variant_object(F.create_map().cast("map<string,string>")))
@@ -359,7 +365,7 @@ def build_formbuilder_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         obj(id=ck * 1.5, componentName=F.lit("second"), hasLabelOnPdf=F.lit(True)))
     priv = obj(id=nk, name=F.concat(F.lit("N"), nk.cast("string")), codigo_privilegio=F.lit("X"))
     json = _doc(
-        ("_id", obj(**{"$oid": F.concat(F.lit("F"), F.lpad(ck.cast("string"), 8, "0"))})),
+        ("_id", obj(**{"$oid": padded("F", ck, 8)})),
         ("alias", var(F.col("c_name"))),
         ("pageTitleData", var(F.concat(F.lit("Form "), ck.cast("string")))),
         ("validations", F.when(ck % 4 == 0, obj(required=F.lit(True))).otherwise(
@@ -410,8 +416,9 @@ def build_document_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("instancePrivileges", obj(area=arr(obj(id=p % 25, name=name("A", p % 25))),
                                    role=arr(obj(id=F.col("l_returnflag"), name=name("R", F.col("l_returnflag")))))),
         ("movements", arr(obj(created_at=obj(**{"$date": tsfmt(F.col("l_shipdate"), Z_MS)}),
-                              created_by=obj(id=uid(s_), firstname=name("F", s_),
-                                             lastname=F.when(ln % 2 == 0, F.lit("L")).otherwise(jnull())),
+                              created_by=F.when(ln == 5, jnull()).when(ln == 6, var(F.lit("someone"))).otherwise(
+                                  obj(id=uid(s_), firstname=name("F", s_),
+                                      lastname=F.when(ln % 2 == 0, F.lit("L")).otherwise(jnull()))),
                               movement=obj(step=ln),
                               documentation=F.to_variant_object(F.array().cast("array<int>"))))),
         ("createdBy", obj(user=obj(id=uid(s_)))),
