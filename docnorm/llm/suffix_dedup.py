@@ -18,17 +18,20 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from docnorm.llm.common import shuffle_partitions, table
 
 LENGTH, GRAM = 200, 100
 #: Bytes hashed or ordered at once, places from which an anchor is split, starts in a part.
 CHUNK, TASK_BYTES, HOT_PLACES, PART_STARTS = 1 << 19, 1 << 20, 512, 16
+#: Columns added to those of the documents, named so that they don't meet others.
+KEY, PLACES, SPANS = ("__repeat_id", "__repeat_text"), "__repeat_places", "__repeat_spans"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,14 +97,14 @@ def chunks(texts: list[bytes], length: int):
 
 
 def find_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """gram, doc_id and place (text hash, place, starts before and behind it) of all anchors."""
+    """gram, document (id_key, text_hash), place, starts before and behind it, of all anchors."""
 
     def found(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 1024):
                 some = batch.slice(low, 1024)
-                texts = [t.encode() if t else b"" for t in some.column("text").to_pylist()]
-                ids, hashes = some.column("doc_id"), some.column("text_hash")
+                texts = [t or b"" for t in some.column("text").cast(pa.binary()).to_pylist()]
+                ids, hashes = some.column("id_key"), some.column("text_hash")
                 for held in chunks(texts, length):
                     sizes = np.array([len(t) for _, _, t in held])
                     bases = np.r_[0, np.cumsum(sizes)]
@@ -113,62 +116,68 @@ def find_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h.view(np.int64)), ids.take(take), hashes.take(take), pa.array((place + shift).astype(np.int32)),
                          pa.array((place - first).astype(np.int16)), pa.array((last - place).astype(np.int16))],
-                        names=["gram", "doc_id", "text_hash", "place", "back", "ahead"])
-
-    return docs.select("doc_id", "text_hash", "text").mapInArrow(
-        found, "gram long, doc_id long, text_hash int, place int, back short, ahead short")
+                        names=["gram", "id_key", "text_hash", "place", "back", "ahead"])
+
+    return docs.select("id_key", "text_hash", "text").mapInArrow(
+        found, "gram long, id_key long, text_hash int, place int, back short, ahead short")
+
+
+def parts_of(text: bytes, key: int, place: int, first: int, last: int, hot: bool, length: int) -> list[tuple[int, int, int]]:
+    """(key, first start, last start) of the cuts of an anchor: one, or for an anchor of very
+    many places one for every PART_STARTS starts, keyed by the bytes that all its windows hold."""
+    if not hot:
+        return [(key, first, last)]
+    out = []
+    for part in range((place - last) // PART_STARTS, (place - first) // PART_STARTS + 1):
+        nearest = place - part * PART_STARTS
+        core = text[max(nearest, 0):nearest - PART_STARTS + 1 + length]
+        out.append((xxhash.xxh3_64_intdigest(core, seed=part & 0xFFFF) - (1 << 63), max(first, nearest - PART_STARTS + 1), min(last, nearest)))
+    return out
 
 
-def cut_out(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Windows' bytes around the anchors of each document: key, cut, and the places (doc_id,
-    text_hash, start) where that cut stands. Equal cuts of a batch are sent once."""
+def cut_out(rows: DataFrame, length: int) -> DataFrame:
+    """Windows' bytes around the anchors of each document (text, places): key, cut, and the
+    places (id_key, text_hash, start) where that cut stands. Equal cuts of a batch go once."""
 
     def cuts(batches):
         for batch in batches:
-            seen: dict[tuple[int, bytes], tuple[list, list, list]] = {}
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "found"))
-            for doc_id, text_hash, text, places in zip(*columns, strict=True):
-                text = text.encode()
-                for a in places:
-                    place, first, last = a["place"], a["place"] - a["back"], a["place"] + a["ahead"]
-                    if not a["hot"]:
-                        parts = [(a["gram"], first, last)]
-                    else:  # parts of starts, each keyed by the bytes that all its windows hold
-                        parts = []
-                        for part in range((place - last) // PART_STARTS, (place - first) // PART_STARTS + 1):
-                            nearest = place - part * PART_STARTS
-                            core = text[max(nearest, 0):nearest - PART_STARTS + 1 + length]
-                            key = xxhash.xxh3_64_intdigest(core, seed=part & 0xFFFF) - (1 << 63)
-                            parts.append((key, max(first, nearest - PART_STARTS + 1), min(last, nearest)))
-                    for key, s, e in parts:
-                        where = seen.setdefault((key, text[s:e + length]), ([], [], []))
-                        for column, value in zip(where, (doc_id, text_hash, s), strict=True):
-                            column.append(value)
+            seen: dict[tuple[int, bytes], list[int]] = {}
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            ids, hashes, places = (batch.column(c) for c in ("id_key", "text_hash", "places"))
+            bounds, fields = places.offsets.to_numpy(), places.values.flatten()
+            gram, place, back, ahead, hot = (f.to_numpy(zero_copy_only=False) for f in fields)
+            first, last = place - back, place + ahead
+            for i, (id_key, text_hash, text) in enumerate(zip(ids.to_pylist(), hashes.to_pylist(), texts, strict=True)):
+                # a row that stands there twice has found its places as often
+                own = np.unique(place[bounds[i]:bounds[i + 1]], return_index=True)[1] + bounds[i]
+                for k, p, a, b, h in zip(*(x[own].tolist() for x in (gram, place, first, last, hot)), strict=True):
+                    for key, s, e in parts_of(text, k, p, a, b, h, length):
+                        seen.setdefault((key, text[s:e + length]), []).extend((id_key, text_hash, s))
             whole = list(seen.items())
             for at in range(0, len(whole), 4096):
                 some = whole[at:at + 4096]
+                where = np.fromiter(chain.from_iterable(w for _, w in some), np.int64).reshape(-1, 3)
+                ends = pa.array(np.r_[0, np.cumsum([len(w) // 3 for _, w in some])].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k for (k, _), _ in some], pa.int64()), pa.array([c for (_, c), _ in some], pa.binary()),
-                     pa.array([w[0] for _, w in some], pa.list_(pa.int64())), pa.array([w[1] for _, w in some], pa.list_(pa.int32())),
-                     pa.array([w[2] for _, w in some], pa.list_(pa.int32()))],
-                    names=["key", "cut", "doc_id", "text_hash", "start"])
+                     *(pa.ListArray.from_arrays(ends, pa.array(where[:, j].astype(t))) for j, t in enumerate((np.int64, np.int32, np.int32)))],
+                    names=["key", "cut", "id_key", "text_hash", "start"])
 
-    return rows.select("doc_id", "text_hash", "text", "found").mapInArrow(
-        cuts, "key long, cut binary, doc_id array<long>, text_hash array<int>, start array<int>")
+    return rows.mapInArrow(cuts, "key long, cut binary, id_key array<long>, text_hash array<int>, start array<int>")
 
 
 def prefix_ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """Rank of every suffix by its first ``length`` bytes (prefix doubling); suffixes shorter
-    than that are ranked as if zeros followed."""
+    """Rank of every suffix by its first ``length`` bytes (prefix doubling); ranks of suffixes
+    shorter than that mean nothing."""
     have = min(8, length)
     words = np.zeros(len(data), np.uint64)
-    for j in range(have):
+    for j in range(min(have, len(data))):
         words[:len(data) - j] |= data[j:].astype(np.uint64) << np.uint64(56 - 8 * j)
     rank = np.unique(words, return_inverse=True)[1].astype(np.int64)
     while have < length:
         step = min(have, length - have)
         beyond = np.zeros(len(rank), np.int64)
-        beyond[:len(rank) - step] = rank[step:]
+        beyond[:max(len(rank) - step, 0)] = rank[step:]
         rank = np.unique(rank * (int(rank.max(initial=0)) + 1) + beyond, return_inverse=True)[1].astype(np.int64)
         have += step
     return rank
@@ -196,31 +205,57 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def match(rows: list[tuple], length: int, keep_first: bool) -> list[tuple]:
-    """(doc_id, text_hash, first byte, end) of the repeats among cuts (cut, doc_ids, hashes, starts)."""
-    rank = lambda w: (w[0] is None, w[0] or 0, w[1], w[2])
-    places = [sorted(zip(*row[1:], strict=True), key=rank) for row in rows]
-    by_place = np.empty(len(rows), np.int64)
-    by_place[sorted(range(len(rows)), key=lambda r: rank(places[r][0]))] = np.arange(len(rows))
-    sizes = np.array([len(row[0]) for row in rows])
+    """(id_key, text_hash, first byte, end) of the repeats among cuts (cut, id_keys, hashes, starts).
+
+    Windows whose hash stands alone are left out before the suffixes are ordered; hashes only
+    choose what is compared, the order compares bytes.
+    """
+    merged: dict[bytes, list[tuple]] = {}
+    for cut, *where in rows:
+        merged.setdefault(cut, []).extend(zip(*where, strict=True))
+    places = [sorted(w) for w in merged.values()]
+    by_place = np.empty(len(places), np.int64)
+    by_place[sorted(range(len(places)), key=lambda r: places[r][0])] = np.arange(len(places))
+    sizes = np.fromiter(map(len, merged), np.int64, len(merged))
     counts = sizes - length + 1
     bases = np.cumsum(sizes) - sizes
-    inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    starts = np.repeat(bases, counts) + inner
-    before, behind = earlier_and_later(np.frombuffer(b"".join(row[0] for row in rows), np.uint8), starts,
-                                       np.repeat(by_place, counts) * (int(sizes.max()) + 1) + inner, length)
-    out, at = [], 0
-    for where, count in zip(places, counts, strict=True):
-        early, any_ = before[at:at + count], before[at:at + count] | behind[at:at + count]
-        at += count
-        first = runs(early if keep_first else np.ones(count, bool) if len(where) > 1 else any_)
-        others = [(0, int(count) - 1)] if len(where) > 1 else []
-        for n, (doc_id, text_hash, start) in enumerate(where):
-            out += [(doc_id, text_hash, start + a, start + b + length) for a, b in (first if n == 0 else others)]
+    firsts = np.cumsum(counts) - counts
+    row = np.repeat(np.arange(len(sizes)), counts)
+    inner = np.arange(len(row)) - firsts[row]
+    data = np.frombuffer(b"".join(merged), np.uint8)
+    h = gram_hashes(data, length)[bases[row] + inner]
+    order = np.argsort(h)
+    equal = h[order[1:]] == h[order[:-1]]
+    shared = np.zeros(len(h), bool)
+    shared[order[1:]] |= equal
+    shared[order[:-1]] |= equal
+    early, late = np.zeros(len(h), bool), np.zeros(len(h), bool)
+    if shared.any():
+        # the shared stretch of each cut, strung together
+        chosen = np.flatnonzero(shared)
+        own, begin = np.unique(row[chosen], return_index=True)
+        low, high = inner[chosen[begin]], inner[chosen[np.r_[begin[1:] - 1, len(chosen) - 1]]]
+        spans = high - low + length
+        at = np.cumsum(spans) - spans
+        some = data[np.repeat(bases[own] + low - at, spans) + np.arange(spans.sum())]
+        shift = np.zeros(len(sizes), np.int64)
+        shift[own] = at - low
+        early[chosen], late[chosen] = earlier_and_later(
+            some, shift[row[chosen]] + inner[chosen], by_place[row[chosen]] * (int(sizes.max()) + 1) + inner[chosen], length)
+    any_ = early | late
+    out = []
+    for r, (where, a, n) in enumerate(zip(places, firsts.tolist(), counts.tolist(), strict=True)):
+        several = len(where) > 1
+        mask = early[a:a + n] if keep_first else any_[a:a + n]
+        ranges = [(0, n - 1)] if several and not keep_first else runs(mask) if mask.any() else []
+        others = [(0, n - 1)] if several else []
+        for nth, (id_key, text_hash, start) in enumerate(where):
+            out += [(id_key, text_hash, start + x, start + y + length) for x, y in (others if nth else ranges)]
     return out
 
 
 def repeated_spans(cuts: DataFrame, length: int, keep_first: bool) -> DataFrame:
-    """doc_id, text_hash, first, end of the repeats, from cuts that meet by key.
+    """id_key, text_hash, first, end of the repeats, from cuts that meet by key.
 
     A task takes its cuts in key order, so much at a time as TASK_BYTES, whole keys only.
     """
@@ -229,9 +264,9 @@ def repeated_spans(cuts: DataFrame, length: int, keep_first: bool) -> DataFrame:
         def send(rows):
             out = match(rows, length, keep_first)
             for at in range(0, len(out), 50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out[at:at + 50_000], strict=True), (pa.int64(), *[pa.int32()] * 3), strict=True)],
-                    names=["doc_id", "text_hash", "first", "end"])
+                some = np.array(out[at:at + 50_000], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(some[:, 0]), *(pa.array(some[:, j].astype(np.int32)) for j in (1, 2, 3))],
+                                                 names=["id_key", "text_hash", "first", "end"])
 
         held, size, key = [], 0, None
         for batch in batches:
@@ -246,49 +281,41 @@ def repeated_spans(cuts: DataFrame, length: int, keep_first: bool) -> DataFrame:
             yield from send(held)
 
     return (cuts.repartition(shuffle_partitions(cuts.sparkSession), "key").sortWithinPartitions("key")
-            .mapInArrow(spans, "doc_id long, text_hash int, first int, end int"))
-
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """``row`` (all columns of docs) with doc_id, text and a hash of the text: rows that share
-    an id and a text have the same spans."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
-        "row", F.col("row.doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("row.text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("text_hash"))
-
-
-def _same(left: DataFrame, right: DataFrame) -> Column:
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_hash"] == right["text_hash"])
+            .mapInArrow(spans, "id_key long, text_hash int, first int, end int"))
 
 
 def with_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False) -> DataFrame:
-    """``row`` of docs with ``spans``, the repeated byte ranges (first, end) in no order, null
-    where there are none."""
+    """All columns of docs with ``spans``, the repeated byte ranges (first, end) in no order,
+    null where there are none, and two key columns (their names in KEY).
+
+    Rows are keyed by id and text, so rows that share both share their spans. The two joins
+    with the texts are on the same columns: they use one shuffle of the texts.
+    """
     gram = min(GRAM, length)
-    rows = keyed(docs)
-    places = Window.partitionBy("gram")
-    found = (find_anchors(rows.select("doc_id", "text_hash", F.col("row.text").alias("text")), length, gram)
-             .withColumn("n", F.count(F.lit(1)).over(places)).where("n > 1")
-             .groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct(
-                 "gram", "place", "back", "ahead", (F.col("n") > HOT_PLACES).alias("hot"))).alias("found"))
-             # a row that stands there more than once has found every place as often
-             .withColumn("found", F.array_distinct("found")))
-    one = rows.alias("r").join(found.alias("f"), _same(rows, found))
-    cuts = cut_out(one.select("r.doc_id", "r.text_hash", F.col("r.row.text").alias("text"), "f.found"), length, gram)
-    spans = repeated_spans(cuts, length, keep_first).groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("first", "end")).alias("spans"))
-    return rows.join(spans, _same(rows, spans), "left").select("row", "spans")
-
-
-def united(spans: list | None) -> list[tuple[int, int]]:
+    id_key, text_hash = KEY
+    whole = docs.withColumns({
+        id_key: F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)),
+        text_hash: F.xxhash64(F.col("doc_id").isNull(), "text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")})
+    found = (find_anchors(whole.select(F.col(id_key).alias("id_key"), F.col(text_hash).alias("text_hash"), "text"), length, gram)
+             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("n > 1")
+             .groupBy(F.col("id_key").alias(id_key), F.col("text_hash").alias(text_hash)).agg(F.collect_list(F.struct(
+                 "gram", "place", "back", "ahead", (F.col("n") > HOT_PLACES).alias("hot"))).alias(PLACES)))
+    named = [F.col(id_key).alias("id_key"), F.col(text_hash).alias("text_hash"), F.col("text"), F.col(PLACES).alias("places")]
+    others = [F.col(f"`{c}`").alias(f"other{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    cuts = cut_out(whole.join(found, [id_key, text_hash]).select(*named, *others), length)
+    spans = repeated_spans(cuts, length, keep_first).groupBy(F.col("id_key").alias(id_key), F.col("text_hash").alias(text_hash)).agg(
+        F.collect_list(F.struct("first", "end")).alias(SPANS))
+    return whole.join(spans, [id_key, text_hash], "left").select(*[F.col(f"`{c}`") for c in docs.columns], SPANS)
+
+
+def united(first: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     """Maximal ranges covered by the spans."""
-    out: list[tuple[int, int]] = []
-    for first, end in sorted((s["first"], s["end"]) for s in (() if spans is None else spans)):
-        if out and first <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
-        else:
-            out.append((first, end))
-    return out
+    if not len(first):
+        return []
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(np.r_[True, first[1:] > reach[:-1]])
+    return list(zip(first[new].tolist(), reach[np.r_[new[1:] - 1, len(first) - 1]].tolist(), strict=True))
 
 
 def without(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
@@ -296,6 +323,13 @@ def without(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
+def ranges_of(spans: pa.ListArray) -> list[list[tuple[int, int]]]:
+    """United ranges of each row's spans (null: none)."""
+    bounds = spans.offsets.to_numpy()
+    first, end = (f.to_numpy() for f in spans.values.flatten())
+    return [united(first[a:b], end[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def digests(docs: DataFrame, length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row of docs (doc_id, text).
 
@@ -306,37 +340,40 @@ def digests(docs: DataFrame, length: int = LENGTH, keep_first: bool = False) ->
 
     def digest(batches):
         for batch in batches:
-            out = []
-            for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text, ranges = (text or "").encode(), united(spans)
-                out.append((doc_id, len(text), sum(b - a for a, b in ranges), len(ranges), hashlib.sha256(without(text, ranges)).hexdigest()))
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], schema=kind)
-
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    kind = pa.schema([(n, pa.int64()) for n in names[:4]] + [(names[4], pa.string())])
-    rows = with_spans(docs.select(F.col("doc_id").cast("long"), "text"), length, keep_first)
-    return rows.select("row.doc_id", "row.text", "spans").mapInArrow(
+            texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            ranges = ranges_of(batch.column(SPANS))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (
+                    [len(t) for t in texts], [sum(b - a for a, b in r) for r in ranges], [len(r) for r in ranges])),
+                 pa.array([hashlib.sha256(without(t, r)).hexdigest() for t, r in zip(texts, ranges, strict=True)], pa.string())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return with_spans(docs.select(F.col("doc_id").cast("long"), "text"), length, keep_first).mapInArrow(
         digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, keep_first: bool = True) -> DataFrame:
     """Rows of docs without repeated passages, all columns as they were but ``text`` and, if
-    there, ``n_chars``. Only whole characters are kept where a passage ends inside one. A text
-    of which nothing but white space is left goes."""
-    rows = with_spans(docs, length, keep_first)
-
-    @F.pandas_udf("string")
-    def kept(text, spans):
-        import pandas as pd
-
-        return pd.Series([t if s is None or t is None else without(t.encode(), united(s)).decode(errors="ignore")
-                          for t, s in zip(text, spans, strict=True)], dtype=object)
-
-    out = rows.withColumn("kept", kept(F.col("row.text"), F.col("spans"))).where(
-        F.col("spans").isNull() | F.col("kept").rlike(r"\S"))
-    columns = [F.col("kept").alias(c) if c == "text" else F.when(F.col("spans").isNull(), F.col("row.n_chars"))
-               .otherwise(F.char_length("kept")).alias(c) if c == "n_chars" else F.col("row").getField(c).alias(c) for c in docs.columns]
-    return out.select(*columns)
+    there, ``n_chars``. The first copy stays: that of the smallest id (null last), then of the
+    first place; rows that share id and text are not told apart and lose the passage both.
+    Only whole characters are kept where a passage ends inside one. A text of which nothing
+    but white space is left goes.
+    """
+
+    def dropped(batches):
+        for batch in batches:
+            texts, ranges = batch.column("text").cast(pa.binary()).to_pylist(), ranges_of(batch.column(SPANS))
+            kept = [without(t, r).decode(errors="ignore") if r else t and t.decode() for t, r in zip(texts, ranges, strict=True)]
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            columns["text"] = pa.array(["" if t == b"" else k for t, k in zip(texts, kept, strict=True)], pa.string())
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.array([len(k) if r else n for k, r, n in zip(
+                    kept, ranges, columns["n_chars"].to_pylist(), strict=True)], columns["n_chars"].type)
+            stays = pa.array([not r or bool(k.strip()) for k, r in zip(kept, ranges, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([columns[c] for c in docs_columns], names=docs_columns).filter(stays)
+
+    docs_columns = docs.columns
+    return with_spans(docs, length, keep_first).mapInArrow(dropped, docs.schema)
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
