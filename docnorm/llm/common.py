@@ -13,7 +13,7 @@ from docnorm.session import table_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     """Write ``df`` as a compressed table in the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` does, but columnar and compressed, so that what
@@ -21,7 +21,7 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = table_path(spark, "docnorm-llm", f"{name}-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,7 @@ from docnorm.llm.tokens import VOCABULARY, encoder
 from docnorm.session import table_path
 
 LENGTH, SHARD_SEQUENCES, ROUNDS = 2048, 1024, 6
-SEQUENCES = "part int, nth long, n_tokens int, doc_ids array<long>, packed binary"
+SEQUENCES = "part int, nth long, n_tokens int, doc_ids array<long>, ids binary"
 
 
 def _mix(x: np.ndarray, key: np.uint64) -> np.ndarray:
@@ -57,7 +57,7 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
 
     Every document ends with ``end_id`` (null or empty text: that id alone). The last
     sequence of a task is filled up with it. ``doc_ids`` lists the documents in a sequence
-    (null ids stay null); ``packed`` holds the ids, compressed.
+    (null ids stay null); ``ids`` holds the token ids.
     """
 
     def sequences(batches):
@@ -65,7 +65,6 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
 
         part, nth = TaskContext.get().partitionId(), 0
         encode, end = encoder(vocabulary, "<u2").encode, np.array([end_id], "<u2").tobytes()
-        press = zstandard.ZstdCompressor(3).compress
         held, ids, step = [], bytearray(), 2 * length
 
         def rows(last: bool):
@@ -81,7 +80,7 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
                 if begins and held[begins - 1][2] > at + step:  # goes on in the next sequence
                     begins -= 1
                 filled = chunk + end * ((step - len(chunk)) // 2)
-                out.append((part, nth, len(chunk) // 2, here, press(filled)))
+                out.append((part, nth, len(chunk) // 2, here, filled))
                 nth, at = nth + 1, at + step
             del ids[:at]
             held = [(d, max(0, a - at), b - at) for d, a, b in held[begins:]]
@@ -90,7 +89,7 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
         def batch_of(out):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()), strict=True)],
-                names=["part", "nth", "n_tokens", "doc_ids", "packed"])
+                names=["part", "nth", "n_tokens", "doc_ids", "ids"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -107,20 +106,24 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
 
 
 def in_training_order(sequences: DataFrame, key: str, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
-    """Add ``slot`` and ``shard`` to a written table of sequences (part, nth, ...)."""
+    """slot, shard, n_tokens, doc_ids and the compressed ids of a written table of sequences."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = sequences.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row per task
-    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    # written, so that its size is known when the join is planned and the sequences stay put
+    offsets = write_table(counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "offsets")
     n = sequences.count()
 
-    @F.pandas_udf("long")
-    def slot(index):
-        import pandas as pd
-
-        return pd.Series(permute(index.to_numpy(), n, key))
+    def place(batches):
+        press = zstandard.ZstdCompressor(3).compress
+        for batch in batches:
+            slots = permute(batch.column("index").to_numpy(), n, key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slots), pa.array(slots // shard_sequences), batch.column("n_tokens"), batch.column("doc_ids"),
+                 pa.array([press(ids) for ids in batch.column("ids").to_pylist()], pa.binary())],
+                names=["slot", "shard", "n_tokens", "doc_ids", "packed"])
 
-    return (sequences.join(offsets, "part").withColumn("slot", slot(F.col("offset") + F.col("nth")))
-            .drop("offset").withColumn("shard", F.floor(F.col("slot") / shard_sequences).cast("long")))
+    return (sequences.join(offsets, "part").select((F.col("offset") + F.col("nth")).alias("index"), "n_tokens", "doc_ids", "ids")
+            .mapInArrow(place, "slot long, shard long, n_tokens int, doc_ids array<long>, packed binary"))
 
 
 def write_shards(ordered: DataFrame, folder: str, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
@@ -189,7 +192,7 @@ def materialise(docs: DataFrame, folder: str, key: str, length: int = LENGTH, sh
     An empty table writes no shard and returns no row; repeated rows are documents of their
     own; other columns are not read. The vocabulary must have fewer than 65,536 ids.
     """
-    sequences = write_table(token_sequences(docs, length, vocabulary), "sequences")
+    sequences = write_table(token_sequences(docs, length, vocabulary), "sequences", level=9)
     return write_table(write_shards(in_training_order(sequences, key, shard_sequences), folder, length, shard_sequences), "manifest")
 
 
