@@ -92,7 +92,7 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     centres = [unit(vectors.mean(axis=0))]
     while len(centres) < min(k, len(vectors)):
         centres.append(vectors[(vectors @ np.array(centres).T).max(axis=1).argmin()])
-    centres = np.array(centres)
+    centres = np.array(centres, np.float32)
     for _ in range(rounds):
         of = (vectors @ centres.T).argmax(axis=1)
         centres = np.array([unit(vectors[of == c].mean(axis=0)) if (of == c).any() else centres[c] for c in range(len(centres))])
@@ -117,17 +117,23 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE,
     rows = rows[rows["at"].map(len) > 0].sort_values("lang", kind="stable", ignore_index=True)
     if rows.empty:
         return None
-    counts = np.zeros((len(rows), DIMENSIONS), np.float32)
-    for i, (at, count) in enumerate(zip(rows["at"], rows["count"], strict=True)):
-        counts[i, at] = count
+    found = np.zeros(DIMENSIONS)
+    for at in rows["at"]:
+        found[at] += 1
     languages = sorted(rows["lang"].unique())
-    model = Model(languages, np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1, None, None, None)
-    vectors, own = model.vectors(counts), rows["lang"].to_numpy()
-    groups = [cluster(vectors[own == lang], centroids) for lang in languages]
+    model = Model(languages, np.log((1 + len(rows)) / (1 + found)).astype(np.float32) + 1, None, None, None)
+    groups, nearest = [], []
+    for lang in languages:  # one language's vectors are held at a time
+        own = rows[rows["lang"] == lang]
+        vectors = np.zeros((len(own), DIMENSIONS), np.float32)
+        for vector, at, count in zip(vectors, own["at"], own["count"], strict=True):
+            vector[at] = np.log1p(count) * model.idf[at]
+            vector /= np.linalg.norm(vector)
+        groups.append(cluster(vectors, centroids))
+        nearest.append(REJECT_SLACK * np.quantile((vectors @ groups[-1].T).max(axis=1), REJECT_SHARE))
     model.centroids = np.concatenate(groups).astype(np.float32)
     model.of = np.repeat(np.arange(len(languages)), [len(g) for g in groups])
-    model.nearest = np.array([REJECT_SLACK * np.quantile((vectors[own == lang] @ g.T).max(axis=1), REJECT_SHARE)
-                              for lang, g in zip(languages, groups, strict=True)])
+    model.nearest = np.array(nearest)
     return model
 
 
