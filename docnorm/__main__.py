@@ -37,7 +37,8 @@ def main(argv: list[str] | None = None) -> None:
         names = L.load_order() if a.all else [a.collection]
         for name in names:
             path = os.path.join(a.all, name) if a.all else a.input
-            L.load_collection(spark, name, D.read_documents(spark, path), store, refresh=not a.incremental).show()
+            docs, unparsed = D.read_documents(spark, path, with_rejects=True)
+            L.load_collection(spark, name, docs, store, refresh=not a.incremental, unparsed=unparsed).show(100, False)
     elif a.command == "validate":
         L.validate_collection(L.Store(spark, a.store), a.collection).where("violations > 0").show(200, False)
     elif a.command == "profile":

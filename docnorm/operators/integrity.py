@@ -49,9 +49,17 @@ def keep_if_parent(child: DataFrame, col: str, parent: DataFrame, parent_col: st
 
 
 def null_if_orphan(child: DataFrame, col: str, parent: DataFrame, parent_col: str, salt: int = 1) -> DataFrame:
-    """Keep every child row; set ``col`` to NULL when it has no parent."""
-    keys = key_set(parent, parent_col, "_pk", distinct=True)
-    joined = _join_parent(child, col, keys, "left", salt)
+    """Keep every child row; set ``col`` to NULL when it has no parent.
+
+    Rows without a key match nothing; a second join key, a hash of their row, spreads them
+    over the tasks instead of letting them meet in one."""
+    keys = key_set(parent, parent_col, "_pk", distinct=True).withColumn("_pn", F.lit(0).cast("bigint"))
+    row_hash = F.xxhash64(*[F.col(c) for c in child.columns])
+    keyed = child.withColumn("_n", F.when(F.col(col).isNull(), row_hash).otherwise(F.lit(0)))
+    if salt > 1:
+        keyed = keyed.withColumn("_n", F.when(F.col(col).isNull(), row_hash).otherwise(F.pmod(row_hash, F.lit(salt))))
+        keys = keys.withColumn("_pn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    joined = keyed.join(keys, (keyed[col] == keys["_pk"]) & (keyed["_n"] == keys["_pn"]), "left")
     return joined.select(*[F.when(F.col("_pk").isNotNull(), F.col(c)).alias(c) if c == col else F.col(c)
                            for c in child.columns])
 

@@ -14,6 +14,7 @@ import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..operators import conflict as U
 from ..operators import integrity as R
 from ..operators import validate as VAL
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, delete_path, ensure_checkpoint_dir
 from ..sources.documents import count_documents
 from . import collections as CL
 from .spec import Collection, Table, normalise
@@ -60,8 +61,13 @@ class Store:
             df = cut_lineage(df)
         df.write.mode("overwrite").parquet(self.path(schema, table))
 
-    def write_rejects(self, schema: str, table: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path(schema, f"_rejects_{table}"))
+    def append(self, schema: str, table: str, df: DataFrame) -> None:
+        """Add rows; what is there stays untouched."""
+        df.write.mode("append").parquet(self.path(schema, table))
+
+    def write_rejects(self, schema: str, table: str, df: DataFrame, load_id: str = "") -> None:
+        """Add the rejected rows of one load, marked with its id."""
+        self.append(schema, f"_rejects_{table}", df.withColumn("load_id", F.lit(load_id)))
 
     def empty(self, t: Table) -> DataFrame:
         return self.spark.createDataFrame([], ", ".join(f"`{n}` {d}" for n, d in t.schema()))
@@ -89,8 +95,9 @@ class CatalogStore(Store):
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
         df.write.mode("overwrite").format("parquet").saveAsTable(self.path(schema, table))
 
-    def write_rejects(self, schema: str, table: str, df: DataFrame) -> None:
-        self.write(schema, f"_rejects_{table}", df)
+    def append(self, schema: str, table: str, df: DataFrame) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        df.write.mode("append").format("parquet").saveAsTable(self.path(schema, table))
 
 
 def dependency_report(store: Store, coll: Collection) -> DataFrame | None:
@@ -113,13 +120,20 @@ def ghosts_as_users(ghosts: DataFrame) -> DataFrame:
 
 
 def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: Store, run_ts: Column | None = None,
-                    refresh: bool = True, check_parents: bool = True, salt: int = 1, parallel: int = 1) -> DataFrame:
-    """Load one collection. Returns (table, rows, rejects) for every written table.
-
-    refresh=True   U7: main and its child tables are replaced; catalogs are merged (stale
-                   catalog rows survive, as with the source tool).
-    refresh=False  incremental: main merged by its policy; the child rows of every incoming
-                   document replace that document's previous child rows; catalogs merged.
+                    refresh: bool = True, check_parents: bool = True, salt: int = 1, parallel: int = 1,
+                    unparsed: DataFrame | None = None) -> DataFrame:
+    """Load one collection. Returns (table, rows) for every written table and, when there are
+    any, ``_rejects_documents`` with the number of ``unparsed`` documents.
+
+    refresh=True   U7: main and its child tables are replaced, tables of other collections
+                   that refer to them are emptied (``refresh_tables``); catalogs are merged
+                   (stale catalog rows survive, as with the source tool).
+    refresh=False  incremental: main merged by its policy; a document whose main row is taken
+                   brings its whole set of child rows, one whose main row is turned away
+                   (first-wins, strict) changes no child row; catalogs merged.
+
+    Rejected rows are added to ``_rejects_<table>`` with the id of the load; ghost users are
+    added to users.main, whose other rows are not rewritten.
     """
     coll = CL.COLLECTIONS[source]
     if check_parents:
@@ -128,11 +142,16 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             missing = [r["collection"] for r in rep.where(~F.col("ok")).select("collection").collect()]
             if missing:
                 raise MissingParents(rep, missing)
+    load_id = uuid.uuid4().hex
+    if run_ts is None:  # one time for the whole load
+        run_ts = F.lit(datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     docs = cut_lineage(docs.select("_seq", "doc"))
     users_main = store.read(*USERS_MAIN) if coll.ghosts else None
     parents = {}
     for schema, table in (("lml_users", "areas"), ("lml_users", "subareas"), ("lml_users", "roles")):
         df = store.read(schema, table)
+        if df is None and not check_parents:  # asked for: absent parents have no rows
+            df = store.empty(CL.USERS.table(table))
         if df is not None:
             parents[f"{schema}.{table}"] = df
     users_ids = users_main.select("id") if users_main is not None else (
@@ -141,7 +160,11 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
     result = normalise(coll, docs, users=users_ids, parents=parents, run_ts=run_ts, rows_path=rows_path, salt=salt,
                        materialize=cut_lineage)
     summary: list[str] = []
-    main_keys = result.tables["main"].select(F.col(coll.main.cols[0].name))
+    pk = coll.main.cols[0].name
+    main_keys = result.tables["main"].select(F.col(pk))
+    held = None if refresh or coll.main.policy == "last" else store.read(coll.name, "main")
+    if held is not None:
+        main_keys = cut_lineage(main_keys.join(held.select(pk), pk, "left_anti"))
 
     def write_table(t: Table) -> str:
         incoming = result.tables[t.name]
@@ -152,6 +175,10 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             # catalogs are parents: merged, never emptied (stale rows survive a refresh)
             out = U.upsert(existing, incoming.withColumn("_seq", F.lit(0)), list(t.key),
                            policy="last" if t.policy == "last" else "first")
+        elif t.name == "main" and t.policy == "strict":
+            fresh, turned_away = U.strict_insert(incoming.withColumn("_seq", F.lit(0)), list(t.key), existing=existing)
+            store.write_rejects(coll.name, t.name, turned_away.drop("_seq"), load_id)
+            out = existing.unionByName(fresh.select(*existing.columns))
         elif t.name == "main":
             out = U.upsert(existing, incoming.withColumn("_seq", F.lit(0)), list(t.key),
                            policy="last" if t.policy == "last" else "first")
@@ -159,7 +186,9 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             # a document that arrives again brings its whole child set: the children of
             # every incoming document are replaced (U6 for member tables, same for the rest)
             parent_col = t.sync_by[0] if t.sync_by else t.cols[0].name
-            present = main_keys.select(F.col(coll.main.cols[0].name).alias(parent_col))
+            present = main_keys.select(F.col(pk).alias(parent_col))
+            if held is not None:
+                incoming = incoming.join(present, parent_col, "left_semi").select(*incoming.columns)
             out = U.sync_members(existing, incoming, [parent_col], present)
         store.write(coll.name, t.name, out, reads_itself=out is not incoming)
         return f"{coll.name}.{t.name}"
@@ -170,13 +199,29 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         summary.extend(pool.map(write_table, coll.tables))
     for name, rej in result.rejects.items():
-        store.write_rejects(coll.name, name, rej)
+        store.write_rejects(coll.name, name, rej.drop("_seq", "pos"), load_id)
+    if refresh:
+        # what refers to replaced rows goes with them
+        for name in refresh_tables(source):
+            schema, table = name.split(".", 1)
+            if schema != coll.name and store.exists(schema, table):
+                t = next(c for c in CL.COLLECTIONS.values() if c.name == schema).table(table)
+                store.write(schema, table, store.empty(t))
     if result.ghosts is not None:
-        # ghosts go into users.main last: the tables above read the old users files
-        base = users_main if users_main is not None else store.empty(CL.USERS.main)
-        merged = base.unionByName(ghosts_as_users(result.ghosts))
-        store.write(*USERS_MAIN, merged, reads_itself=users_main is not None)
+        # absent from users by construction, so they are added, after the tables above have
+        # read the old users files
+        new_users = ghosts_as_users(result.ghosts)
+        if users_main is None:
+            store.write(*USERS_MAIN, new_users)
+        else:
+            store.append(*USERS_MAIN, new_users.select(*users_main.columns))
+    delete_path(spark, rows_path)
     rows = [(n, store.read(*n.split(".", 1)).count()) for n in summary]
+    if unparsed is not None:
+        unparsed = cut_lineage(unparsed)
+        if n := unparsed.count():
+            store.write_rejects(coll.name, "documents", unparsed, load_id)
+            rows.append((f"{coll.name}._rejects_documents", n))
     if result.ghosts is not None:
         rows.append(("lml_users.main(ghosts)", result.ghosts.count()))
     return spark.createDataFrame(rows, "table string, rows bigint")

@@ -438,8 +438,8 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
 def _apply_rules(df: DataFrame, rules, parents: dict[str, DataFrame], salt: int) -> DataFrame:
     for rule in rules:
         p = parents.get(rule.table)
-        if p is None:
-            continue
+        if p is None:  # a rule that is left out would keep rows without a parent
+            raise ValueError(f"parent table {rule.table} of rule on {rule.column} is not given")
         if rule.action == "keep":
             df = R.keep_if_parent(df, rule.column, p, rule.parent_column, salt=salt)
         else:

@@ -55,6 +55,14 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table of the shared checkpoint folder; other paths are refused."""
+    if not path.startswith(ensure_checkpoint_dir(spark).rstrip("/") + "/"):
+        raise ValueError(f"not an intermediate table: {path}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def table_path(spark: SparkSession, *parts: str) -> str:
     """Path for an intermediate table inside the shared checkpoint folder."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)

@@ -19,11 +19,14 @@ from ..sources.documents import SEQ, parse_documents, with_dense_seq
 EPOCH_STRIDE = 10 ** 12  # fixed value: room for document indexes inside one micro-batch
 
 
-def _docs_of_batch(batch: DataFrame, epoch_id: int) -> DataFrame:
+def _docs_of_batch(batch: DataFrame, epoch_id: int) -> tuple[DataFrame, DataFrame]:
+    """Documents of a micro-batch and the lines that are none."""
     seq = with_dense_seq(batch, ["_fp", "_bs"])
     seq = seq.withColumn(SEQ, F.col(SEQ) + F.lit(epoch_id) * F.lit(EPOCH_STRIDE))
     parsed = parse_documents(seq, "value", [SEQ])
-    return parsed.where(F.col("doc").isNotNull() & (F.col("_fence") >= 0)).select(SEQ, "doc")
+    docs = parsed.where(F.col("doc").isNotNull() & (F.col("_fence") >= 0)).select(SEQ, "doc")
+    return docs, parsed.where(F.col("doc").isNull() & (F.col("_fence") >= 0)).select(
+        SEQ, F.col("_raw").alias("raw"), F.lit("unparsable_json").alias("reject_reason"))
 
 
 def stream_collection(spark: SparkSession, source_dir: str, collection: str, store: L.Store,
@@ -32,15 +35,18 @@ def stream_collection(spark: SparkSession, source_dir: str, collection: str, sto
     """Start (and with ``available_now`` run to completion) an incremental load of the
     JSON-lines files under ``source_dir`` into ``store``. Returns the StreamingQuery."""
     checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "docnorm-streams", collection)
-    marks = os.path.join(store.root, "_batches", collection)
+    # markers are plain folders of shared storage, beside the tables or, for catalog
+    # tables, beside the stream's checkpoint
+    marks = L.Store(spark, store.root or checkpoint)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        marker = os.path.join(marks, f"epoch={epoch_id}")
-        if store.exists("_batches", os.path.join(collection, f"epoch={epoch_id}")):
+        epoch = os.path.join(collection, f"epoch={epoch_id}")
+        if marks.exists("_batches", epoch):
             return
-        docs = _docs_of_batch(batch, epoch_id)
-        L.load_collection(spark, collection, docs, store, run_ts=run_ts, refresh=False, check_parents=check_parents)
-        spark.createDataFrame([(epoch_id,)], "epoch long").write.mode("overwrite").parquet(marker)
+        docs, unparsed = _docs_of_batch(batch, epoch_id)
+        L.load_collection(spark, collection, docs, store, run_ts=run_ts, refresh=False, check_parents=check_parents,
+                          unparsed=unparsed)
+        marks.write("_batches", epoch, spark.createDataFrame([(epoch_id,)], "epoch long"))
 
     stream = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir)
               .select("value", F.col("_metadata.file_path").alias("_fp"),

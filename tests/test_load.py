@@ -56,10 +56,10 @@ def test_results_do_not_depend_on_partitioning(spark):
 def test_single_pass_rows_equal_per_table_scans(spark):
     from docnorm.plans import spec as S, collections as CL
     docs = nest.docs(spark, SF, "orders")
-    users = nest.docs(spark, SF, "users").selectExpr("1 as x").limit(0)  # unused
+    parents = {"lml_users.main": spark.createDataFrame([("u000001",), ("u000002",)], "id string")}
     for coll in (CL.PROCESSES, CL.DOCUMENTS, CL.USERSGROUPS):
-        lazy = S.normalise(coll, docs, run_ts=run_ts())
-        single = S.normalise(coll, docs, run_ts=run_ts(), rows_path=tempfile.mkdtemp(prefix="rows-") + "/r")
+        lazy = S.normalise(coll, docs, parents=parents, run_ts=run_ts())
+        single = S.normalise(coll, docs, parents=parents, run_ts=run_ts(), rows_path=tempfile.mkdtemp(prefix="rows-") + "/r")
         for name in lazy.tables:
             a = sorted(map(str, lazy.tables[name].collect()))
             b = sorted(map(str, single.tables[name].collect()))

@@ -30,10 +30,11 @@ def test_next_workflow_needs_an_object_with_a_user(docs):
         (0, "s"), (1, "p"), (1, "s"), (2, "s")]
 
 
-def test_missing_type_names_are_empty(docs):
+def test_missing_type_names_are_empty(spark, docs):
     d = docs({"_id": "t", "instanceStarters": {"peopleTypes": [{"id": "a"}, {"id": "b", "name": "B"}],
                                                "initiatorTypes": [{"id": "i"}, {"id": ""}, "x"]}})
-    t = normalise(CL.PROCESSTYPES, d).tables
+    parents = {f"lml_users.{t}": spark.createDataFrame([], "id string") for t in ("areas", "subareas", "roles")}
+    t = normalise(CL.PROCESSTYPES, d, parents=parents).tables
     assert sorted(rows(t["people_types"], "id", "name")) == [("a", ""), ("b", "B")]
     assert rows(t["initiator_types"], "id", "name") == [("i", "")]
 
@@ -83,3 +84,42 @@ def test_generators_do_not_carry_the_document(docs):
     plan = normalise(CL.DOCUMENTS, d).tables["movements"]._jdf.queryExecution().optimizedPlan().toString()
     generate = next(line for line in plan.splitlines() if "Generate" in line)
     assert "doc#" not in generate
+
+
+def test_null_keys_go_round_the_parent_join(spark):
+    child = spark.createDataFrame([(1, "a"), (2, None), (3, "x"), (4, None)], "id long, role string")
+    parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "rid string")
+    from docnorm.operators import integrity as R
+    for salt in (1, 3):
+        assert sorted(rows(R.null_if_orphan(child, "role", parent, "rid", salt=salt)), key=str) == [
+            (1, "a"), (2, None), (3, None), (4, None)]
+
+
+def test_a_missing_parent_table_is_an_error(docs):
+    import pytest
+    d = docs({"_id": "t", "instanceActions": {"area": [{"id": 1}]}})
+    with pytest.raises(ValueError, match="parent table"):
+        normalise(CL.PROCESSTYPES, d)
+
+
+def test_loads_lose_nothing_in_silence(spark, docs, tmp_path):
+    from docnorm.plans import load as L
+    store = L.Store(spark, str(tmp_path))
+    L.load_collection(spark, "users", docs({"_id": "u1"}), store)
+    first = docs({"_id": "l1", "alias": "a", "fields": [{"key": "k1", "name": "n"}]})
+    again = docs({"_id": "l1", "alias": "b", "fields": [{"key": "k2", "name": "n"}]}, {"_id": "l2", "alias": "c"})
+    bad = spark.createDataFrame([(9, "{", "unparsable_json")], "_seq long, raw string, reject_reason string")
+    L.load_collection(spark, "listbuilder", first, store, refresh=False)
+    main = store.read("lml_listbuilder", "main")
+    assert main.count() == 1
+    out = L.load_collection(spark, "listbuilder", again, store, refresh=False, unparsed=bad)
+    assert ("lml_listbuilder._rejects_documents", 1) in rows(out)
+    got = dict(rows(store.read("lml_listbuilder", "main"), "listbuilder_id", "alias"))
+    assert got == {"l1": "a", "l2": "c"}
+    assert [r["reject_reason"] for r in store.read("lml_listbuilder", "_rejects_main").collect()] == ["duplicate_key"]
+    fields = store.read("lml_listbuilder", "fields")
+    assert fields.where("listbuilder_id = 'l1'").count() == 1 and fields.where("field_key = 'k2'").count() == 0
+    L.load_collection(spark, "listbuilder", again, store, refresh=False)
+    assert store.read("lml_listbuilder", "_rejects_main").count() == 3  # added, not replaced
+    L.load_collection(spark, "users", docs({"_id": "u2"}), store)  # a refresh empties what refers to users
+    assert store.read("lml_listbuilder", "main").count() == 0

@@ -29,7 +29,7 @@ def test_micro_batches_merge_users(spark):
     assert roles == {"r1": "R1b"}                                    # catalogs are last-wins
 
 
-def test_micro_batches_replace_children_of_resent_documents(spark):
+def test_micro_batches_keep_main_and_children_of_a_document_together(spark):
     src = tempfile.mkdtemp(prefix="stream-src-")
     store = L.Store(spark, tempfile.mkdtemp(prefix="stream-store-"))
     ckpt = tempfile.mkdtemp(prefix="stream-ckpt-")
@@ -49,6 +49,7 @@ def test_micro_batches_replace_children_of_resent_documents(spark):
         fh.write(json.dumps(p1b) + "\n")
     stream_collection(spark, psrc, "processes", store, checkpoint=pckpt, max_files_per_trigger=1, check_parents=False)
     moves = sorted((r["process_id"], r["destination_id"]) for r in store.read("lml_processes", "movements").collect())
-    assert moves == [("p1", "d"), ("p2", "c")]                   # p1's children replaced, p2 untouched
+    # processes are first-wins: the main row of p1 stays, and so do its children
+    assert moves == [("p1", "a"), ("p1", "b"), ("p2", "c")]
     main = {r["process_id"]: r["created_by_user_id"] for r in store.read("lml_processes", "main").collect()}
     assert main == {"p1": "user01", "p2": None}                   # main is first-wins
