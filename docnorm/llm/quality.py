@@ -12,17 +12,18 @@ from __future__ import annotations
 import re
 import zlib
 from functools import lru_cache
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from docnorm.llm.common import table
+from docnorm.llm.common import table, write_table
 from docnorm.llm.sampling import bounded_sample
 
-BITS, PER_GRADE, STEPS, RIDGE = 17, 4000, 250, 5e-5
+BITS, PER_GRADE, STEPS, RIDGE = 17, 3000, 250, 5e-5
 STYLE = 8  # features kept ahead of the hashed ones
-WORD_PARTS = re.compile(r"[^\W\d_]+|[^\w\s]+")
+WORD_PARTS, DIGITS = re.compile(r"[^\W\d_]+|[^\w\s]+"), re.compile(r"\d")
 
 
 @lru_cache(maxsize=300_000)
@@ -35,12 +36,11 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     (weighted by the logarithm of their number). Null counts as empty."""
     text = text or ""
     parts = WORD_PARTS.findall(text)
-    low = [p.lower() for p in parts]
-    n, words, chars = max(len(parts), 1), text.split(), max(len(text), 1)
-    runs = sum(not p[0].isalpha() for p in parts)
-    style = [sum(p.isupper() and len(p) > 1 for p in parts) / n, runs / n, len(set(low)) / n,
-             sum(map(str.isdigit, text)) / chars, np.log1p(len(words)) / 10, len(text) / chars / max(len(words), 1),
-             sum(a == b for a, b in zip(low, low[1:], strict=False)) / n, text.count("\n") / chars * 10]
+    low = list(map(str.lower, parts))
+    n, words, chars = max(len(parts), 1), text.count(" ") + 1, max(len(text), 1)
+    style = [sum(map(str.isupper, parts)) / n, 1 - sum(map(str.isalpha, parts)) / n, len(set(low)) / n,
+             len(DIGITS.findall(text)) / chars, np.log1p(words) / 10, 1 / words,
+             sum(map(eq, low, low[1:])) / n, text.count("\n") / chars * 10]
     at, count = np.unique(np.fromiter(map(_bucket, low), np.int32, len(low)), return_counts=True)
     return np.r_[np.arange(STYLE, dtype=np.int32), at], np.r_[style, np.minimum(np.log1p(count), 2) * 0.3]
 
@@ -80,12 +80,12 @@ def fit_rows(csr: tuple, grades: np.ndarray, n_grades: int, steps: int = STEPS,
     the weights); those of fewer than ``rare`` rows (by default 3 and one more for every 500
     rows) are left out."""
     starts, at, value = csr
-    rows = np.repeat(np.arange(len(grades)), np.diff(starts))
+    rows = np.repeat(np.arange(len(grades), dtype=np.int32), np.diff(starts))
     rare = 3 + len(grades) // 500 if rare is None else rare
     found = np.bincount(at, minlength=STYLE + (1 << BITS))
     scale = np.log((1 + len(grades)) / (1 + found)) / 4 * (found >= rare)
     scale[:STYLE] = 1
-    value = value * scale[at]
+    value = (value * scale[at]).astype(np.float32)
     share = 1 / np.maximum(np.bincount(grades, minlength=n_grades), 1)[grades] / n_grades
     weight, low, gaps = np.zeros(len(scale)), 0.0, np.zeros(max(n_grades - 2, 0))
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in (weight, np.zeros(1), gaps)]
@@ -112,10 +112,16 @@ def fit_rows(csr: tuple, grades: np.ndarray, n_grades: int, steps: int = STEPS,
     return Model((weight * scale).astype(np.float32), low + np.r_[0.0, np.cumsum(np.exp(gaps))])
 
 
-def fit(rated: DataFrame, n_grades: int = 3, per_grade: int = PER_GRADE) -> Model | None:
-    """Model from rated documents (doc_id, text, grade 0..n_grades-1); None without any."""
-    known = rated.where(F.col("grade").between(0, n_grades - 1)).select("doc_id", "text", "grade")
-    chosen = bounded_sample(known, "grade", per_grade, per_grade * n_grades, F.struct("doc_id", "text"))
+def fit(docs: DataFrame, ratings: DataFrame, n_grades: int = 3, per_grade: int = PER_GRADE) -> Model | None:
+    """Model from documents (doc_id, text) and ratings (doc_id, grade 0..n_grades-1); None
+    without ratings of two grades.
+
+    The sample is drawn from the ratings, so only its texts are looked up and moved; of
+    documents that share an id one is taken.
+    """
+    known = ratings.where(F.col("grade").between(0, n_grades - 1)).select("doc_id", "grade")
+    sample = write_table(bounded_sample(known, "grade", per_grade, per_grade * n_grades, F.col("doc_id")), "rated")
+    chosen = docs.select("doc_id", "text").join(sample, "doc_id").dropDuplicates(["doc_id"])
 
     def vectors(batches):
         for batch in batches:
@@ -130,9 +136,11 @@ def fit(rated: DataFrame, n_grades: int = 3, per_grade: int = PER_GRADE) -> Mode
     rows = chosen.mapInArrow(vectors, "grade int, at array<int>, value array<float>").toPandas()
     if rows["grade"].nunique() < 2:
         return None
-    starts = np.r_[0, np.cumsum(rows["at"].map(len))].astype(np.int64)
-    csr = starts, np.concatenate(rows["at"].to_list()).astype(np.int64), np.concatenate(rows["value"].to_list()).astype(np.float64)
-    return fit_rows(csr, rows["grade"].to_numpy().astype(np.int64), n_grades)
+    rows = rows.sort_values("grade", kind="stable")
+    starts, grades = np.r_[0, np.cumsum(rows["at"].map(len))].astype(np.int64), rows["grade"].to_numpy().astype(np.int64)
+    csr = starts, np.concatenate(rows["at"].to_list()), np.concatenate(rows["value"].to_list())
+    del rows
+    return fit_rows(csr, grades, n_grades)
 
 
 def grade(docs: DataFrame, model: Model | None, select: float = 0.5) -> DataFrame:
@@ -172,5 +180,4 @@ def ratings(labels: DataFrame) -> DataFrame:
 
 def op10_ordinal_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    rated = docs.select("doc_id", "text").join(ratings(table(spark, sf_dir, "labels")), "doc_id")
-    return grade(docs, fit(rated))
+    return grade(docs, fit(docs, ratings(table(spark, sf_dir, "labels"))))

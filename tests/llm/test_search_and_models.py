@@ -110,7 +110,7 @@ def test_quality_of_held_out_documents(llm):
     docs, labels = table(llm, LARGE, "documents"), quality.ratings(table(llm, LARGE, "labels"))
     rated = docs.join(labels, "doc_id")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
-    model = quality.fit(rated.where(~held))
+    model = quality.fit(docs, labels.where(~held))
     out = quality.grade(rated.where(held), model).join(labels, "doc_id").collect()
     mean = {g: np.mean([r.expected_grade for r in out if r.grade == g]) for g in (0, 1, 2)}
     assert mean[0] < mean[1] < mean[2]
@@ -120,9 +120,9 @@ def test_quality_of_held_out_documents(llm):
 def test_quality_of_hard_documents(llm, hard, none):
     labels = llm.createDataFrame([(4, 1, 0), (5, 0, 0), (6, 1, 1), (7, 1, None), (9, 1, 0), (10, 0, 1), (10, 1, 0), (None, 1, 1), (99, 1, 1)],
                                  "doc_id long, quality int, toxic int")
-    rated = hard.select("doc_id", "text").join(quality.ratings(labels), "doc_id")
-    out = quality.grade(hard, quality.fit(rated)).collect()
+    rated = quality.ratings(labels)
+    out = quality.grade(hard, quality.fit(hard, rated)).collect()
     assert len(out) == hard.count() and all(0 <= r.tail_probability <= 1 and 0 <= r.expected_grade <= 2 for r in out)
-    assert quality.fit(rated.where("false")) is None
+    assert quality.fit(hard, rated.where("false")) is None and quality.fit(none, rated) is None
     assert all(r.kept and r.expected_grade is None for r in quality.grade(hard, None).collect())
     assert quality.grade(none, None).collect() == []
