@@ -132,7 +132,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VO
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches):
-        encode = encoder(vocabulary).encode
+        encode, forget = encoder(vocabulary).encode, encoder(vocabulary).forget
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)
@@ -144,6 +144,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VO
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECES)
 

@@ -2,9 +2,11 @@
 
 A byte string of ``length`` that starts at two places is found in three steps.
 
-1. Every window of ``length`` bytes is assigned to the smallest hash among its 100-byte
-   grams, so equal windows share a gram at the same distance. About one place in fifty is
+1. Every window of ``length`` bytes is assigned to the smallest hash among its 64-byte
+   grams, so equal windows share a gram at the same distance. About one place in seventy is
    such an anchor; those whose gram hash occurs once can't lie in a repeat and are dropped.
+   Anchors that a task sees again with the same bytes around are settled there: one of them
+   stands for all, so that a gram repeated over and over doesn't gather in one task.
 2. Around each remaining anchor the bytes of its windows are cut out and sent to the anchor's
    task, so the copies of a repeat meet whatever documents they come from. Anchors with very
    many places are split further by the bytes that all windows of a part have in common.
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from docnorm.llm.common import shuffle_partitions, table
 
-LENGTH, GRAM = 200, 100
+LENGTH, GRAM = 200, 64
 #: Bytes hashed or ordered at once, places from which an anchor is split, starts in a part.
 CHUNK, TASK_BYTES, HOT_PLACES, PART_STARTS = 1 << 19, 1 << 20, 512, 16
 #: Columns added to those of the documents, named so that they don't meet others.
@@ -35,7 +37,7 @@ KEY, PLACES, SPANS = ("__repeat_id", "__repeat_text"), "__repeat_places", "__rep
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)  # one size is kept, a worker's chunks are mostly alike
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """ODD^i and its inverse modulo 2^64 for i < n."""
     inverse = pow(int(ODD), -1, 1 << 64)
@@ -44,16 +46,26 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """64-bit hash of each run of ``gram`` bytes, equal wherever the bytes are."""
-    up, down = _powers(1 << (len(data)).bit_length())
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of the bytes times falling powers, from which any span's hash is read."""
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[:len(data)], out=total[1:])
-    h = (total[gram:] - total[:-gram]) * up[:len(data) - gram + 1]
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(1 << len(data).bit_length())[1][:len(data)], out=total[1:])
+    return total
+
+
+def span_hashes(total: np.ndarray, first, end) -> np.ndarray:
+    """64-bit hash of the bytes from ``first`` to ``end``, equal wherever the bytes are."""
+    h = (total[end] - total[first]) * _powers(1 << (len(total) - 1).bit_length())[0][first]
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(29))
 
 
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of each run of ``gram`` bytes."""
+    n = len(data) - gram + 1
+    return span_hashes(prefix_sums(data), slice(0, n), slice(gram, gram + n))
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     have = 1
     while have * 2 <= width:
@@ -96,8 +108,27 @@ def chunks(texts: list[bytes], length: int):
         yield held
 
 
-def find_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """gram, document (id_key, text_hash), place, starts before and behind it, of all anchors."""
+def same_cuts(data: np.ndarray, h: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(again, leader) masks of anchors whose windows' bytes come several times in ``data``:
+    the first by ``order`` leads, the others are there again. Equal hashes are compared."""
+    cut = span_hashes(prefix_sums(data), first, last + length)
+    by = np.lexsort((order, cut, h))
+    same = (h[by[1:]] == h[by[:-1]]) & (cut[by[1:]] == cut[by[:-1]]) & (last[by[1:]] - first[by[1:]] == last[by[:-1]] - first[by[:-1]])
+    again, leader, text, lead = np.zeros(len(h), bool), np.zeros(len(h), bool), data.tobytes(), -1
+    for i in np.flatnonzero(same).tolist():
+        a, b = by[i], by[i + 1]
+        lead = a if lead < 0 or not again[a] else lead
+        if text[first[b]:last[b] + length] == text[first[lead]:last[lead] + length]:
+            again[b], leader[lead] = True, True
+    return again, leader
+
+
+def find_anchors(docs: DataFrame, length: int, gram: int, keep_first: bool) -> DataFrame:
+    """gram, document (id_key, text_hash), place, starts before and behind it, of all anchors.
+
+    ``sure`` rows are windows known to be repeats already, keyed by their document; anchors
+    with the same bytes around as another of the same chunk come only as such.
+    """
 
     def found(batches):
         for batch in batches:
@@ -112,14 +143,23 @@ def find_anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                                                     np.repeat(bases[1:], sizes), length, gram)
                     of = np.searchsorted(bases, place, "right") - 1
                     shift = np.array([at for _, at, _ in held])[of] - bases[of]
-                    take = pa.array(np.array([i for i, _, _ in held])[of])
+                    take = np.array([i for i, _, _ in held])[of]
+                    own_id, own_hash = ids.to_numpy()[take], hashes.to_numpy()[take]
+                    rank = np.empty(len(h), np.int64)
+                    rank[np.lexsort((place + shift, own_hash, own_id))] = np.arange(len(h))
+                    again, leader = same_cuts(np.frombuffer(b"".join(t for _, _, t in held), np.uint8), h, first, last, length, rank)
+                    settled = again if keep_first else again | leader
+                    # a settled row goes to its document's key; leaders stay anchors besides
+                    rows = np.r_[np.flatnonzero(~again), np.flatnonzero(settled)]
+                    sure = np.arange(len(rows)) >= (~again).sum()
+                    key = np.where(sure, own_id[rows] * 31 + own_hash[rows], h.view(np.int64)[rows])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), ids.take(take), hashes.take(take), pa.array((place + shift).astype(np.int32)),
-                         pa.array((place - first).astype(np.int16)), pa.array((last - place).astype(np.int16))],
-                        names=["gram", "id_key", "text_hash", "place", "back", "ahead"])
+                        [pa.array(key), pa.array(own_id[rows]), pa.array(own_hash[rows]), pa.array((place + shift)[rows].astype(np.int32)),
+                         pa.array((place - first)[rows].astype(np.int16)), pa.array((last - place)[rows].astype(np.int16)), pa.array(sure)],
+                        names=["gram", "id_key", "text_hash", "place", "back", "ahead", "sure"])
 
     return docs.select("id_key", "text_hash", "text").mapInArrow(
-        found, "gram long, id_key long, text_hash int, place int, back short, ahead short")
+        found, "gram long, id_key long, text_hash int, place int, back short, ahead short, sure boolean")
 
 
 def parts_of(text: bytes, key: int, place: int, first: int, last: int, hot: bool, length: int) -> list[tuple[int, int, int]]:
@@ -137,7 +177,8 @@ def parts_of(text: bytes, key: int, place: int, first: int, last: int, hot: bool
 
 def cut_out(rows: DataFrame, length: int) -> DataFrame:
     """Windows' bytes around the anchors of each document (text, places): key, cut, and the
-    places (id_key, text_hash, start) where that cut stands. Equal cuts of a batch go once."""
+    places (id_key, text_hash, start) where that cut stands. Equal cuts of a batch go once.
+    A sure repeat has no bytes to compare: its cut is its length, in four bytes."""
 
     def cuts(batches):
         for batch in batches:
@@ -145,12 +186,16 @@ def cut_out(rows: DataFrame, length: int) -> DataFrame:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             ids, hashes, places = (batch.column(c) for c in ("id_key", "text_hash", "places"))
             bounds, fields = places.offsets.to_numpy(), places.values.flatten()
-            gram, place, back, ahead, hot = (f.to_numpy(zero_copy_only=False) for f in fields)
+            gram, place, back, ahead, hot, sure = (f.to_numpy(zero_copy_only=False) for f in fields)
             first, last = place - back, place + ahead
             for i, (id_key, text_hash, text) in enumerate(zip(ids.to_pylist(), hashes.to_pylist(), texts, strict=True)):
                 # a row that stands there twice has found its places as often
-                own = np.unique(place[bounds[i]:bounds[i + 1]], return_index=True)[1] + bounds[i]
-                for k, p, a, b, h in zip(*(x[own].tolist() for x in (gram, place, first, last, hot)), strict=True):
+                all_ = slice(bounds[i], bounds[i + 1])
+                own = np.unique(place[all_] * 2 + sure[all_], return_index=True)[1] + bounds[i]
+                for k, p, a, b, h, known in zip(*(x[own].tolist() for x in (gram, place, first, last, hot, sure)), strict=True):
+                    if known:
+                        seen.setdefault((k, (b + length - a).to_bytes(4, "little")), []).extend((id_key, text_hash, a))
+                        continue
                     for key, s, e in parts_of(text, k, p, a, b, h, length):
                         seen.setdefault((key, text[s:e + length]), []).extend((id_key, text_hash, s))
             whole = list(seen.items())
@@ -211,8 +256,15 @@ def match(rows: list[tuple], length: int, keep_first: bool) -> list[tuple]:
     choose what is compared, the order compares bytes.
     """
     merged: dict[bytes, list[tuple]] = {}
+    out = []
     for cut, *where in rows:
-        merged.setdefault(cut, []).extend(zip(*where, strict=True))
+        if len(cut) < length:
+            span = int.from_bytes(cut, "little")
+            out += [(id_key, text_hash, start, start + span) for id_key, text_hash, start in zip(*where, strict=True)]
+        else:
+            merged.setdefault(cut, []).extend(zip(*where, strict=True))
+    if not merged:
+        return out
     places = [sorted(w) for w in merged.values()]
     by_place = np.empty(len(places), np.int64)
     by_place[sorted(range(len(places)), key=lambda r: places[r][0])] = np.arange(len(places))
@@ -243,7 +295,6 @@ def match(rows: list[tuple], length: int, keep_first: bool) -> list[tuple]:
         early[chosen], late[chosen] = earlier_and_later(
             some, shift[row[chosen]] + inner[chosen], by_place[row[chosen]] * (int(sizes.max()) + 1) + inner[chosen], length)
     any_ = early | late
-    out = []
     for r, (where, a, n) in enumerate(zip(places, firsts.tolist(), counts.tolist(), strict=True)):
         several = len(where) > 1
         mask = early[a:a + n] if keep_first else any_[a:a + n]
@@ -291,15 +342,17 @@ def with_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False)
     Rows are keyed by id and text, so rows that share both share their spans. The two joins
     with the texts are on the same columns: they use one shuffle of the texts.
     """
+    if length < 8:
+        raise ValueError("a repeat has at least eight bytes")
     gram = min(GRAM, length)
     id_key, text_hash = KEY
     whole = docs.withColumns({
         id_key: F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)),
         text_hash: F.xxhash64(F.col("doc_id").isNull(), "text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")})
-    found = (find_anchors(whole.select(F.col(id_key).alias("id_key"), F.col(text_hash).alias("text_hash"), "text"), length, gram)
-             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("n > 1")
+    found = (find_anchors(whole.select(F.col(id_key).alias("id_key"), F.col(text_hash).alias("text_hash"), "text"), length, gram, keep_first)
+             .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("n > 1 OR sure")
              .groupBy(F.col("id_key").alias(id_key), F.col("text_hash").alias(text_hash)).agg(F.collect_list(F.struct(
-                 "gram", "place", "back", "ahead", (F.col("n") > HOT_PLACES).alias("hot"))).alias(PLACES)))
+                 "gram", "place", "back", "ahead", (F.col("n") > HOT_PLACES).alias("hot"), "sure")).alias(PLACES)))
     named = [F.col(id_key).alias("id_key"), F.col(text_hash).alias("text_hash"), F.col("text"), F.col(PLACES).alias("places")]
     others = [F.col(f"`{c}`").alias(f"other{i}") for i, c in enumerate(docs.columns) if c != "text"]
     cuts = cut_out(whole.join(found, [id_key, text_hash]).select(*named, *others), length)

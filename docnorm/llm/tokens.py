@@ -52,6 +52,10 @@ class Encoder:
             found[chunk] = np.array(self.bpe.encode_ordinary(chunk), self.dtype).tobytes()
         return found
 
+    def forget(self) -> None:
+        """Empty the cache; tasks do so at their end, so that idle workers hold little."""
+        self.cache.clear()
+
     def encode(self, texts: list[str | None], group: int = 256) -> list[bytes]:
         """Ids of each text (null: none); texts are taken in groups to bound what is held."""
         out = []
@@ -71,5 +75,5 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str = VOCABULARY, dtype: str = "<u4") -> Encoder:
-    """The worker's encoder, kept between tasks."""
+    """The worker's encoder; its vocabulary is kept between tasks."""
     return Encoder(vocabulary, dtype)

@@ -99,6 +99,7 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
                     ids += own + end
                 if out := rows(False):
                     yield batch_of(out)
+        encoder(vocabulary, "<u2").forget()
         if out := rows(True):
             yield batch_of(out)
 
