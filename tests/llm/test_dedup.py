@@ -150,3 +150,17 @@ def test_one_document_of_each_group_stays(hard, none):
     assert ids[5] == 1 and ids[6] == 2 and ids[7] == 1 and 8 not in ids and ids[None] == 2
     assert ids[1] == ids[2] == ids[3] == 1  # without words: linked with nothing
     assert near_dup.drop_near_duplicates(none).collect() == [] and near_dup.near_duplicates(none).collect() == []
+
+
+def test_few_links_within_dense_families(llm):
+    """Templates: pages share about 0.7 of their shingles pairwise, a few pairs over 0.8."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for family in range(2):
+        base = [f"t{family}w{i}" for i in range(240)]
+        pages = [edited(rng, base, 0.09) for _ in range(200)]
+        pages += [edited(rng, pages[i], 0.045) for i in range(0, 200, 3)]
+        rows += [(family * 1000 + int(i), " ".join(pages[p])) for i, p in enumerate(rng.permutation(len(pages)))]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    out = near_dup.near_duplicates(docs, 2).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == sorted(exact_components(rows, 2))
