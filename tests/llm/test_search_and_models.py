@@ -35,6 +35,24 @@ def test_top_k_equals_brute_force(llm, block):
     assert top_k.top_k(vectors.where("vec_id = 100"), F.col("vec_id") % 100 == 0).collect() == []
 
 
+@pytest.mark.parametrize("large", [1e5, 1e6, 1e12])
+def test_top_k_of_large_components(llm, large):
+    """Every finite vector takes part, and those whose scores could pass int64 are exact."""
+    rng = np.random.default_rng(7)
+    rows = [(int(i), [float(x) for x in rng.normal(size=5).round(1)]) for i in range(-40, 230)]
+    rows += [(301, [large, 0.1, 0.0, 0.0, 0.0]), (302, [0.3, -large, 0.0, 0.0, 0.0]), (303, [0.0, 0.0, 1.5, large / 3, 0.0])]
+    rows += [(400, [large, 1.0, 0.0, 0.0, 2.0])] if large < 1e7 else []
+    vectors = llm.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in top_k.top_k(vectors, F.col("vec_id") % 100 == 0, block_rows=100).collect())
+    assert got == brute_top(rows) and {301, 302, 303} & {r[2] for r in got}
+
+
+def test_scores_beyond_long_are_an_error(llm):
+    vectors = llm.createDataFrame([(100, [1e9, 1.0]), (1, [1e9, 2.0])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="score beyond long"):
+        top_k.top_k(vectors, F.col("vec_id") % 100 == 0).collect()
+
+
 def test_slices_give_back_the_values():
     values = np.random.default_rng(2).integers(-900, 900, (20, 70))
     index = top_k.slices(values, 11)
