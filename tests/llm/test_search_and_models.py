@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -135,6 +137,11 @@ def test_quality_of_held_out_documents(llm):
     assert np.mean([r.kept for r in out if r.grade == 2]) > 0.9 and np.mean([r.kept for r in out if r.grade == 0]) < 0.1
 
 
+def test_quality_sample_is_the_documented_one():
+    readme = (Path(__file__).resolve().parents[2] / "README.md").read_text()
+    assert f"`PER_GRADE = {quality.PER_GRADE}` a grade" in readme
+
+
 def test_quality_of_hard_documents(llm, hard, none):
     labels = llm.createDataFrame([(4, 1, 0), (5, 0, 0), (6, 1, 1), (7, 1, None), (9, 1, 0), (10, 0, 1), (10, 1, 0), (None, 1, 1), (99, 1, 1)],
                                  "doc_id long, quality int, toxic int")
