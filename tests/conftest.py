@@ -32,8 +32,3 @@ def docs(spark):
         df = spark.createDataFrame(rows, "_seq long, j string")
         return df.select("_seq", F.parse_json("j").alias("doc"))
     return make
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]

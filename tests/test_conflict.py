@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from docnorm.operators import conflict as U
 
-from conftest import rows
+from helpers import rows
 
 
 def df(spark, data, schema="id string, name string, _seq long"):

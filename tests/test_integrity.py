@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from docnorm.operators import integrity as R
 
-from conftest import rows
+from helpers import rows
 
 
 def users(spark, *ids):

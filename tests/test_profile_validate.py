@@ -4,13 +4,13 @@ from pyspark.sql import functions as F
 from docnorm.operators import profile as G
 from docnorm.operators import validate as VAL
 
-from conftest import rows
+from helpers import rows
 
 
 def test_field_coverage(docs):
     d = docs({"a": 1, "b": None}, {"a": "x"}, {"c": []})
-    got = {r["field"]: (r["present"], r["pct"], r["nulls"], r["types"]) for r in G.field_coverage(d).collect()}
-    assert got == {"a": (2, 66, 0, "integer,string"), "b": (1, 33, 1, "null"), "c": (1, 33, 0, "array")}
+    got = {r["field"]: (r["present"], round(r["pct"], 2), r["nulls"], r["types"]) for r in G.field_coverage(d).collect()}
+    assert got == {"a": (2, 66.67, 0, "integer,string"), "b": (1, 33.33, 1, "null"), "c": (1, 33.33, 0, "array")}
 
 
 def test_examples_first_seen(docs):

@@ -2,7 +2,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from docnorm.operators import nested as N, profile as G
 from docnorm.plans import collections as CL, oracle
 from docnorm.plans.spec import normalise

@@ -4,7 +4,7 @@ import tempfile
 
 from docnorm.sources import documents as D
 
-from conftest import rows
+from helpers import rows
 
 
 def test_read_jsonl_with_rejects(spark):
