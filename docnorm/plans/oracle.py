@@ -78,8 +78,8 @@ FROM customer""",
 
     "json_forms": _w(OD) + """SELECT pid AS process_id,
  CASE k % 9 WHEN 2 THEN '{"role":{"id":"' || U || '"}}' WHEN 5 THEN '"someone"' WHEN 8 THEN '{"_id":{"$oid":""},"id":""}' END AS jt_reviewer,
- CASE WHEN k % 3 = 1 THEN '{}' ELSE CASE k % 9 WHEN 2 THEN '{"role":{"id":"' || U || '"}}' WHEN 5 THEN '"someone"'
-   WHEN 8 THEN '{"_id":{"$oid":""},"id":""}' END END AS jv_reviewer,
+ CASE WHEN k % 3 = 1 THEN '{}' WHEN k % 9 = 2 THEN '{"role":{"id":"' || U || '"}}'
+   WHEN k % 9 = 8 THEN '{"_id":{"$oid":""},"id":""}' END AS jv_reviewer,
  CAST(NULL AS VARCHAR) AS jt_extra, '[]' AS jv_extra,
  CAST(NULL AS VARCHAR) AS jt_zero, CAST(NULL AS VARCHAR) AS jv_zero,
  CAST(NULL AS VARCHAR) AS jt_obj, CASE WHEN k % 5 = 0 THEN '{}' END AS jv_obj,
