@@ -132,19 +132,18 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VO
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches):
-        encode, forget = encoder(vocabulary).encode, encoder(vocabulary).forget
+        ids_of = encoder(vocabulary).ids
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 some = batch.slice(at, 1024)
                 out = []
-                for doc_id, ids in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist()), strict=True):
-                    ids += end
+                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                    ids = ids_of(text) + end
                     out += [(doc_id, k, s, n, zlib.crc32(ids[4 * s:4 * (s + n)]))
                             for k, (s, n) in enumerate(cut(len(ids) // 4, capacity))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
-        forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECES)
 

@@ -64,7 +64,7 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
         from pyspark import TaskContext
 
         part, nth = TaskContext.get().partitionId(), 0
-        encode, end = encoder(vocabulary, "<u2").encode, np.array([end_id], "<u2").tobytes()
+        ids_of, end = encoder(vocabulary, "H").ids, np.array([end_id], "<u2").tobytes()
         held, ids, step = [], bytearray(), 2 * length
 
         def rows(last: bool):
@@ -94,12 +94,11 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 some = batch.slice(at, 512)
-                for doc_id, own in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist()), strict=True):
+                for doc_id, own in zip(some.column(0).to_pylist(), map(ids_of, some.column(1).to_pylist()), strict=True):
                     held.append((doc_id, len(ids), len(ids) + len(own) + 2))
                     ids += own + end
                 if out := rows(False):
                     yield batch_of(out)
-        encoder(vocabulary, "<u2").forget()
         if out := rows(True):
             yield batch_of(out)
 
