@@ -1,7 +1,7 @@
 """Registered queries of the operators and the DuckDB SQL of those that SQL can express."""
 from __future__ import annotations
 
-from docnorm.llm import chat, language, merkle, mixing, near_dup, packing, periodic_runs, quality, suffix_dedup, tiered_packing, top_k, training_order
+from docnorm.llm import alignment, chat, language, merkle, mixing, near_dup, packing, periodic_runs, quality, suffix_dedup, tiered_packing, top_k, training_order
 
 QUERIES = {
     "op1_pack_best_fit": packing.op1_pack_best_fit,
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_ordinal_quality": quality.op10_ordinal_quality,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_cross_tokenizer_alignment": alignment.op12_cross_tokenizer_alignment,
     "op13_tiered_packing": tiered_packing.op13_tiered_packing,
 }
 
