@@ -4,9 +4,10 @@ Vocabulary A is a byte-level BPE, B a sentence-piece BPE that marks a space in f
 word. Neither holds a token that goes from another character into a space (checked for B when
 it is loaded), so a space behind a word is an anchor: tokens of both end there, and the next
 ones are space-marked. The windows between anchors are tokenised and checked: the bytes of
-both sides' tokens must be those of the window, which verifies the shared end. Arrow reduces
-the windows of a group of texts to the distinct ones; a window's alignment is a walk along
-both lists of token ends, memoised by the two tuples of ids.
+both sides' tokens must be those of the window, which verifies the shared end. A window and its
+two tuples of ids then stand for each other, so Arrow's dictionary of the windows of a group
+of texts is the memo: each distinct one is aligned once, and its groups and links are dealt
+to all its places.
 
 Within a window, offsets where tokens of both sides end cut the tokens into groups, and every
 A token is linked with the B tokens whose bytes it overlaps. A written table holds per
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from docnorm.llm.common import table, write_table
 from docnorm.llm.tokens import VOCABULARY, encoder
 
 PIECE_VOCABULARY = "piece_bpe_32k"
-GROUP_BYTES, MEMO_ENTRIES, MEMO_BYTES, BROADCAST_PAIRS = 1 << 22, 200_000, 64, 1_000_000
+GROUP_BYTES, BROADCAST_PAIRS = 1 << 23, 1_000_000
 #: ASCII white space, and the last two bytes that end any other Unicode white space.
 BLANK, UNICODE_BLANK_1, UNICODE_BLANK_2 = (np.zeros(256, bool) for _ in range(3))
 BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -55,28 +57,8 @@ def distinct_windows(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.nd
     return windows.dictionary.to_pylist(), windows.indices.to_numpy(), np.searchsorted(starts, bounds)
 
 
-def align(a_ids: tuple[int, ...], b_ids: tuple[int, ...], a_bytes, b_bytes) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """(groups, links) of tokens that stand for the same bytes."""
-    groups, links, i, j = [], [], 0, 0
-    while i < len(a_ids):
-        first_a, first_b = i, j
-        end_a, end_b = len(a_bytes[a_ids[i]]), len(b_bytes[b_ids[j]])
-        links.append((a_ids[i], b_ids[j]))
-        while end_a != end_b:
-            if end_a < end_b:
-                i += 1
-                end_a += len(a_bytes[a_ids[i]])
-            else:
-                j += 1
-                end_b += len(b_bytes[b_ids[j]])
-            links.append((a_ids[i], b_ids[j]))
-        i, j = i + 1, j + 1
-        groups.append((list(a_ids[first_a:i]), list(b_ids[first_b:j])))
-    return groups, links
-
-
 class Aligner:
-    """Token ids of windows in both vocabularies and their memoised alignments."""
+    """Token ids of windows in both vocabularies and their alignments."""
 
     def __init__(self, vocabulary: str, piece_vocabulary: str):
         import public_tokenizers
@@ -84,58 +66,79 @@ class Aligner:
 
         self.a = encoder(vocabulary)
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(f"{piece_vocabulary}.model"))
-        self.size_b = self.b.vocab_size()
+        self.size_a, self.size_b = max(self.a.tokens) + 1, self.b.vocab_size()
         pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError(f"{piece_vocabulary} has pieces that go from a word into a space")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.ids: dict[bytes, tuple] = {}
-        self.memo: dict[tuple, tuple] = {}
-
-    def window(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple:
-        """(A tokens, B tokens, groups, groups as text, linked pairs as 64-bit numbers)."""
-        if (out := self.memo.get(key)) is None:
-            groups, links = align(*key, self.a.tokens, self.b_bytes)
-            text = "".join(f"{','.join(map(str, a))}|{','.join(map(str, b))};" for a, b in groups)
-            out = (len(key[0]), len(key[1]), len(groups), text.encode(), np.array([a * self.size_b + b for a, b in links], np.int64).tobytes())
-            if len(text) <= 4 * MEMO_BYTES:
-                self.memo[key] = out
-        return out
-
-    def windows(self, texts: list[bytes]) -> list[tuple | None]:
-        """What ``window`` gives for windows (each opens with a space); None: the bytes differ."""
-        for held in (self.ids, self.memo):
-            if len(held) > MEMO_ENTRIES:
-                held.clear()
-        new = [w for w in texts if w not in self.ids]
-        decoded, found = [w.decode() for w in new], {}
-        for window, text, b_ids in zip(new, decoded, self.b.encode([t[1:] for t in decoded], num_threads=1), strict=True):
-            a_ids = tuple(memoryview(self.a.plain(text)).cast("I"))
-            b_ids = b_ids or [self.b.piece_to_id("▁")]  # the one space of this window is in front of nothing
-            same = b"".join(map(self.a.tokens.__getitem__, a_ids)) == window == b"".join(map(self.b_bytes.__getitem__, b_ids))
-            found[window] = (a_ids, tuple(b_ids)) if same else None
-        out = [None if (key := found[w] if w in found else self.ids[w]) is None else self.window(key) for w in texts]
-        self.ids.update((w, key) for w, key in found.items() if len(w) <= MEMO_BYTES)
-        return out
-
-    def documents(self, texts: list[bytes]):
+        self.a_width = np.array([len(self.a.tokens.get(i, b"")) for i in range(self.size_a)], np.int64)
+        self.b_width = np.array(list(map(len, self.b_bytes)), np.int64)
+        #: an id and what stands behind it in the text of groups: A within a group, A at its end, B likewise
+        self.labels = pa.array([f"{i}{mark}" for size, marks in ((self.size_a, ",|"), (self.size_b, ",;")) for mark in marks for i in range(size)],
+                               pa.large_binary())
+
+    def tokens(self, windows: list[bytes]) -> tuple[np.ndarray, ...]:
+        """(A ids, A tokens of each window, B ids, B tokens of each window, whether both
+        sides' bytes are the window's); windows that differ come without tokens."""
+        text = [w.decode() for w in windows]
+        # windows strung together are tokenised as one text, up to one that ends with white space
+        breaks = [i for i, t in enumerate(text, 1) if t[-1].isspace()]
+        a_ids = np.frombuffer(b"".join(self.a.plain("".join(text[i:j])) for i, j in zip([0, *breaks], [*breaks, len(text)], strict=True)), "<u4").astype(np.int64)
+        size = np.fromiter(map(len, windows), np.int64, len(windows))
+        n_a = np.diff(np.searchsorted(np.cumsum(self.a_width[a_ids]), np.r_[0, np.cumsum(size)], "right"))
+        # the one space of an otherwise empty window is in front of nothing
+        b_ids = [ids or [self.b.piece_to_id("▁")] for ids in self.b.encode([t[1:] for t in text], num_threads=1)]
+        fine, data = np.ones(len(windows), bool), b"".join(windows)
+        if b"".join(map(self.b_bytes.__getitem__, chain.from_iterable(b_ids))) != data:
+            fine &= [b"".join(map(self.b_bytes.__getitem__, b)) == w for b, w in zip(b_ids, windows, strict=True)]
+        if b"".join(map(self.a.tokens.__getitem__, a_ids.tolist())) != data:
+            raise ValueError("the byte-level vocabulary doesn't hold every byte")
+        if not fine.all():
+            a_ids, n_a = a_ids[np.repeat(fine, n_a)], n_a * fine
+            b_ids = [x if ok else [] for x, ok in zip(b_ids, fine, strict=True)]
+        n_b = np.fromiter(map(len, b_ids), np.int64, len(windows))
+        return a_ids, n_a, np.fromiter(chain.from_iterable(b_ids), np.int64, n_b.sum()), n_b, fine
+
+    def align(self, windows: list[bytes]) -> tuple:
+        """(A tokens, B tokens, groups, groups as text, linked pairs as 64-bit numbers, whether
+        the bytes are the same) of distinct windows, each of which opens with a space.
+
+        The ends of the tokens of all windows are places in one string of bytes. Between two
+        neighbouring ends there is one token of either side: a link. Ends of both sides close
+        a group.
+        """
+        a_ids, n_a, b_ids, n_b, fine = self.tokens(windows)
+        a_end, b_end = np.cumsum(self.a_width[a_ids]), np.cumsum(self.b_width[b_ids])
+        ends = np.sort(np.r_[a_end, b_end], kind="stable")
+        again = np.r_[False, ends[1:] == ends[:-1]][:len(ends)]
+        shared, ends = ends[again], ends[~again]
+        pairs = a_ids[np.searchsorted(a_end, ends)] * self.size_b + b_ids[np.searchsorted(b_end, ends)]
+        bounds = np.r_[0, np.cumsum(np.where(fine, np.fromiter(map(len, windows), np.int64, len(windows)), 0))]
+        of_a, of_b = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
+        labels = np.r_[a_ids + self.size_a * (shared[of_a] == a_end), 2 * self.size_a + b_ids + self.size_b * (shared[of_b] == b_end)]
+        in_order = np.argsort(np.r_[2 * of_a, 2 * of_b + 1], kind="stable")
+        text = self.labels.take(pa.array(labels[in_order]))
+        text_at = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1)[np.r_[0, np.cumsum(n_a + n_b)]]
+        pairs_at = 8 * np.searchsorted(ends, bounds, "right")
+        strung = (pa.Array.from_buffers(pa.large_binary(), len(windows), [None, pa.py_buffer(at.astype(np.int64)), data])
+                  for at, data in ((text_at, text.buffers()[2]), (pairs_at, pa.py_buffer(pairs))))
+        return n_a, n_b, np.diff(np.searchsorted(shared, bounds, "right")), *strung, fine
+
+    def documents(self, texts: list[bytes]) -> list[pa.Array]:
         """Per text (a space in front): n_a, n_b, n_groups, n_links, digest of the groups,
         distinct pairs and how often each; zeros for an empty one and where bytes differ."""
         distinct, number, bounds = distinct_windows(texts)
-        known = self.windows(distinct)
-        fine = np.array([k is not None for k in known])
-        known = [k or (0, 0, 0, b"", b"") for k in known]
+        *sizes, text, pairs, fine = self.align(distinct)
         first, n = bounds[:-1], len(texts)
         whole = np.logical_and.reduceat(fine[number], first) & (np.fromiter(map(len, texts), np.int64, n) > 1)
-        sizes = [np.add.reduceat(np.array([k[c] for k in known], np.int64)[number], first) * whole for c in (0, 1, 2)]
-        dealt = [pa.array([k[c] for k in known], pa.large_binary()).take(pa.array(number)) for c in (3, 4)]
+        sizes = [np.add.reduceat(s[number], first) * whole for s in sizes]
+        dealt = [x.take(pa.array(number)) for x in (text, pairs)]
         (text, text_at), (raw, raw_at) = ((memoryview(d.buffers()[2] or b""), np.frombuffer(d.buffers()[1], np.int64, len(number) + 1)[bounds]) for d in dealt)
         shas = [hashlib.sha256(text[a:b - 1]).hexdigest() if ok else "" for a, b, ok in zip(text_at[:-1].tolist(), text_at[1:].tolist(), whole, strict=True)]
-        pairs = np.frombuffer(raw, np.int64)
         links = np.diff(raw_at) // 8
         of = np.repeat(np.arange(n), links)
-        span = len(self.a.tokens) * self.size_b + 1
-        keys = np.sort((of * span + pairs)[whole[of]])
+        span = self.size_a * self.size_b
+        keys = np.sort((of * span + np.frombuffer(raw, np.int64))[whole[of]])
         new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
         often = np.diff(np.r_[new, len(keys)]).astype(np.int32)
         ends = pa.array(np.searchsorted(keys[new] // span, np.arange(n + 1)).astype(np.int32))
