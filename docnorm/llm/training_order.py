@@ -15,13 +15,14 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from docnorm.llm.common import shuffle_partitions, table, write_table
+from docnorm.llm.common import table, write_table
 from docnorm.llm.tokens import VOCABULARY, encoder
 from docnorm.session import table_path
 
-LENGTH, SHARD_SEQUENCES, ROUNDS = 2048, 1024, 6
+LENGTH, SHARD_SEQUENCES, TASK_SHARDS, ROUNDS = 2048, 1024, 8, 6
 SEQUENCES = "part int, nth long, n_tokens int, doc_ids array<long>, ids binary"
 
 
@@ -105,13 +106,12 @@ def token_sequences(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOC
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sequences, SEQUENCES)
 
 
-def in_training_order(sequences: DataFrame, key: str, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
-    """slot, shard, n_tokens, doc_ids and the compressed ids of a written table of sequences."""
+def in_training_order(sequences: DataFrame, n: int, key: str, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
+    """slot, shard, n_tokens, doc_ids and the compressed ids of a written table of ``n`` sequences."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = sequences.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row per task
     # written, so that its size is known when the join is planned and the sequences stay put
     offsets = write_table(counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "offsets")
-    n = sequences.count()
 
     def place(batches):
         press = zstandard.ZstdCompressor(3).compress
@@ -126,18 +126,24 @@ def in_training_order(sequences: DataFrame, key: str, shard_sequences: int = SHA
             .mapInArrow(place, "slot long, shard long, n_tokens int, doc_ids array<long>, packed binary"))
 
 
-def write_shards(ordered: DataFrame, folder: str, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
-    """Write each shard as one file of ``folder`` (any file system pyarrow opens); returns
+def opened(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder, given as a path or an address."""
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+
+
+def write_shards(ordered: DataFrame, n: int, folder: str, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
+    """Write each shard of ``n`` sequences as one file of ``folder`` (any file system pyarrow opens); returns
     slot, shard, byte_offset, n_tokens, doc_ids and crc32 of the record, per sequence.
 
-    A shard is written under a name of the task's own and renamed when whole.
+    A task takes a range of TASK_SHARDS shards, so the number of tasks follows the data. A
+    shard is written under a name of the task's own and renamed when whole; where a task that
+    was repeated finds its shard, which holds the same bytes, it leaves it.
     """
     stride = 2 * length
+    tasks = max(1, -(-n // (shard_sequences * TASK_SHARDS)))
 
     def write(batches):
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        store, root = opened(folder)
         store.create_dir(root, recursive=True)
         unpack = zstandard.ZstdDecompressor().decompress
         shard, out, name = None, None, None
@@ -145,7 +151,11 @@ def write_shards(ordered: DataFrame, folder: str, length: int = LENGTH, shard_se
         def close():
             if out is not None:
                 out.close()
-                store.move(name, f"{root}/shard-{shard:08d}.bin")
+                whole = f"{root}/shard-{shard:08d}.bin"
+                if store.get_file_info(whole).type == fs.FileType.NotFound:
+                    store.move(name, whole)
+                else:
+                    store.delete_file(name)
 
         for batch in batches:
             crcs = []
@@ -164,16 +174,14 @@ def write_shards(ordered: DataFrame, folder: str, length: int = LENGTH, shard_se
                 names=["slot", "shard", "byte_offset", "n_tokens", "doc_ids", "crc32"])
         close()
 
-    return (ordered.repartition(shuffle_partitions(ordered.sparkSession), "shard").sortWithinPartitions("slot")
+    return (ordered.repartitionById(tasks, F.floor(F.col("shard") / TASK_SHARDS).cast("int")).sortWithinPartitions("slot")
             .select("slot", "shard", "n_tokens", "doc_ids", "packed")
             .mapInArrow(write, "slot long, shard long, byte_offset long, n_tokens int, doc_ids array<long>, crc32 long"))
 
 
 def read_slots(folder: str, first: int, count: int, length: int = LENGTH, shard_sequences: int = SHARD_SEQUENCES):
     """Yield ``count`` sequences from slot ``first`` on: one seek, then sequential reads."""
-    from pyarrow import fs
-
-    store, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+    store, root = opened(folder)
     slot, stride = first, 2 * length
     while slot < first + count:
         shard, place = divmod(slot, shard_sequences)
@@ -190,10 +198,16 @@ def materialise(docs: DataFrame, folder: str, key: str, length: int = LENGTH, sh
     """Write documents (doc_id, text) as shards in training order; returns the manifest.
 
     An empty table writes no shard and returns no row; repeated rows are documents of their
-    own; other columns are not read. The vocabulary must have fewer than 65,536 ids.
+    own; other columns are not read. The vocabulary must have fewer than 65,536 ids. A folder
+    that holds shards already is refused.
     """
-    sequences = write_table(token_sequences(docs, length, vocabulary), "sequences", level=9)
-    return write_table(write_shards(in_training_order(sequences, key, shard_sequences), folder, length, shard_sequences), "manifest")
+    store, root = opened(folder)
+    if any(f.base_name.startswith("shard-") for f in store.get_file_info(fs.FileSelector(root, allow_not_found=True))):
+        raise ValueError(f"{folder} holds shards already")
+    sequences = write_table(token_sequences(docs, length, vocabulary), "sequences")
+    n = sequences.count()
+    ordered = in_training_order(sequences, n, key, shard_sequences)
+    return write_table(write_shards(ordered, n, folder, length, shard_sequences), "manifest")
 
 
 def op4_training_order(spark, sf_dir: str) -> DataFrame:

@@ -104,6 +104,19 @@ def test_shards_hold_every_token_in_slot_order(hard, none, reference, tmp_path):
     again = training_order.materialise(hard, str(tmp_path / "again"), "k", length=64, shard_sequences=50).collect()
     assert sorted(map(str, made)) == sorted(map(str, again))
     assert training_order.materialise(none, str(tmp_path / "none"), "k").collect() == []
+    with pytest.raises(ValueError):
+        training_order.materialise(hard, str(tmp_path), "other")
+
+
+def test_a_repeated_task_leaves_the_shards_it_finds(llm, tmp_path):
+    docs = llm.createDataFrame([(i, "some words " * i) for i in range(60)], "doc_id long, text string").coalesce(2)
+    sequences = training_order.write_table(training_order.token_sequences(docs, 16), "sequences")
+    n = sequences.count()
+    write = lambda: training_order.write_shards(training_order.in_training_order(sequences, n, "k", 8), n, str(tmp_path), 16, 8).collect()
+    first = sorted(write())
+    before = {f.name: f.read_bytes() for f in tmp_path.iterdir()}
+    assert sorted(write()) == first
+    assert {f.name: f.read_bytes() for f in tmp_path.iterdir()} == before and len(before) == -(-n // 8)
 
 
 def test_sequences_name_their_documents(llm, tmp_path):
