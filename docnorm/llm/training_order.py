@@ -114,7 +114,7 @@ def in_training_order(sequences: DataFrame, n: int, key: str, shard_sequences: i
     offsets = write_table(counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "offsets")
 
     def place(batches):
-        press = zstandard.ZstdCompressor(3).compress
+        press = zstandard.ZstdCompressor(9).compress
         for batch in batches:
             slots = permute(batch.column("index").to_numpy(), n, key)
             yield pa.RecordBatch.from_arrays(
@@ -204,7 +204,7 @@ def materialise(docs: DataFrame, folder: str, key: str, length: int = LENGTH, sh
     store, root = opened(folder)
     if any(f.base_name.startswith("shard-") for f in store.get_file_info(fs.FileSelector(root, allow_not_found=True))):
         raise ValueError(f"{folder} holds shards already")
-    sequences = write_table(token_sequences(docs, length, vocabulary), "sequences")
+    sequences = write_table(token_sequences(docs, length, vocabulary), "sequences", level=9)
     n = sequences.count()
     ordered = in_training_order(sequences, n, key, shard_sequences)
     return write_table(write_shards(ordered, n, folder, length, shard_sequences), "manifest")
