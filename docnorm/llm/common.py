@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from docnorm.session import table_path
+from docnorm.session import delete_path, table_path
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,7 +22,15 @@ def write_table(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     spark = df.sparkSession
     path = table_path(spark, "docnorm-llm", f"{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for t in tables:
+        delete_path(t.sparkSession, t.table_path)
 
 
 def share_package(spark: SparkSession) -> None:

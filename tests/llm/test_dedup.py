@@ -116,8 +116,9 @@ def edited(rng, words, share):
     return [f"new{rng.integers(1 << 30)}" if rng.random() < share else w for w in words]
 
 
-@pytest.mark.parametrize("size", [2, 5])
-def test_components_equal_brute_force(llm, hard, small, size):
+@pytest.mark.parametrize("size, paired", [(2, 32), (5, 1)])
+def test_components_equal_brute_force(llm, hard, small, monkeypatch, size, paired):
+    monkeypatch.setattr(near_dup, "PAIRED", paired)
     rng = np.random.default_rng(size)
     base = [f"w{i}" for i in rng.integers(0, 400, 300)]
     near = [(5000 + i, " ".join(edited(rng, base, rng.choice([0, 0.01, 0.03, 0.06, 0.1])))) for i in range(60)]
@@ -152,8 +153,10 @@ def test_one_document_of_each_group_stays(hard, none):
     assert near_dup.drop_near_duplicates(none).collect() == [] and near_dup.near_duplicates(none).collect() == []
 
 
-def test_few_links_within_dense_families(llm):
+@pytest.mark.parametrize("paired", [32, 1])
+def test_few_links_within_dense_families(llm, monkeypatch, paired):
     """Templates: pages share about 0.7 of their shingles pairwise, a few pairs over 0.8."""
+    monkeypatch.setattr(near_dup, "PAIRED", paired)
     rng = np.random.default_rng(21)
     rows = []
     for family in range(2):
@@ -164,3 +167,23 @@ def test_few_links_within_dense_families(llm):
     docs = llm.createDataFrame(rows, "doc_id long, text string")
     out = near_dup.near_duplicates(docs, 2).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == sorted(exact_components(rows, 2))
+
+
+@pytest.mark.parametrize("paired", [0, 2])
+def test_long_lists_meet_by_more_shingles(llm, monkeypatch, paired):
+    """Without proposals, all links come from the lists of one to four shared shingles."""
+    monkeypatch.setattr(near_dup, "PAIRED", paired)
+    rng = np.random.default_rng(4)
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join(edited(rng, base, rng.choice([0.02, 0.1])))) for i in range(120)]
+    rows += [(200 + i, " ".join(f"s{j}" for j in range(2 + i % 7))) for i in range(14)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    sets = near_dup.sketches(docs, 1, near_dup.frequencies(docs, 1), 80).where("node IS NOT NULL").dropDuplicates(["node"])
+    none = llm.createDataFrame([], "node binary, label struct<node:binary>")
+    pairs, _ = near_dup.remaining_pairs(sets, none, 80)
+    got = {frozenset((bytes(r.a), bytes(r.b))) for r in pairs.collect()}
+    by_node = {bytes(r.node): near_dup.shingle_set(dict(rows)[r.doc_id], 1) for r in sets.collect()}
+    for a in by_node:
+        for b in by_node:
+            if a < b and 100 * len(by_node[a] & by_node[b]) >= 80 * len(by_node[a] | by_node[b]):
+                assert frozenset((a, b)) in got
