@@ -1,6 +1,7 @@
 """Helpers shared by the operators: written tables, a distributed rank, word pattern."""
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from pathlib import Path
@@ -27,10 +28,13 @@ def write_table(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     return out
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more."""
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more. Spark drops the shuffle files of the
+    plans that made them once the driver has collected the plans, which this asks for."""
     for t in tables:
-        delete_path(t.sparkSession, t.table_path)
+        delete_path(spark, t.table_path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def share_package(spark: SparkSession) -> None:
