@@ -170,9 +170,10 @@ def test_few_links_within_dense_families(llm, monkeypatch, paired):
 
 
 @pytest.mark.parametrize("paired", [0, 2])
-def test_long_lists_meet_by_more_shingles(llm, monkeypatch, paired):
-    """Without proposals, all links come from the lists of one to four shared shingles."""
+def test_long_lists_meet_in_blocks(llm, monkeypatch, paired):
+    """Without proposals, all links come from the lists; long ones fall into many blocks."""
     monkeypatch.setattr(near_dup, "PAIRED", paired)
+    monkeypatch.setattr(near_dup, "BLOCK", 7)
     rng = np.random.default_rng(4)
     base = [f"b{i}" for i in range(60)]
     rows = [(i, " ".join(edited(rng, base, rng.choice([0.02, 0.1])))) for i in range(120)]
