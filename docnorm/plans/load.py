@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..operators import conflict as U
 from ..operators import integrity as R
@@ -25,7 +25,7 @@ from ..operators import validate as VAL
 from ..session import cut_lineage, delete_path, ensure_checkpoint_dir
 from ..sources.documents import count_documents
 from . import collections as CL
-from .spec import Collection, Table, normalise
+from .spec import CAST_ERRORS, Collection, Table, normalise
 
 USERS_MAIN = ("lml_users", "main")
 
@@ -123,7 +123,8 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
                     refresh: bool = True, check_parents: bool = True, salt: int = 1, parallel: int = 1,
                     unparsed: DataFrame | None = None) -> DataFrame:
     """Load one collection. Returns (table, rows) for every written table and, when there are
-    any, ``_rejects_documents`` with the number of ``unparsed`` documents.
+    any, ``_rejects_documents`` with the number of ``unparsed`` documents and ``_rejects_casts``
+    with that of the values lost by a cast.
 
     refresh=True   U7: main and its child tables are replaced, tables of other collections
                    that refer to them are emptied (``refresh_tables``); catalogs are merged
@@ -132,6 +133,9 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
                    brings its whole set of child rows, one whose main row is turned away
                    (first-wins, strict) changes no child row; catalogs merged.
 
+    The rows of a table written as they come, and the values that its column types could not
+    hold, are counted in the pass that writes them; only a table with such values is read once
+    more, to add them to ``_rejects_casts`` (table, key, column, raw JSON). A merged table is.
     Rejected rows are added to ``_rejects_<table>`` with the id of the load; ghost users are
     added to users.main, whose other rows are not rewritten.
     """
@@ -158,20 +162,28 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
         store.empty(CL.USERS.main).select("id") if coll.ghosts else None)
     rows_path = os.path.join(ensure_checkpoint_dir(spark), "docnorm-rows", f"{coll.name}-{uuid.uuid4().hex}")
     result = normalise(coll, docs, users=users_ids, parents=parents, run_ts=run_ts, rows_path=rows_path, salt=salt,
-                       materialize=cut_lineage)
-    summary: list[str] = []
+                       materialize=cut_lineage, track_casts=True)
+    summary: list[tuple[str, int | None]] = []
+    with_errors: list[str] = []
     pk = coll.main.cols[0].name
     main_keys = result.tables["main"].select(F.col(pk))
     held = None if refresh or coll.main.policy == "last" else store.read(coll.name, "main")
     if held is not None:
         main_keys = cut_lineage(main_keys.join(held.select(pk), pk, "left_anti"))
 
-    def write_table(t: Table) -> str:
+    def write_table(t: Table) -> tuple[str, int | None]:
         incoming = result.tables[t.name]
         existing = store.read(coll.name, t.name)
         if existing is None or (refresh and not t.catalog):
-            out = incoming
-        elif t.catalog:
+            written, counted = result.tracked.get(t.name, incoming), Observation()
+            lost = [F.sum(F.size(CAST_ERRORS)).alias("lost")] if t.name in result.tracked else []
+            store.write(coll.name, t.name, written.observe(counted, F.count(F.lit(1)).alias("rows"), *lost).drop(CAST_ERRORS))
+            if counted.get.get("lost"):
+                with_errors.append(t.name)
+            return f"{coll.name}.{t.name}", counted.get["rows"]
+        if t.name in result.tracked:
+            with_errors.append(t.name)
+        if t.catalog:
             # catalogs are parents: merged, never emptied (stale rows survive a refresh)
             out = U.upsert(existing, incoming.withColumn("_seq", F.lit(0)), list(t.key),
                            policy="last" if t.policy == "last" else "first")
@@ -190,8 +202,8 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             if held is not None:
                 incoming = incoming.join(present, parent_col, "left_semi").select(*incoming.columns)
             out = U.sync_members(existing, incoming, [parent_col], present)
-        store.write(coll.name, t.name, out, reads_itself=out is not incoming)
-        return f"{coll.name}.{t.name}"
+        store.write(coll.name, t.name, out, reads_itself=True)
+        return f"{coll.name}.{t.name}", None
 
     # the tables of a collection are independent jobs over materialised inputs; with
     # parallel > 1 they are submitted concurrently (useful when many tables are small
@@ -215,8 +227,13 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             store.write(*USERS_MAIN, new_users)
         else:
             store.append(*USERS_MAIN, new_users.select(*users_main.columns))
+    rows = [(n, store.read(*n.split(".", 1)).count() if written is None else written) for n, written in summary]
+    if with_errors:
+        lost = cut_lineage(reduce(DataFrame.unionByName, [_cast_errors(t, result.tracked[t.name]) for t in coll.tables if t.name in with_errors]))
+        if n := lost.count():
+            store.write_rejects(coll.name, "casts", lost, load_id)
+            rows.append((f"{coll.name}._rejects_casts", n))
     delete_path(spark, rows_path)
-    rows = [(n, store.read(*n.split(".", 1)).count()) for n in summary]
     if unparsed is not None:
         unparsed = cut_lineage(unparsed)
         if n := unparsed.count():
@@ -227,6 +244,13 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
     return spark.createDataFrame(rows, "table string, rows bigint")
 
 
+def _cast_errors(t: Table, tracked: DataFrame) -> DataFrame:
+    """(table, key, column, raw) of the values lost by a cast; the key is the first column's."""
+    key = F.col(t.cols[0].name).cast("string").alias("key")
+    return (tracked.where(F.size(CAST_ERRORS) > 0).select(F.lit(t.name).alias("table"), key, F.explode(CAST_ERRORS).alias("e"))
+            .select("table", "key", "e.column", "e.raw"))
+
+
 def validate_collection(store: Store, source: str) -> DataFrame:
     """V3/V4/V5/V7 over the loaded tables of a collection: (table, check, column, violations)."""
     coll = CL.COLLECTIONS[source]

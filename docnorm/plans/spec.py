@@ -20,6 +20,8 @@ from ..operators import conflict as U
 from ..operators import integrity as R
 from ..operators import nested as N
 
+#: Column of a table's rows, on request: (column, raw) of the values that a column's type can't hold.
+CAST_ERRORS = "_cast_errors"
 SEQ = "_seq"
 DOC = "doc"
 BATCH_SIZE = 2000  # fixed value: documents per load batch of the source tool
@@ -99,7 +101,11 @@ def ts_fb(primary: str, fallback: str) -> Expr:
 
 
 def raw_ts(path: str) -> Expr:
-    return lambda c: V.raw_timestamp(c.src, path)
+    def fn(c: Ctx) -> Column:
+        return V.raw_timestamp(c.src, path)
+
+    fn.raw = lambda c: V.at(c.src, path)  # what the cast inside is given
+    return fn
 
 
 def jt(path: str) -> Expr:
@@ -283,6 +289,7 @@ class Normalised:
     tables: dict[str, DataFrame]
     rejects: dict[str, DataFrame] = field(default_factory=dict)
     ghosts: DataFrame | None = None
+    tracked: dict[str, DataFrame] = field(default_factory=dict)  # tables with CAST_ERRORS besides
 
 
 def _row_sources(coll: Collection, t: Table, docs: DataFrame, run_ts: Column | None = None) -> tuple[DataFrame, Ctx]:
@@ -374,7 +381,7 @@ def _rows_from_all(t: Table, allrows: DataFrame, run_ts: Column | None) -> tuple
 def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
               parents: dict[str, DataFrame] | None = None, run_ts: Column | None = None,
               batch_size: int = BATCH_SIZE, rows_path: str | None = None, salt: int = 1,
-              materialize: Callable[[DataFrame], DataFrame] | None = None) -> Normalised:
+              materialize: Callable[[DataFrame], DataFrame] | None = None, track_casts: bool = False) -> Normalised:
     """All tables of a collection as lazy DataFrames (after key policies and parent rules).
 
     ``docs``     (``_seq``, ``doc``) — the source collection
@@ -387,11 +394,14 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
     ``rows_path`` when given, all child rows are generated in one pass over the documents and
                  written there partitioned by table (eager); each child table reads its part.
                  Without it every child table is its own lazy scan of ``docs``.
+    ``track_casts`` also gives the tables with the column CAST_ERRORS (``tracked``), where a
+                 cast can fail; the entries go with their rows through policies and rules
     """
     parents = dict(parents or {})
     run_ts = run_ts if run_ts is not None else F.current_timestamp().cast("timestamp_ntz")
     out: dict[str, DataFrame] = {}
     rejects: dict[str, DataFrame] = {}
+    tracked: dict[str, DataFrame] = {}
     ghosts = None
     if coll.ghosts and users is not None:
         ghosts = R.ghost_users(docs, users, flavour=coll.ghosts, run_ts=run_ts)
@@ -410,13 +420,16 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
             if any(c.name in dict(coll.audit) for c in t.cols) and coll.ghosts:
                 base = R.with_audit_ids(docs, dict(coll.audit), flavour=coll.ghosts)
             ctx = Ctx(doc=F.col(DOC), run_ts=run_ts)
-            df = base.select(SEQ, F.lit(0).alias("pos"), *[_col(c, ctx) for c in t.cols])
+            errors = _cast_errors(t.cols, ctx) if track_casts else []
+            df = base.select(SEQ, F.lit(0).alias("pos"), *[_col(c, ctx) for c in t.cols], *errors)
         elif allrows is not None and not _needs_doc(t):
             rows, ctx = _rows_from_all(t, allrows, run_ts)
-            df = rows.select(SEQ, F.col("pos").cast("bigint").alias("pos"), *[_col(c, ctx) for c in t.cols])
+            errors = _cast_errors(t.cols, ctx) if track_casts else []
+            df = rows.select(SEQ, F.col("pos").cast("bigint").alias("pos"), *[_col(c, ctx) for c in t.cols], *errors)
         else:
             rows, ctx = _row_sources(coll, t, docs, run_ts)
-            df = rows.select(SEQ, F.col("pos").cast("bigint").alias("pos"), *[_col(c, ctx) for c in t.cols])
+            errors = _cast_errors(t.cols, ctx) if track_casts else []
+            df = rows.select(SEQ, F.col("pos").cast("bigint").alias("pos"), *[_col(c, ctx) for c in t.cols], *errors)
         # A rule commutes with the key policy when it keeps rows by a key column (all rows
         # of a key pass or fail together) or nulls a non-key column; those run after the
         # policy, on the (smaller) deduplicated rows, and the policy's double read of its
@@ -430,9 +443,11 @@ def normalise(coll: Collection, docs: DataFrame, users: DataFrame | None = None,
         if rej is not None:
             rej = _apply_rules(rej, post, parents, salt)
         out[t.name] = df.select(*[c.name for c in t.cols])
+        if errors:
+            tracked[t.name] = df.select(*[c.name for c in t.cols], CAST_ERRORS)
         if rej is not None:
-            rejects[t.name] = rej
-    return Normalised(out, rejects, ghosts)
+            rejects[t.name] = rej.drop(CAST_ERRORS)
+    return Normalised(out, rejects, ghosts, tracked)
 
 
 def _apply_rules(df: DataFrame, rules, parents: dict[str, DataFrame], salt: int) -> DataFrame:
@@ -467,6 +482,19 @@ def _typed_value(v: Column, dtype: str) -> Column:
     return F.try_variant_get(v.cast("variant"), "$", dtype)
 
 
+def _cast_errors(cols: Sequence[Col], ctx: Ctx) -> list[Column]:
+    """V6 / S5 of a load: an entry (column, raw JSON) for every value that is there, not null,
+    and lost by its column's type. Nothing for a table whose columns are all text."""
+    found = []
+    for c in cols:
+        if c.dtype in ("string", "variant"):
+            continue
+        raw = getattr(c.fn, "raw", c.fn)(ctx).cast("variant")
+        lost = raw.isNotNull() & ~V.is_null(raw) & _typed_value(c.fn(ctx), c.dtype).isNull()
+        found.append(F.when(lost, F.struct(F.lit(c.name).alias("column"), F.to_json(raw).alias("raw"))))
+    return [F.filter(F.array(*found), lambda e: e.isNotNull()).alias(CAST_ERRORS)] if found else []
+
+
 def apply_policy(df: DataFrame, t: Table, batch_size: int = BATCH_SIZE) -> tuple[DataFrame, DataFrame | None]:
     """Key-conflict policy of a table: (rows kept, rejects or None)."""
     if not t.key or t.policy in ("none", "sync"):

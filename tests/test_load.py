@@ -124,3 +124,34 @@ def test_salted_parent_rules_match_plain(spark):
     a = S.normalise(CL.USERSGROUPS, docs, users=ids, run_ts=run_ts()).tables["members"]
     b = S.normalise(CL.USERSGROUPS, docs, users=ids, run_ts=run_ts(), salt=5).tables["members"]
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def process(k, **more):
+    import json
+    return (k, json.dumps({"_id": f"p{k}", **more}))
+
+
+def test_values_lost_by_a_cast_are_reported(spark):
+    """A refresh and a merge; null, missing and castable values are no loss, a rejected row's are not kept."""
+    store = L.Store(spark, tempfile.mkdtemp(prefix="store-"))
+
+    def load(items, refresh):
+        docs = spark.createDataFrame(items, "_seq long, j string").select("_seq", F.parse_json("j").alias("doc"))
+        return {r["table"]: r["rows"] for r in
+                L.load_collection(spark, "processes", docs, store, run_ts(), refresh=refresh, check_parents=False).collect()}
+
+    first = load([process(1, deleted="maybe", processDate="2020-01-01"), process(2, deleted=None, processDate="never"),
+                  process(3, deleted="true", movements=[{"at": "soon"}, {"at": "2020-02-02"}, {}])], True)
+    assert first["lml_processes._rejects_casts"] == 3
+    assert (first["lml_processes.main"], first["lml_processes.movements"]) == (3, 3)
+    lost = lambda: sorted(tuple(r)[:4] for r in store.read("lml_processes", "_rejects_casts").collect())
+    want = [("main", "p1", "deleted", '"maybe"'), ("main", "p2", "process_date", '"never"'), ("movements", "p3", "movement_at", '"soon"')]
+    assert lost() == want
+    main = {r.process_id: r.deleted for r in store.read("lml_processes", "main").collect()}
+    assert main == {"p1": None, "p2": None, "p3": True}
+    clean = load([process(4, deleted=False)], False)
+    assert "lml_processes._rejects_casts" not in clean and lost() == want
+    merged = load([process(5, deleted=[1])], False)
+    assert merged["lml_processes._rejects_casts"] == 1 and lost() == sorted([*want, ("main", "p5", "deleted", "[1]")])
+    assert store.read("lml_processes", "main").count() == 5
+    assert "_cast_errors" not in store.read("lml_processes", "main").columns
