@@ -335,6 +335,16 @@ def repeated_spans(cuts: DataFrame, length: int, keep_first: bool) -> DataFrame:
             .mapInArrow(spans, "id_key long, text_hash int, first int, end int"))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with the two key columns: id and a hash of the text. A null id's is 62 bits of
+    another hash behind the ids, so that rows without id are told apart by both."""
+    id_key, text_hash = KEY
+    behind = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return docs.withColumns({
+        id_key: F.coalesce(F.col("doc_id").cast("long"), behind),
+        text_hash: F.xxhash64(F.col("doc_id").isNull(), "text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")})
+
+
 def with_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     """All columns of docs with ``spans``, the repeated byte ranges (first, end) in no order,
     null where there are none, and two key columns (their names in KEY).
@@ -346,9 +356,7 @@ def with_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False)
         raise ValueError("a repeat has at least eight bytes")
     gram = min(GRAM, length)
     id_key, text_hash = KEY
-    whole = docs.withColumns({
-        id_key: F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)),
-        text_hash: F.xxhash64(F.col("doc_id").isNull(), "text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")})
+    whole = keyed(docs)
     found = (find_anchors(whole.select(F.col(id_key).alias("id_key"), F.col(text_hash).alias("text_hash"), "text"), length, gram, keep_first)
              .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("n > 1 OR sure")
              .groupBy(F.col("id_key").alias(id_key), F.col("text_hash").alias(text_hash)).agg(F.collect_list(F.struct(

@@ -188,3 +188,10 @@ def test_long_lists_meet_in_blocks(llm, monkeypatch, paired):
         for b in by_node:
             if a < b and 100 * len(by_node[a] & by_node[b]) >= 80 * len(by_node[a] | by_node[b]):
                 assert frozenset((a, b)) in got
+
+
+def test_texts_without_id_have_keys_of_their_own(llm):
+    """So many texts that some share the shorter hash alone."""
+    docs = llm.range(300_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    keys = suffix_dedup.keyed(docs).select(*suffix_dedup.KEY)
+    assert keys.distinct().count() == 300_000 and keys.select(suffix_dedup.KEY[1]).distinct().count() < 300_000
