@@ -58,3 +58,19 @@ def test_timestamp_examples_and_access_lists(docs):
     assert row["present"] == 3 and row["formats"] == "iso_z,object_date"
     assert row["examples"] == '{"$date":"2021-01-01T00:00:00Z"} | "2021-01-02T00:00:00Z"'
     assert rows(G.access_list_docs(d, ["acc"])) == [("acc", 1)]
+
+
+def test_cascade_over_a_graph(spark):
+    """A chain of three, a row reached two ways, one that lost its reference, and NULL keys."""
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    tables = {
+        "leaf": frame([(1, 10, 1), (2, 20, 1), (3, 10, 2), (4, None, 2), (5, 99, None), (6, 30, 2)], "id int, mid int, tag int"),
+        "mid": frame([(10, 1), (20, 2), (30, 3), (40, None)], "id int, top int"),
+        "top": frame([(1, True), (2, False), (3, None)], "id int, old boolean"),
+        "tag": frame([(1,), (2,)], "id int"),
+    }
+    references = [VAL.Reference("leaf", "mid", "mid", "id"), VAL.Reference("mid", "top", "top", "id"), VAL.Reference("leaf", "tag", "tag", "id", "set null")]
+    left = VAL.cascade(tables, references, {"top": F.col("old"), "tag": F.col("id") == 1, "leaf": F.col("id") == 6})
+    assert sorted(rows(left["top"], "id")) == [(2,), (3,)] and sorted(rows(left["mid"], "id")) == [(20,), (30,), (40,)]
+    assert sorted(map(str, rows(left["leaf"]))) == ["(2, 20, None)", "(4, None, 2)", "(5, 99, None)"]
+    assert rows(VAL.cascade(tables, references, {})["leaf"].orderBy("id")) == rows(tables["leaf"].orderBy("id"))
