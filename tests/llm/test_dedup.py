@@ -144,6 +144,22 @@ def test_long_lists_are_split(llm, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == sorted(exact_components(rows, 2))
 
 
+def test_bin_bits_of_similar_sets_stay_close():
+    """Sets at exactly 0.8 differ by no more than allowed, other sets by more."""
+    rng, apart = np.random.default_rng(3), near_dup.bits_apart(80)
+
+    def differ(shared, own):
+        h = np.unique(rng.integers(0, 1 << 64, shared + 2 * own, np.uint64))
+        h = rng.permutation(h)
+        a, b = np.sort(h[:shared + own]), np.sort(np.r_[h[:shared], h[shared + own:]])
+        return int(np.bitwise_count((near_dup.bin_bits(a) ^ near_dup.bin_bits(b)).view(np.uint64)).sum())
+
+    for shared, own in ((8, 1), (80, 10), (800, 100), (8000, 1000)):
+        assert max(differ(shared, own) for _ in range(400)) <= apart
+    assert min(differ(0, 300) for _ in range(400)) > apart
+    assert not near_dup.bin_bits(np.array([], np.uint64)).any()
+
+
 def test_one_document_of_each_group_stays(hard, none):
     out = near_dup.drop_near_duplicates(hard)
     assert out.columns == hard.columns
