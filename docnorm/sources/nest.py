@@ -236,6 +236,25 @@ def build_user_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select(ck.alias("_seq"), json.alias("json"))
 
 
+def build_staff_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(``_seq``, ``json``) — one users-like document per ``supplier`` row, with position and signature type."""
+    s = table(spark, sf_dir, "supplier")
+    k, nk = F.col("s_suppkey"), F.col("s_nationkey")
+    kind = (k % 3).cast("string")
+    json = _doc(
+        ("_id", obj(**{"$oid": padded("s", k, 6)})),
+        ("firstname", var(F.col("s_name"))),
+        ("lastname", var(F.concat(F.lit("L"), k.cast("string")))),
+        ("email", var(F.concat(F.lit("s"), k.cast("string"), F.lit("@x.org")))),
+        ("position", obj(id=nk, name=F.concat(F.lit("Position "), nk.cast("string"), F.lit("-"), kind))),
+        ("signaturetype", F.when(k % 4 != 0, obj(
+            id=F.concat(F.lit("st"), kind), name=F.concat(F.lit("Signature "), kind),
+            descripcion=F.when(k % 2 == 0, F.concat(F.lit("since "), k.cast("string")))))),
+        ("__v", var(k % 3)),
+    )
+    return s.select(k.alias("_seq"), json.alias("json"))
+
+
 # Market segments used as role ids of the process-type fixtures.
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -269,6 +288,7 @@ def build_processtype_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                     action=F.lit("W")))))),
         ("instanceActionsEdit", obj(
             area=F.to_variant_object(F.array(obj(id=(sz + 1) % 25, name=F.lit("EA")))),
+            subarea=F.to_variant_object(F.array(obj(id=(sz + 2) % 7, name=F.lit("ES")), var(F.lit("no subarea")))),
             role=F.to_variant_object(F.array(obj(id=role, name=F.lit("ER")))))),
         ("processFields", F.to_variant_object(F.array(
             obj(id=k * 10, **{"class": F.lit("c")}, componentName=F.lit("x")),
@@ -374,6 +394,8 @@ def build_formbuilder_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("formElements", F.to_variant_object(elements)),
         ("allowAccess", F.to_variant_object(F.array(priv))),
         ("allowCreate", F.to_variant_object(F.array(priv, priv))),
+        ("allowUpdate", F.when(ck % 2 == 0, F.to_variant_object(F.array(
+            priv, obj(id=F.lit("own"), name=F.concat(F.lit("O"), ck.cast("string"))), priv)))),
         ("createdBy", obj(user=obj(id=uid(ck)))),
         ("__v", var(ck % 4)),
     )
@@ -409,6 +431,9 @@ def build_document_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                              obj(id=F.lit(""), name=F.lit("x")),
                              obj(id=uid(s_), name=name("S", s_), action=F.lit("view")))),
         ("signers", arr(obj(id=uid(p), name=name("P", p)), obj(id=uid(p), name=F.lit("again")))),
+        ("reviewers", F.when(ln % 3 != 0, arr(
+            obj(id=uid(s_), name=name("S", s_), action=F.when(ln % 2 == 0, F.lit("review"))),
+            obj(id=uid(s_), name=F.lit("again")), obj(name=F.lit("no id")), var(uid(p))))),
         ("shareWith", arr(obj(id=uid(s_), name=name("S", s_)))),
         ("viewers", obj(users=arr(obj(id=uid(p), name=name("P", p))),
                         areas=arr(obj(id=s_ % 25, name=name("A", s_ % 25))),
@@ -428,7 +453,7 @@ def build_document_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BUILDERS = {"documents": build_document_docs, "formbuilder": build_formbuilder_docs, "orders": build_order_docs, "users": build_user_docs, "processtypes": build_processtype_docs,
-             "people": build_people_docs, "listbuilder": build_listbuilder_docs}
+             "people": build_people_docs, "staff": build_staff_docs, "listbuilder": build_listbuilder_docs}
 
 
 def docs(spark: SparkSession, sf_dir: str, collection: str) -> DataFrame:
