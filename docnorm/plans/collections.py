@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import values as V
+from ..operators.validate import Reference
 from . import spec as S
 from .spec import FK, Col, Collection, ParentRule, Table
 
@@ -85,7 +86,7 @@ USERSGROUPS = Collection("lml_usersgroups", "usersgroups", depends=("users",), g
     Table("members", S.truthy_items("users"), (
         C("group_id", S.parent(), n=255), C("user_id", S.item_str(), n=255),
     ), key=("group_id", "user_id"), policy="strict", sync_by=("group_id",),
-        parents=(ParentRule("user_id", "lml_users.main"),), fks=(FK(("user_id",), "lml_users.main"),)),
+        parents=(ParentRule("user_id", "lml_users.main"),), fks=(FK(("user_id",), "lml_users.main", on_delete="cascade"),)),
 ))
 
 # --------------------------------------------------------------------------- processes
@@ -418,5 +419,21 @@ def fk_edges() -> list[tuple[str, str]]:
     return edges
 
 
+def foreign_keys() -> list[Reference]:
+    """Every foreign key of the target model: the declared ones, those behind the parent rules,
+    and that of each child table to its main table, whose rows take theirs along."""
+    keys: dict[tuple[str, str], Reference] = {}
+    for c in COLLECTIONS.values():
+        for t in c.tables:
+            child = f"{c.name}.{t.name}"
+            found = [Reference(child, fk.columns[0], fk.table, fk.parent_columns[0], fk.on_delete) for fk in t.fks]
+            found += [Reference(child, p.column, p.table, p.parent_column, "no action") for p in t.parents]
+            if t.name != "main" and not t.catalog:
+                found.append(Reference(child, t.cols[0].name, f"{c.name}.main", c.main.cols[0].name))
+            for r in found:
+                keys.setdefault((r.child, r.column), r)
+    return list(keys.values())
+
+
 def dependencies() -> dict[str, tuple[str, ...]]:
     return {name: c.depends for name, c in COLLECTIONS.items()}

@@ -272,14 +272,12 @@ def validate_collection(store: Store, source: str) -> DataFrame:
             uv = VAL.unique_violations(df, list(t.key)).agg(F.count(F.lit(1)).alias("violations"))
             parts.append(uv.select(F.lit(name).alias("table"), F.lit("unique").alias("check"),
                                    F.lit(",".join(t.key)).alias("column"), "violations"))
-        for fk in t.fks:
-            ps, pt = fk.table.split(".", 1)
-            parent = store.read(ps, pt)
-            if parent is None:
-                continue
-            fv = R.orphans(df, fk.columns[0], parent, fk.parent_columns[0]).agg(F.count(F.lit(1)).alias("violations"))
-            parts.append(fv.select(F.lit(name).alias("table"), F.lit("fk:" + fk.table).alias("check"),
-                                   F.lit(fk.columns[0]).alias("column"), "violations"))
+    references = [r for r in CL.foreign_keys() if r.child.startswith(coll.name + ".")]
+    names = dict.fromkeys(n for r in references for n in (r.child, r.parent))
+    tables = {n: df for n in names if (df := store.read(*n.split(".", 1))) is not None}
+    if any(r.child in tables and r.parent in tables for r in references):
+        parts.append(VAL.fk_graph_violations(tables, references).select(
+            F.col("child").alias("table"), F.concat(F.lit("fk:"), "parent").alias("check"), "column", "violations"))
     return reduce(DataFrame.unionByName, parts)
 
 

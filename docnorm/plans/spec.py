@@ -243,6 +243,7 @@ class FK:
     columns: tuple[str, ...]
     table: str               # "<schema>.<table>"
     parent_columns: tuple[str, ...] = ("id",)
+    on_delete: str = "no action"
 
 
 @dataclass(frozen=True)

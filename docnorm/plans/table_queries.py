@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators import validate as VAL
 from ..sources import nest
 from . import collections as CL
 from .oracle import F_TS, LJ, OD, ORACLE as _OPERATOR_ORACLE, _uid, _w
 from .queries import orders_docs, run_ts, tstr, users_docs, users_main_ids
 from .spec import normalise
+from .spec_queries import ORACLE as _SPEC_ORACLE
 from .spec_queries import _CE, _DID, _FID, _PT, _docs2, _processes, _processtypes
 
 
@@ -44,7 +46,17 @@ def _table(build, collection, name):
     return query
 
 
+def fk_graph(spark, d):
+    """V7: every foreign key among users, groups and processes as normalised, ghost users not added."""
+    tables = {}
+    for build, collection in ((_customers, CL.USERS), (_groups, CL.USERSGROUPS), (_processes, CL.PROCESSES)):
+        done = build(spark, d).tables
+        tables |= {f"{collection.name}.{t.name}": done[t.name] for t in collection.tables}
+    return VAL.fk_graph_violations(tables, CL.foreign_keys())
+
+
 QUERIES = {
+    "fk_graph": fk_graph,
     "table_users_roles": _table(_customers, CL.USERS, "roles"),
     "table_users_areas": _table(_customers, CL.USERS, "areas"),
     "table_users_subareas": _table(_customers, CL.USERS, "subareas"),
@@ -134,3 +146,25 @@ FROM part WHERE CAST(p_size % 5 AS VARCHAR) IN {_SUBAREAS}""",
     "table_documents_recipient_emails": _w(OD) + """SELECT pid AS document_id, CAST(ck AS VARCHAR) AS email_id,
  'c' || ck || '@x.org' AS email FROM od WHERE k % 3 = 0""",
 }
+
+# customers name no position and no signature type
+_FK_TABLES = {
+    "lml_users.main": _SPEC_ORACLE["spec_users_main"],
+    "lml_users.roles": ORACLE["table_users_roles"],
+    "lml_users.areas": ORACLE["table_users_areas"],
+    "lml_users.subareas": ORACLE["table_users_subareas"],
+    "lml_users.positions": f"SELECT {_NULL} AS id",
+    "lml_users.signaturetypes": f"SELECT {_NULL} AS id",
+    "lml_usersgroups.main": ORACLE["table_usersgroups_main"],
+    "lml_usersgroups.members": _SPEC_ORACLE["spec_group_members"],
+    "lml_processes.main": _SPEC_ORACLE["spec_processes_main"],
+    "lml_processes.movements": ORACLE["table_processes_movements"],
+    "lml_processes.initiator_fields": ORACLE["table_processes_initiator_fields"],
+    "lml_processes.process_documents": _SPEC_ORACLE["spec_process_documents"],
+    "lml_processes.last_movements": ORACLE["table_processes_last_movements"],
+}
+ORACLE["fk_graph"] = "WITH " + ", ".join(f'"{n}" AS ({sql})' for n, sql in _FK_TABLES.items()) + " UNION ALL ".join(
+    f"""
+SELECT '{r.child}' AS child, '{r.column}' AS "column", '{r.parent}' AS parent, count(*) AS violations FROM "{r.child}"
+WHERE "{r.column}" IS NOT NULL AND "{r.column}" NOT IN (SELECT "{r.parent_column}" FROM "{r.parent}" WHERE "{r.parent_column}" IS NOT NULL)"""
+    for r in CL.foreign_keys() if r.child in _FK_TABLES and r.parent in _FK_TABLES)

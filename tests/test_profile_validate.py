@@ -74,3 +74,27 @@ def test_cascade_over_a_graph(spark):
     assert sorted(rows(left["top"], "id")) == [(2,), (3,)] and sorted(rows(left["mid"], "id")) == [(20,), (30,), (40,)]
     assert sorted(map(str, rows(left["leaf"]))) == ["(2, 20, None)", "(4, None, 2)", "(5, 99, None)"]
     assert rows(VAL.cascade(tables, references, {})["leaf"].orderBy("id")) == rows(tables["leaf"].orderBy("id"))
+
+
+def test_foreign_keys_of_a_graph(spark):
+    """NULLs refer to nothing, repeated orphans count each, an empty parent holds no key; one scan a child."""
+    child = spark.createDataFrame([("a", "x"), ("a", None), ("b", "y"), ("b", "y"), (None, None)], "p string, q string")
+    tables = {"child": child, "one": spark.createDataFrame([("a",), (None,), ("a",)], "id string"),
+              "two": spark.createDataFrame([], "id string"), "number": spark.createDataFrame([(1,), (2,)], "one int")}
+    references = [VAL.Reference("child", "p", "one", "id"), VAL.Reference("child", "q", "two", "id"),
+                  VAL.Reference("number", "one", "one", "id"), VAL.Reference("child", "p", "absent", "id")]
+    found = VAL.fk_graph_violations(tables, references)
+    assert sorted(map(tuple, found.collect())) == [("child", "p", "one", 2), ("child", "q", "two", 3), ("number", "one", "one", 2)]
+
+
+def test_the_model_has_69_foreign_keys():
+    from docnorm.plans import collections as CL
+    keys = CL.foreign_keys()
+    assert len(keys) == 69
+    assert {(r.parent, r.on_delete) for r in keys if r.child == "lml_usersgroups.members"} == {
+        ("lml_users.main", "cascade"), ("lml_usersgroups.main", "cascade")}
+    for r in keys:
+        for name, column in ((r.child, r.column), (r.parent, r.parent_column)):
+            schema, table = name.split(".")
+            collection = next(c for c in CL.COLLECTIONS.values() if c.name == schema)
+            assert column in dict(collection.table(table).schema())
