@@ -5,11 +5,12 @@ Target tables are parquet folders ``<root>/<schema>/<table>`` on shared storage
 (``sources.documents.write_table`` / ``write_jdbc`` write elsewhere). The parsed collection is checkpointed once into the shared
 checkpoint folder, so the 5–15 tables of a collection read binary VARIANT instead of
 parsing the JSON again, and a lost executor recomputes from the checkpoint, not from
-the source scan. A table that is rewritten from itself (catalog merge, ghost users)
-is checkpointed before the overwrite.
+the source scan. A load writes every table aside and switches all of them in one step, so
+that a load that dies leaves the tables as they were.
 """
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -39,17 +40,68 @@ class MissingParents(RuntimeError):
 
 @dataclass
 class Store:
-    """Target tables under one root folder (shared storage on a cluster)."""
+    """Target tables under one root folder (shared storage on a cluster).
+
+    A table's folder is ``<root>/<schema>/<table>`` until a version names another one.
+    Versions are the files ``<root>/_versions/<n>.json``; the highest ``n`` counts. A load
+    writes aside (``stage``) and then adds one version (``publish``), which replaces all its
+    tables together. What a version replaces is deleted by the next one, so that readers of
+    the old tables can finish. The loads of one store run one after another.
+    """
     spark: SparkSession
     root: str
 
+    def _hadoop_path(self, *parts: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, *parts))
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _version(self) -> tuple[int, dict]:
+        """Number and content of the version that counts: folders of tables, replaced folders."""
+        fs, folder = self._hadoop_path("_versions")
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        n = max((int(name[:-5]) for name in names if name.endswith(".json")), default=0)
+        if not n:
+            return 0, {"tables": {}, "replaced": []}
+        stream = fs.open(self._hadoop_path("_versions", f"{n}.json")[1])
+        try:
+            return n, json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     def path(self, schema: str, table: str) -> str:
-        return os.path.join(self.root, schema, table)
+        folder = self._version()[1]["tables"].get(f"{schema}.{table}", os.path.join(schema, table))
+        return os.path.join(self.root, folder)
 
     def exists(self, schema: str, table: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(schema, table) + "/_SUCCESS")
-        return bool(p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+        fs, done = self._hadoop_path(self.path(schema, table), "_SUCCESS")
+        return bool(fs.exists(done))
+
+    def stage(self, load_id: str, schema: str, table: str, df: DataFrame) -> None:
+        """Write the table's next content aside; readers don't see it before ``publish``."""
+        df.write.mode("overwrite").parquet(os.path.join(self.root, "_loads", load_id, schema, table))
+
+    def publish(self, load_id: str, tables: list[tuple[str, str]]) -> None:
+        """Switch the staged tables in, all at once: a new version appears by one rename."""
+        n, state = self._version()
+        for folder in state["replaced"]:
+            fs, path = self._hadoop_path(folder)
+            fs.delete(path, True)
+        old = [state["tables"].get(f"{s}.{t}", os.path.join(s, t)) for s, t in tables]
+        new = {f"{s}.{t}": os.path.join("_loads", load_id, s, t) for s, t in tables}
+        content = json.dumps({"tables": {**state["tables"], **new}, "replaced": sorted(set(old) - set(new.values()))})
+        fs, draft = self._hadoop_path("_versions", f"_{load_id}")
+        out = fs.create(draft, True)
+        out.write(bytearray(content, "utf-8"))
+        out.close()
+        target = self._hadoop_path("_versions", f"{n + 1}.json")[1]
+        if fs.exists(target) or not fs.rename(draft, target):
+            raise RuntimeError(f"another load published version {n + 1} of {self.root}")
+        fs.delete(self._hadoop_path("_versions", f"{n - 1}.json")[1], False)
+
+    def discard(self, load_id: str) -> None:
+        """Delete what a load staged and did not publish."""
+        fs, folder = self._hadoop_path("_loads", load_id)
+        fs.delete(folder, True)
 
     def read(self, schema: str, table: str) -> DataFrame | None:
         if not self.exists(schema, table):
@@ -66,8 +118,12 @@ class Store:
         df.write.mode("append").parquet(self.path(schema, table))
 
     def write_rejects(self, schema: str, table: str, df: DataFrame, load_id: str = "") -> None:
-        """Add the rejected rows of one load, marked with its id."""
-        self.append(schema, f"_rejects_{table}", df.withColumn("load_id", F.lit(load_id)))
+        """Add the rejected rows of one load, marked with its id; a load that is repeated under
+        the same id replaces what it had added."""
+        path = self.path(schema, f"_rejects_{table}")
+        df.write.mode("overwrite").parquet(os.path.join(path, f"load_id={load_id}"))
+        fs, done = self._hadoop_path(path, "_SUCCESS")
+        fs.create(done, True).close()
 
     def empty(self, t: Table) -> DataFrame:
         return self.spark.createDataFrame([], ", ".join(f"`{n}` {d}" for n, d in t.schema()))
@@ -95,6 +151,29 @@ class CatalogStore(Store):
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
         df.write.mode("overwrite").format("parquet").saveAsTable(self.path(schema, table))
 
+    def _staged(self, load_id: str, schema: str, table: str) -> str:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        return os.path.join(self.spark.catalog.getDatabase(f"`{schema}`").locationUri, "_loads", load_id, table)
+
+    def stage(self, load_id: str, schema: str, table: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(self._staged(load_id, schema, table))
+
+    def publish(self, load_id: str, tables: list[tuple[str, str]]) -> None:
+        """One catalog call a table: each shows its old or its new content at any time."""
+        for schema, table in tables:
+            name, folder = self.path(schema, table), self._staged(load_id, schema, table)
+            if self.exists(schema, table):
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+                self.spark.catalog.refreshTable(name)
+            else:
+                self.spark.catalog.createTable(name, path=folder, source="parquet")
+
+    def discard(self, load_id: str) -> None:
+        """Staged folders of a catalog lie in their databases and go with these."""
+
+    def write_rejects(self, schema: str, table: str, df: DataFrame, load_id: str = "") -> None:
+        self.append(schema, f"_rejects_{table}", df.withColumn("load_id", F.lit(load_id)))
+
     def append(self, schema: str, table: str, df: DataFrame) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
         df.write.mode("append").format("parquet").saveAsTable(self.path(schema, table))
@@ -121,7 +200,7 @@ def ghosts_as_users(ghosts: DataFrame) -> DataFrame:
 
 def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: Store, run_ts: Column | None = None,
                     refresh: bool = True, check_parents: bool = True, salt: int = 1, parallel: int = 1,
-                    unparsed: DataFrame | None = None) -> DataFrame:
+                    unparsed: DataFrame | None = None, load_id: str | None = None) -> DataFrame:
     """Load one collection. Returns (table, rows) for every written table and, when there are
     any, ``_rejects_documents`` with the number of ``unparsed`` documents and ``_rejects_casts``
     with that of the values lost by a cast.
@@ -136,8 +215,10 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
     The rows of a table written as they come, and the values that its column types could not
     hold, are counted in the pass that writes them; only a table with such values is read once
     more, to add them to ``_rejects_casts`` (table, key, column, raw JSON). A merged table is.
-    Rejected rows are added to ``_rejects_<table>`` with the id of the load; ghost users are
-    added to users.main, whose other rows are not rewritten.
+    All tables are written aside and switched in together; ghost users, to whom they may refer,
+    are added to users.main before, whose other rows are not rewritten. Rejected rows are added
+    to ``_rejects_<table>`` with the id of the load (``load_id``: one that stays the same when a
+    load is repeated keeps it from adding them twice).
     """
     coll = CL.COLLECTIONS[source]
     if check_parents:
@@ -146,7 +227,7 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             missing = [r["collection"] for r in rep.where(~F.col("ok")).select("collection").collect()]
             if missing:
                 raise MissingParents(rep, missing)
-    load_id = uuid.uuid4().hex
+    load_id = load_id or f"load-{uuid.uuid4().hex}"
     if run_ts is None:  # one time for the whole load
         run_ts = F.lit(datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     docs = cut_lineage(docs.select("_seq", "doc"))
@@ -177,7 +258,7 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
         if existing is None or (refresh and not t.catalog):
             written, counted = result.tracked.get(t.name, incoming), Observation()
             lost = [F.sum(F.size(CAST_ERRORS)).alias("lost")] if t.name in result.tracked else []
-            store.write(coll.name, t.name, written.observe(counted, F.count(F.lit(1)).alias("rows"), *lost).drop(CAST_ERRORS))
+            store.stage(load_id, coll.name, t.name, written.observe(counted, F.count(F.lit(1)).alias("rows"), *lost).drop(CAST_ERRORS))
             if counted.get.get("lost"):
                 with_errors.append(t.name)
             return f"{coll.name}.{t.name}", counted.get["rows"]
@@ -202,31 +283,38 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
             if held is not None:
                 incoming = incoming.join(present, parent_col, "left_semi").select(*incoming.columns)
             out = U.sync_members(existing, incoming, [parent_col], present)
-        store.write(coll.name, t.name, out, reads_itself=True)
+        store.stage(load_id, coll.name, t.name, out)
         return f"{coll.name}.{t.name}", None
 
     # the tables of a collection are independent jobs over materialised inputs; with
     # parallel > 1 they are submitted concurrently (useful when many tables are small
     # next to the cluster; on local[8] it measured no gain, so the default is 1)
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        summary.extend(pool.map(write_table, coll.tables))
-    for name, rej in result.rejects.items():
-        store.write_rejects(coll.name, name, rej.drop("_seq", "pos"), load_id)
-    if refresh:
-        # what refers to replaced rows goes with them
-        for name in refresh_tables(source):
-            schema, table = name.split(".", 1)
-            if schema != coll.name and store.exists(schema, table):
-                t = next(c for c in CL.COLLECTIONS.values() if c.name == schema).table(table)
-                store.write(schema, table, store.empty(t))
-    if result.ghosts is not None:
-        # absent from users by construction, so they are added, after the tables above have
-        # read the old users files
-        new_users = ghosts_as_users(result.ghosts)
-        if users_main is None:
-            store.write(*USERS_MAIN, new_users)
-        else:
-            store.append(*USERS_MAIN, new_users.select(*users_main.columns))
+    staged = [(coll.name, t.name) for t in coll.tables]
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            summary.extend(pool.map(write_table, coll.tables))
+        if refresh:
+            # what refers to replaced rows goes with them
+            for name in refresh_tables(source):
+                schema, table = name.split(".", 1)
+                if schema != coll.name and store.exists(schema, table):
+                    t = next(c for c in CL.COLLECTIONS.values() if c.name == schema).table(table)
+                    store.stage(load_id, schema, table, store.empty(t))
+                    staged.append((schema, table))
+        if result.ghosts is not None:
+            # absent from users by construction, so they are added
+            new_users = ghosts_as_users(result.ghosts)
+            if users_main is None:
+                store.stage(load_id, *USERS_MAIN, new_users)
+                staged.append(USERS_MAIN)
+            else:
+                store.append(*USERS_MAIN, new_users.select(*users_main.columns))
+        for name, rej in result.rejects.items():
+            store.write_rejects(coll.name, name, rej.drop("_seq", "pos"), load_id)
+        store.publish(load_id, staged)
+    except BaseException:
+        store.discard(load_id)
+        raise
     rows = [(n, store.read(*n.split(".", 1)).count() if written is None else written) for n, written in summary]
     if with_errors:
         lost = cut_lineage(reduce(DataFrame.unionByName, [_cast_errors(t, result.tracked[t.name]) for t in coll.tables if t.name in with_errors]))

@@ -209,7 +209,7 @@ SELECT id, name FROM t UNION ALL SELECT id, name FROM i WHERE id NOT IN (SELECT
 
     "upsert_batched": """SELECT id, name FROM (
  SELECT c_mktsegment AS id, c_mktsegment || '-' || (c_custkey % 3) AS name,
-        row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey // 200, c_custkey DESC) AS rn
+        row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey // 2000, c_custkey DESC) AS rn
  FROM customer WHERE c_custkey % 7 >= 3) WHERE rn = 1""",
 
     "strict_insert_rejects": _w(OD, LI) + """SELECT od.pid AS process_id, CAST(x.l_linenumber AS BIGINT) AS line,

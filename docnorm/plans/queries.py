@@ -17,7 +17,7 @@ from ..sources import nest
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 RUN_TS = "2030-01-01 00:00:00"
-BATCH = 200
+BATCH = 2000
 
 
 def tstr(c: Column) -> Column:

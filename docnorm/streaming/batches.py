@@ -45,7 +45,7 @@ def stream_collection(spark: SparkSession, source_dir: str, collection: str, sto
             return
         docs, unparsed = _docs_of_batch(batch, epoch_id)
         L.load_collection(spark, collection, docs, store, run_ts=run_ts, refresh=False, check_parents=check_parents,
-                          unparsed=unparsed)
+                          unparsed=unparsed, load_id=f"{collection}-{epoch_id}")
         marks.write("_batches", epoch, spark.createDataFrame([(epoch_id,)], "epoch long"))
 
     stream = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir)

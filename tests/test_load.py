@@ -155,3 +155,49 @@ def test_values_lost_by_a_cast_are_reported(spark):
     assert merged["lml_processes._rejects_casts"] == 1 and lost() == sorted([*want, ("main", "p5", "deleted", "[1]")])
     assert store.read("lml_processes", "main").count() == 5
     assert "_cast_errors" not in store.read("lml_processes", "main").columns
+
+
+def test_a_load_that_dies_changes_nothing(spark):
+    """The last table can't be written: the tables before it and the dependants stay as they were."""
+    store = L.Store(spark, tempfile.mkdtemp(prefix="store-"))
+    users, orders = nest.docs(spark, SF, "users"), nest.docs(spark, SF, "orders")
+    L.load_collection(spark, "users", users, store, run_ts())
+    L.load_collection(spark, "usersgroups", orders, store, run_ts())
+    before = counts(store, "lml_users", ["main", "roles"]), counts(store, "lml_usersgroups", ["members"])
+
+    class Broken(L.Store):
+        def stage(self, load_id, schema, table, df):
+            if table == "members":
+                raise OSError("disk full")
+            super().stage(load_id, schema, table, df)
+
+    try:
+        L.load_collection(spark, "users", users.limit(3), Broken(spark, store.root), run_ts())
+        raise AssertionError("expected the write to fail")
+    except OSError:
+        pass
+    assert (counts(store, "lml_users", ["main", "roles"]), counts(store, "lml_usersgroups", ["members"])) == before
+    L.load_collection(spark, "users", users.limit(3), store, run_ts())
+    assert counts(store, "lml_users", ["main"]) == {"main": 3}
+    assert counts(store, "lml_usersgroups", ["members"]) == {"members": 0}
+
+
+def test_old_folders_go_with_the_next_version(spark):
+    import os
+    store = L.Store(spark, tempfile.mkdtemp(prefix="store-"))
+    users = nest.docs(spark, SF, "users")
+    held = []
+    for n in (5, 4, 3):
+        L.load_collection(spark, "users", users.limit(n), store, run_ts())
+        held.append(store.path("lml_users", "main"))
+    assert [os.path.exists(p) for p in held] == [False, True, True]
+    assert sorted(f for f in os.listdir(os.path.join(store.root, "_versions")) if f[0].isdigit()) == ["2.json", "3.json"]
+
+
+def test_a_repeated_load_adds_its_rejects_once(spark):
+    store = L.Store(spark, tempfile.mkdtemp(prefix="store-"))
+    docs = spark.createDataFrame([process(1, deleted="maybe")], "_seq long, j string").select("_seq", F.parse_json("j").alias("doc"))
+    for load_id in ("batch-1", "batch-1", "batch-2"):
+        L.load_collection(spark, "processes", docs, store, run_ts(), check_parents=False, load_id=load_id)
+    lost = store.read("lml_processes", "_rejects_casts")
+    assert sorted(r.load_id for r in lost.collect()) == ["batch-1", "batch-2"]
