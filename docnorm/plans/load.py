@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -246,6 +247,7 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
                        materialize=cut_lineage, track_casts=True)
     summary: list[tuple[str, int | None]] = []
     with_errors: list[str] = []
+    rejects = defaultdict(list, {name: [rej.drop("_seq", "pos")] for name, rej in result.rejects.items()})
     pk = coll.main.cols[0].name
     main_keys = result.tables["main"].select(F.col(pk))
     held = None if refresh or coll.main.policy == "last" else store.read(coll.name, "main")
@@ -270,7 +272,7 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
                            policy="last" if t.policy == "last" else "first")
         elif t.name == "main" and t.policy == "strict":
             fresh, turned_away = U.strict_insert(incoming.withColumn("_seq", F.lit(0)), list(t.key), existing=existing)
-            store.write_rejects(coll.name, t.name, turned_away.drop("_seq"), load_id)
+            rejects[t.name].append(turned_away.drop("_seq"))
             out = existing.unionByName(fresh.select(*existing.columns))
         elif t.name == "main":
             out = U.upsert(existing, incoming.withColumn("_seq", F.lit(0)), list(t.key),
@@ -309,8 +311,8 @@ def load_collection(spark: SparkSession, source: str, docs: DataFrame, store: St
                 staged.append(USERS_MAIN)
             else:
                 store.append(*USERS_MAIN, new_users.select(*users_main.columns))
-        for name, rej in result.rejects.items():
-            store.write_rejects(coll.name, name, rej.drop("_seq", "pos"), load_id)
+        for name, parts in rejects.items():
+            store.write_rejects(coll.name, name, reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), load_id)
         store.publish(load_id, staged)
     except BaseException:
         store.discard(load_id)
