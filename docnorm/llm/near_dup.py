@@ -10,7 +10,7 @@ proposals, the full shingle sets of both texts verify them, and verified links a
 to components by label propagation with pointer jumping.
 
 Proposals only join most of a group cheaply. What is left is generated in full: all shingles
-are put in one order, rarest in a sample first, and sets as similar as asked share a shingle
+are put in one order, rarest first, and sets as similar as asked share a shingle
 of their prefixes in that order. Every pair of a list of the prefix shingles that is not in
 one component yet and passes the bounds by size and place is verified as well. Postings carry
 one bit of the least hash of each of BINS bins, so that a pair is only made where these bits
@@ -35,8 +35,8 @@ MISSED = 1e-9
 #: Rows of so many members of long lists are broadcast to the sets, not joined by shuffle.
 FEW = 500_000
 SIMILARITY = 80
-#: One document in RARE_EVERY at most (RARE_ROWS at least) ranks shingles in RARE_BUCKETS; any ranks give the same links.
-RARE_EVERY, RARE_ROWS, RARE_BUCKETS = 16, 20_000, 1 << 22
+#: Shingles are ranked in so many buckets; any ranks give the same links.
+RARE_BUCKETS = 1 << 22
 
 
 def words_of(text: str) -> list[bytes]:
@@ -67,18 +67,21 @@ def shingle_hashes(text: str, size: int) -> np.ndarray:
 
 
 def frequencies(docs: DataFrame, size: int) -> np.ndarray:
-    """Documents of a sample per bucket of shingle hashes: the order of shingles, not a filter."""
-    every = max(1, min(RARE_EVERY, docs.count() // RARE_ROWS))
-
+    """Documents per bucket of shingle hashes: the order of shingles, not a filter."""
     def count(batches):
+        total = np.zeros(RARE_BUCKETS, np.int32)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 sets = [shingle_hashes(t or "", size) for t in batch.column(0).slice(at, 1024).to_pylist()]
                 bucket, n = np.unique(np.concatenate(sets) & np.uint64(RARE_BUCKETS - 1), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.astype(np.int32)), pa.array(n.astype(np.int32))], names=["bucket", "n"])
-
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text").mapInArrow(count, "bucket int, n int")
-    often = some.groupBy("bucket").agg(F.least(F.sum("n"), F.lit(65535)).cast("int").alias("n")).where("n > 1").toArrow()
+                total[bucket] += n.astype(np.int32)
+        seen = np.flatnonzero(total)
+        for at in range(0, len(seen), 65536):
+            part = seen[at:at + 65536]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["bucket", "n"])
+
+    counted = docs.select("text").mapInArrow(count, "bucket int, n int")
+    often = counted.groupBy("bucket").agg(F.least(F.sum("n"), F.lit(65535)).cast("int").alias("n")).where("n > 1").toArrow()
     out = np.zeros(RARE_BUCKETS, np.uint16)
     out[often.column("bucket").to_numpy()] = often.column("n").to_numpy()
     return out

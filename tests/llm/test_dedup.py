@@ -211,3 +211,10 @@ def test_texts_without_id_have_keys_of_their_own(llm):
     docs = llm.range(300_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
     keys = suffix_dedup.keyed(docs).select(*suffix_dedup.KEY)
     assert keys.distinct().count() == 300_000 and keys.select(suffix_dedup.KEY[1]).distinct().count() < 300_000
+
+
+def test_shingles_are_counted_over_all_documents(spark):
+    docs = spark.range(40_000).select(F.format_string("a b c%d", "id").alias("text"))
+    often = near_dup.frequencies(docs, 2)
+    shared = near_dup.shingle_hashes("a b", 2)
+    assert often[shared & np.uint64(near_dup.RARE_BUCKETS - 1)].tolist() == [40_000]
