@@ -58,3 +58,34 @@ def test_json_of_structs(spark):
 def test_padded_keys(spark):
     df = spark.createDataFrame([(7,), (1234567,), (-5,), (None,)], "k long")
     assert [r[0] for r in df.select(nest.uid(F.col("k"))).collect()] == ["u000007", "u1234567", "u-00005", None]
+
+
+def test_line_items_are_rendered_before_the_aggregate(spark):
+    text = plan(nest.build_order_docs(spark, SMALL, 4))
+    assert "collect_list(line#" in text  # an expression inside the aggregate would be interpreted
+
+
+def test_line_item_texts(spark):
+    import datetime
+    df = spark.createDataFrame(
+        [(7, 8, 1, datetime.datetime(2020, 1, 2), 'R"', 2.0), (None, None, 3, None, None, None)],
+        "l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz, l_returnflag string, l_quantity double")
+    a, b = [{k: json.loads(v) for k, v in r.asDict().items()} for r in
+            df.select(*[c.alias(k) for k, c in nest._line_items().items()]).collect()]
+    assert a == {"movement": {"at": "2020-01-02 00:00:00", "id": 7, "to": 'R"', "qty": 2.0, "line": 1, "supp": 8},
+                 "member": "u000007", "recipient": {"id": "u000007", "name": "P7"}, "document": {"id": "p7"},
+                 "internal": {"id": "s8"}, "step": {"title": "T1", "description": 'R"'}}
+    assert b == {"movement": None, "member": None, "recipient": {"id": None, "name": None}, "document": {"id": None},
+                 "internal": {"id": None}, "step": {"title": "T3", "description": None}}
+
+
+def test_text_beyond_ascii_is_cut_by_bytes(spark):
+    assert spark.range(1).select(nest.with_text(F.lit('{"a":"ñ€😀"}'), b=F.lit("1"))).first()[0] == '{"a":"ñ€😀","b":1}'
+
+
+def test_builds_leave_no_projection_to_the_interpreter_of_the_jvm(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    with nest._building(spark):
+        assert spark.conf.get(key) == "8000"
+    assert spark.conf.get(key) == before
