@@ -89,3 +89,14 @@ def test_builds_leave_no_projection_to_the_interpreter_of_the_jvm(spark):
     with nest._building(spark):
         assert spark.conf.get(key) == "8000"
     assert spark.conf.get(key) == before
+
+
+def test_documents_hold_no_parsed_items(spark):
+    key = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    try:
+        text = nest.build_document_docs(spark, SMALL, 4)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "participants" in text and "parseJson" not in text
