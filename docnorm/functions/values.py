@@ -72,6 +72,16 @@ def as_array(v: Column) -> Column:
     return F.try_variant_get(v, "$", ARRAY_T)
 
 
+def array_at(v: Column | str, path: str | None) -> Column:
+    """``as_array`` of the value at ``path``, without a copy of that value as a VARIANT."""
+    return get(v, path, ARRAY_T)
+
+
+def object_at(v: Column | str, path: str | None) -> Column:
+    """``as_object`` of the value at ``path``, without a copy of that value as a VARIANT."""
+    return get(v, path, OBJECT_T)
+
+
 def as_object(v: Column) -> Column:
     """``map<string,variant>`` when ``v`` is a JSON object, else NULL."""
     return F.try_variant_get(v, "$", OBJECT_T)
@@ -93,7 +103,11 @@ def is_array(v: Column) -> Column:
 def is_object(v: Column) -> Column:
     # an empty-struct cast succeeds exactly for objects and reads no field: O(1), where a
     # map cast would copy every key and schema_of_variant would walk the whole value
-    return F.try_variant_get(v, "$", "struct<>").isNotNull()
+    return is_object_at(v, "$")
+
+
+def is_object_at(v: Column | str, path: str | None) -> Column:
+    return get(v, path, "struct<>").isNotNull()
 
 
 def _scalar_schema(v: Column) -> Column:
@@ -134,10 +148,13 @@ def truthy(v: Column) -> Column:
     s = _scalar_schema(v)
     arr = as_array(v)
     obj = as_object(v)
+    text = F.try_variant_get(v, "$", "string")
     return F.coalesce(
         F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
         .when(arr.isNotNull(), F.size(arr) > 0)
         .when(is_object(v), F.size(obj) > 0)
+        # no text of a zero or of false: the schema, which is dear to tell, need not be known
+        .when((text != "") & ~text.rlike("^(-?[0.]|false$)"), F.lit(True))
         .when(s == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
         .when(
             s.startswith("DECIMAL") | s.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT"),
@@ -206,20 +223,24 @@ def flag(v: Column | str, path: str, default: bool) -> Column:
 # --------------------------------------------------------------------------- S1, S10
 def to_str(v: Column) -> Column:
     """Python-``str()`` of a scalar VARIANT (``True``/``False`` for booleans); NULL for null."""
-    s = _scalar_schema(v)
-    txt = F.try_variant_get(v, "$", "string")
+    return str_at(v, "$")
+
+
+def str_at(v: Column | str, path: str | None) -> Column:
+    """``to_str`` of the value at ``path``. Its text tells most kinds apart, so the value itself
+    and its schema are looked at only where the text leaves a doubt."""
+    txt = get(v, path, "string")
+    raw = at(v, path)
     return (
-        F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
-        .when(is_array(v) | is_object(v), F.to_json(v))
-        .when(s == "BOOLEAN", F.initcap(txt))
+        F.when((txt.startswith("{") | txt.startswith("[")) & (is_array(raw) | is_object(raw)), F.to_json(raw))
+        .when(txt.isin("true", "false") & (_scalar_schema(raw) == "BOOLEAN"), F.initcap(txt))
         .otherwise(txt)
     )
 
 
 def oid(v: Column | str, path: str = "_id") -> Column:
     """Document key: unwrap ``{"$oid": h}`` else ``str(value)``."""
-    raw = at(v, path)
-    return F.when(is_object(raw), F.try_variant_get(raw, "$['$oid']", "string")).otherwise(to_str(raw))
+    return F.coalesce(get(v, jpath(path) + "['$oid']", "string"), F.when(~is_object_at(v, path), str_at(v, path)))
 
 
 # --------------------------------------------------------------------------- S2–S5
@@ -257,13 +278,13 @@ def ts(v: Column) -> Column:
 
     No type test is needed before parsing: a non-text value read as text (a number, JSON of
     an object or array, ``true``) never matches the timestamp patterns."""
-    text = F.coalesce(F.try_variant_get(v, "$['$date']", "string"), F.try_variant_get(v, "$", "string"))
-    native = F.when(schema(v).startswith("TIMESTAMP"), F.try_variant_get(v, "$", "timestamp_ntz"))
-    return F.coalesce(ts_text(text), native)
+    return ts_at(v, "$")
 
 
 def ts_at(v: Column | str, path: str) -> Column:
-    return ts(at(v, path))
+    text = F.coalesce(get(v, jpath(path) + "['$date']", "string"), get(v, path, "string"))
+    native = F.when(schema(at(v, path)).startswith("TIMESTAMP"), get(v, path, "timestamp_ntz"))
+    return F.coalesce(ts_text(text), native)
 
 
 def ts_strict_z(v: Column) -> Column:
@@ -289,15 +310,15 @@ def raw_timestamp(v: Column | str, path: str) -> Column:
 
 
 # --------------------------------------------------------------------------- S6–S9
-def part_str(v: Column) -> Column:
+def part_str(v: Column | str, path: str | None = None) -> Column:
     """Name part: missing or null -> ''."""
-    return F.coalesce(to_str(v), F.lit(""))
+    return F.coalesce(str_at(v, path), F.lit(""))
 
 
 def full_name(v: Column | str, first: str = "firstname", last: str = "lastname", base: str | None = None) -> Column:
     """``trim(first + ' ' + last)`` with missing/null parts as ''."""
-    root = at(v, base) if base else col_of(v)
-    return F.trim(F.concat(part_str(at(root, first)), F.lit(" "), part_str(at(root, last))))
+    before = f"{base}." if base else ""
+    return F.trim(F.concat(part_str(v, before + first), F.lit(" "), part_str(v, before + last)))
 
 
 def json_truthy(v: Column) -> Column:
@@ -307,7 +328,11 @@ def json_truthy(v: Column) -> Column:
 
 def json_container(v: Column) -> Column:
     """``jv``: the value when it is an object or array (empty ones kept) else NULL."""
-    return F.when(is_object(v) | is_array(v), v)
+    return json_container_at(v, "$")
+
+
+def json_container_at(v: Column | str, path: str | None) -> Column:
+    return F.when(is_object_at(v, path) | array_at(v, path).isNotNull(), at(v, path))
 
 
 def singular(tag: str) -> str:

@@ -48,7 +48,7 @@ def explode_array(
     ``pos`` is the 0-based index counted **before** any later item filter, so gaps remain
     exactly as in the source when items are dropped afterwards.
     """
-    arr = V.as_array(V.at(doc, path))
+    arr = V.array_at(doc, path)
     cols = _keep(df, keep)
     if with_pos:
         return _generated(df, cols, arr, F.posexplode, pos, item)
@@ -64,7 +64,7 @@ def explode_object(
     item: str = ITEM,
 ) -> DataFrame:
     """One row per (key, value) of the object at ``path`` used as a map."""
-    m = V.as_object(V.at(doc, path))
+    m = V.object_at(doc, path)
     return _generated(df, _keep(df, keep), m, F.explode, key, item)
 
 
@@ -88,7 +88,7 @@ def tagged_union(
 
     parts = []
     for t, p in branches.items():
-        arr = F.coalesce(V.as_array(V.at(doc, p)), F.array().cast("array<variant>"))
+        arr = F.coalesce(V.array_at(doc, p), F.array().cast("array<variant>"))
         parts.append(F.transform(arr, tagger(t)))
     allv = F.concat(*parts) if len(parts) > 1 else parts[0]
     out = _generated(df, _keep(df, keep), allv, F.posexplode, pos, "_u")

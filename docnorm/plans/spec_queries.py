@@ -117,20 +117,20 @@ def spec_listbuilder_privileges(spark, d):
     return _listbuilder(spark, d).tables["privileges"]
 
 
-def _documents(spark, d):
-    return normalise(CL.DOCUMENTS, orders_docs(spark, d), users=users_main_ids(spark, d), run_ts=run_ts())
+def _documents(spark, d, *only):
+    return normalise(CL.DOCUMENTS, orders_docs(spark, d), users=users_main_ids(spark, d), run_ts=run_ts(), only=only or None)
 
 
 def spec_documents_recipients(spark, d):
-    return _documents(spark, d).tables["recipients"]
+    return _documents(spark, d, "recipients").tables["recipients"]
 
 
 def spec_documents_steps(spark, d):
-    return _documents(spark, d).tables["steps"]
+    return _documents(spark, d, "steps").tables["steps"]
 
 
 def spec_next_workflow(spark, d):
-    return _documents(spark, d).tables["next_workflow"].select(
+    return _documents(spark, d, "next_workflow").tables["next_workflow"].select(
         "document_id", "workflow_type", "user_id", "role_id", "role_name", "area_id", "area_name", "firstname")
 
 
@@ -158,14 +158,14 @@ def spec_form_main(spark, d):
                     tstr(F.col("created")).alias("created"), "mongo_version", "created_by_user_id")
 
 
-def _docs2(spark, d):
+def _docs2(spark, d, *only):
     from ..sources import nest
     return normalise(CL.DOCUMENTS, nest.docs(spark, d, "documents"), users=users_main_ids(spark, d),
-                     run_ts=run_ts())
+                     run_ts=run_ts(), only=only or None)
 
 
 def spec_doc_main(spark, d):
-    m = _docs2(spark, d).tables["main"]
+    m = _docs2(spark, d, "main").tables["main"]
     return m.select("document_id", "document_number", "document_type_id", "lumbre_total_signers",
                     "lumbre_total_reviewers", "deleted", "everyone_can_access", "signer_reviewer_id",
                     "signer_reviewer_done", F.to_json("signer_position_map").alias("signer_position_map"),
@@ -174,13 +174,13 @@ def spec_doc_main(spark, d):
 
 def _doc_table(name):
     def q(spark, d):
-        return _docs2(spark, d).tables[name]
+        return _docs2(spark, d, name).tables[name]
     q.__name__ = f"spec_doc_{name}"
     return q
 
 
 def spec_doc_movements(spark, d):
-    m = _docs2(spark, d).tables["movements"]
+    m = _docs2(spark, d, "movements").tables["movements"]
     return m.select("document_id", tstr(F.col("created_at")).alias("created_at"), "created_by_user_id",
                     "created_by_user_name", F.to_json("movement_data").alias("movement_data"),
                     F.to_json("documentation").alias("documentation"))
