@@ -100,3 +100,29 @@ def test_documents_hold_no_parsed_items(spark):
     finally:
         spark.conf.set(key, before)
     assert "participants" in text and "parseJson" not in text
+
+
+def test_line_items_are_shuffled_as_plain_columns(spark):
+    with nest._building(spark):
+        text = plan(nest.build_order_docs(spark, SMALL, 4))
+    rendered = text.index("collect_list(line#")
+    below = text[rendered:].partition("hashpartitioning(l_orderkey")[2]
+    assert below and "to_json" not in below and "StructsToJson" not in below
+    assert "ObjectHashAggregate" not in text  # rows arrive sorted by order
+
+
+def test_order_documents_hold_their_items_in_order(spark, tmp_path):
+    for name in ("customer", "nation", "region"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    o = spark.read.parquet(f"{SMALL}/orders.parquet").limit(1)
+    o = o.withColumn("o_orderkey", F.explode(F.array(F.lit(4), F.lit(4), F.lit(5), F.lit(None)).cast("array<bigint>")))
+    o.write.parquet(str(tmp_path / "orders.parquet"))
+    li = spark.read.parquet(f"{SMALL}/lineitem.parquet").limit(1).withColumn(
+        "l_linenumber", F.explode(F.array(F.lit(2), F.lit(None), F.lit(1)))).withColumn(
+        "l_orderkey", F.explode(F.array(F.lit(4), F.lit(None)).cast("array<bigint>")))
+    li.write.parquet(str(tmp_path / "lineitem.parquet"))
+    with nest._building(spark):
+        rows = nest.build_order_docs(spark, str(tmp_path), 3).collect()
+    lines = [(r._seq, [m.get("line") for m in json.loads(r.json)["movements"]] if '"movements"' in r.json else None)
+             for r in rows]
+    assert sorted(lines, key=str) == [(4, [None, 1, 2]), (4, [None, 1, 2]), (5, None), (None, None)]
