@@ -238,6 +238,18 @@ def str_at(v: Column | str, path: str | None) -> Column:
     )
 
 
+# Texts that alone do not tell whether a value is truthy, or how ``str_at`` writes it.
+_DOUBTFUL = r"^(-?[0.]|true$|false$|[\[{])"
+
+
+def truthy_str_at(v: Column | str, path: str | None, text: Column | None = None) -> Column:
+    """``str_at`` when the value at ``path`` is ``truthy``, else NULL. ``text`` may give the value
+    read as text by an earlier projection; beyond it, only a doubtful one is looked at."""
+    text = get(v, path, "string") if text is None else text
+    return F.when((text != "") & ~text.rlike(_DOUBTFUL), text).when(
+        (text != "") & truthy(at(v, path)), str_at(v, path))
+
+
 def oid(v: Column | str, path: str = "_id") -> Column:
     """Document key: unwrap ``{"$oid": h}`` else ``str(value)``."""
     return F.coalesce(get(v, jpath(path) + "['$oid']", "string"), F.when(~is_object_at(v, path), str_at(v, path)))

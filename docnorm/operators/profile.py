@@ -172,9 +172,10 @@ def enum_candidates(docs: DataFrame, fields: Sequence[str], max_values: int = 10
 
 def fk_candidates(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Per candidate foreign-key field: documents where it is truthy, distinct values."""
-    arr = F.array(*[F.struct(F.lit(f).alias(KEY), F.when(V.truthy(V.at(DOC, f)), V.to_str(V.at(DOC, f))).alias("value"))
-                    for f in fields])
-    x = docs.select(F.inline(arr))
+    texts = docs.select(DOC, *[V.get(DOC, f).alias(f"_text{i}") for i, f in enumerate(fields)])
+    arr = F.array(*[F.struct(F.lit(f).alias(KEY), V.truthy_str_at(DOC, f, F.col(f"_text{i}")).alias("value"))
+                    for i, f in enumerate(fields)])
+    x = texts.select(F.inline(arr))
     return x.groupBy(KEY).agg(F.count("value").alias("present"), F.countDistinct("value").alias("distinct_values"))
 
 
