@@ -17,6 +17,10 @@ from pyspark.sql import Column, functions as F
 
 ARRAY_T = "array<variant>"
 OBJECT_T = "map<string,variant>"
+# Casts that tell what a container holds without its values: an item is an empty struct when it
+# is an object, else NULL. A VARIANT item or value is written anew, keys and all, by its cast.
+ITEMS_T = "array<struct<>>"
+FIELDS_T = "map<string,struct<>>"
 
 _SIMPLE_KEY = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -97,7 +101,17 @@ def is_null(v: Column) -> Column:
 
 
 def is_array(v: Column) -> Column:
-    return as_array(v).isNotNull()
+    return get(v, "$", ITEMS_T).isNotNull()
+
+
+def array_size(v: Column | str, path: str | None = None) -> Column:
+    """Number of items of the array at ``path``; NULL when it is no array."""
+    return F.size(get(v, path, ITEMS_T))
+
+
+def object_keys(v: Column | str, path: str | None = None) -> Column:
+    """Keys of the object at ``path``; NULL when it is no object."""
+    return F.map_keys(get(v, path, FIELDS_T))
 
 
 def is_object(v: Column) -> Column:

@@ -333,7 +333,7 @@ def underscore_nested(docs: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- G20–G27
 def container_profile(docs: DataFrame, container: str, subs: Sequence[str]) -> DataFrame:
     """Per (container, sub-array): documents with data and total items."""
-    arr = F.array(*[F.struct(F.lit(s).alias("sub"), F.size(V.as_array(V.at(DOC, f"{container}.{s}"))).alias("n"))
+    arr = F.array(*[F.struct(F.lit(s).alias("sub"), V.array_size(DOC, f"{container}.{s}").alias("n"))
                     for s in subs])
     x = docs.select(F.inline(arr))
     return x.groupBy("sub").agg(F.count_if(F.col("n") > 0).alias("docs_with_data"),
