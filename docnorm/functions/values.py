@@ -146,12 +146,12 @@ def kind(v: Column) -> Column:
     return (
         F.when(v.isNull(), F.lit("missing"))
         .when(F.is_variant_null(v), F.lit("null"))
-        .when(is_array(v), F.lit("array"))
         .when(is_object(v), F.lit("object"))
-        .when(s == "BOOLEAN", F.lit("boolean"))
+        .when(is_array(v), F.lit("array"))
+        .when(s == "STRING", F.lit("string"))
         .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("integer"))
         .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), F.lit("float"))
-        .when(s == "STRING", F.lit("string"))
+        .when(s == "BOOLEAN", F.lit("boolean"))
         .when(s.startswith("TIMESTAMP"), F.lit("datetime"))
         .otherwise(F.lower(s))
     )
@@ -160,13 +160,12 @@ def kind(v: Column) -> Column:
 def truthy(v: Column) -> Column:
     """False for missing, null, false, 0, 0.0, '', [] and {}; true otherwise."""
     s = _scalar_schema(v)
-    arr = as_array(v)
-    obj = as_object(v)
+    items = array_size(v)
     text = F.try_variant_get(v, "$", "string")
     return F.coalesce(
         F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
-        .when(arr.isNotNull(), F.size(arr) > 0)
-        .when(is_object(v), F.size(obj) > 0)
+        .when(items.isNotNull(), items > 0)
+        .when(is_object(v), F.size(object_keys(v)) > 0)
         # no text of a zero or of false: the schema, which is dear to tell, need not be known
         .when((text != "") & ~text.rlike("^(-?[0.]|false$)"), F.lit(True))
         .when(s == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))

@@ -21,9 +21,16 @@ KEY = "field"
 
 def entries(docs: DataFrame, path: str | None = None, doc: str = DOC, seq: str = SEQ) -> DataFrame:
     """(``_seq``, field, value, kind) for every top-level key of the object at ``path``."""
-    base = V.as_object(V.at(doc, path)) if path else V.as_object(F.col(doc))
-    ex = docs.select(seq, F.explode(base).alias(KEY, "value"))
-    return ex.select(seq, KEY, "value", V.kind(F.col("value")).alias("kind"))
+    base = docs.select(seq, V.at(doc, path).alias("_given"))
+    # values come as parts of their document; a cast to a map would write each of them anew
+    ex = base.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("_given").outer()))
+    ex = ex.where(F.col("key").isNotNull())  # items of an array have no key
+    return ex.select(seq, F.col("key").alias(KEY), "value", V.kind(F.col("value")).alias("kind"))
+
+
+def keys(docs: DataFrame, doc: str = DOC) -> DataFrame:
+    """(field) for every top-level key of a document, without its value."""
+    return docs.select(F.explode(V.object_keys(doc)).alias(KEY))
 
 
 def total_docs(docs: DataFrame) -> int:
@@ -86,10 +93,13 @@ def field_examples(docs: DataFrame, k: int = 3, width: int = 60, truthy_only: bo
 # --------------------------------------------------------------------------- G5–G8
 def array_profile(docs: DataFrame) -> DataFrame:
     """Per array field: documents with the array, with data, min/max/avg length, item types."""
-    e = entries(docs).where(F.col("kind") == "array")
-    arr = V.as_array(F.col("value"))
-    x = e.select(KEY, F.size(arr).alias("n"),
-                 F.array_distinct(F.transform(arr, lambda i: V.kind(i))).alias("item_kinds"))
+    items = V.get("value", None, V.ITEMS_T)
+    e = entries(docs).where(V.is_array(F.col("value"))).select(KEY, "value", items.alias("items"))
+    # items are looked at one by one only where not all are objects
+    kinds = (F.when(F.size("items") == 0, F.array().cast("array<string>"))
+             .when(F.forall("items", lambda i: i.isNotNull()), F.array(F.lit("object")))
+             .otherwise(F.array_distinct(F.transform(V.as_array(F.col("value")), lambda i: V.kind(i)))))
+    x = e.select(KEY, F.size("items").alias("n"), kinds.alias("item_kinds"))
     return x.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("docs_with_array"), F.count_if(F.col("n") > 0).alias("docs_with_data"),
         F.min("n").cast("bigint").alias("min_len"), F.max("n").cast("bigint").alias("max_len"),
