@@ -299,7 +299,7 @@ UNDERSCORE_TYPES = {"integer": "int", "boolean": "bool", "array": "list"}
 
 
 def _is_dynamic(name: Column) -> Column:
-    return name.rlike(DYNAMIC_DETECT) & ~name.isin(*DYNAMIC_DETECT_IGNORED)
+    return name.contains("_") & name.rlike(DYNAMIC_DETECT) & ~name.isin(*DYNAMIC_DETECT_IGNORED)
 
 
 def dynamic_detect(docs: DataFrame, examples: int = 2) -> DataFrame:
@@ -315,7 +315,7 @@ def dynamic_detect(docs: DataFrame, examples: int = 2) -> DataFrame:
 
 def dynamic_patterns(docs: DataFrame, top: int = 20) -> DataFrame:
     """Dynamic base names by number of variants (top ``top``)."""
-    d = entries(docs).where(_is_dynamic(F.col(KEY))).groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+    d = keys(docs).where(_is_dynamic(F.col(KEY))).groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
     g = d.groupBy(F.regexp_extract(KEY, DYNAMIC_DETECT, 1).alias("base")).agg(
         F.count(F.lit(1)).alias("variants"), F.sum("n").cast("bigint").alias("occurrences"))
     order = [F.col("variants").desc(), F.col("base")]
