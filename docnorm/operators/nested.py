@@ -136,7 +136,8 @@ def truthy_field(field: str, item: str = ITEM) -> Column:
 
 # --------------------------------------------------------------------------- D1, D2
 def _object_from_map(m: Column) -> Column:
-    return F.when(F.size(m) > 0, F.to_variant_object(m))
+    # the one item of an array, since a CASE would compute the map for its condition and once more
+    return F.transform(F.array(m), lambda x: F.when(F.size(x) > 0, F.to_variant_object(x)))[0]
 
 
 def dynamic_fields_fixed(doc: Column | str, keys: Iterable[str]) -> Column:
@@ -149,6 +150,7 @@ def dynamic_fields_fixed(doc: Column | str, keys: Iterable[str]) -> Column:
 
 # Dynamic top-level key pattern and keys excluded from it.
 DYNAMIC_KEY_PATTERN = r"^(.+_\d+|_\d+)$"
+DYNAMIC_KEY_HOLDS = "_"  # text that every key of the pattern holds; most others are told by it
 DYNAMIC_EXCLUDED = ("_id", "__v", "_v", "_master", "_masterType")
 
 
@@ -158,7 +160,7 @@ def _kept_dynamic_value(v: Column) -> Column:
     return ~(
         F.is_variant_null(v)
         | F.coalesce((s == "STRING") & (F.try_variant_get(v, "$", "string") == ""), F.lit(False))
-    ) & ~(V.is_array(v) & (F.size(V.as_array(v)) == 0))
+    ) & ~F.coalesce(V.array_size(v) == 0, F.lit(False))
 
 
 def dynamic_fields_regex(doc: Column | str, pattern: str = DYNAMIC_KEY_PATTERN,
@@ -166,8 +168,8 @@ def dynamic_fields_regex(doc: Column | str, pattern: str = DYNAMIC_KEY_PATTERN,
     """Object of top-level keys matching ``pattern`` (minus ``excluded``), values not
     null / '' / []; NULL when none. Per-row ``map_filter``, no shuffle."""
     m = V.as_object(V.col_of(doc))
-    excl = F.array(*[F.lit(x) for x in excluded])
-    kept = F.map_filter(m, lambda k, v: k.rlike(pattern) & ~F.array_contains(excl, k) & _kept_dynamic_value(v))
+    holds = DYNAMIC_KEY_HOLDS if pattern == DYNAMIC_KEY_PATTERN else ""
+    kept = F.map_filter(m, lambda k, v: k.contains(holds) & ~k.isin(*excluded) & k.rlike(pattern) & _kept_dynamic_value(v))
     return _object_from_map(kept)
 
 
