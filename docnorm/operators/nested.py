@@ -42,13 +42,16 @@ def explode_array(
     with_pos: bool = True,
     item: str = ITEM,
     pos: str = POS,
+    item_type: str = "variant",
 ) -> DataFrame:
     """One row per element of the array at ``path`` (non-arrays give no rows).
 
     ``pos`` is the 0-based index counted **before** any later item filter, so gaps remain
-    exactly as in the source when items are dropped afterwards.
+    exactly as in the source when items are dropped afterwards. With a struct as ``item_type``
+    items come as the named fields, each NULL when missing or not castable; an item that is
+    no object is NULL.
     """
-    arr = V.array_at(doc, path)
+    arr = V.get(doc, path, f"array<{item_type}>")
     cols = _keep(df, keep)
     if with_pos:
         return _generated(df, cols, arr, F.posexplode, pos, item)

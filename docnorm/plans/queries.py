@@ -14,6 +14,7 @@ from ..operators import conflict as U
 from ..operators import integrity as R
 from ..operators import nested as N
 from ..sources import nest
+from ..sources.documents import FENCE
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 RUN_TS = "2030-01-01 00:00:00"
@@ -205,10 +206,14 @@ def renamed_explode(spark, d):
 
 
 def _recipient_users(spark, d):
-    m = N.explode_array(orders_docs(spark, d), "recipients.users", keep=[F.col("_seq"), _pid()])
-    return m.where(N.truthy_field("id")).select(
-        "_seq", F.col("pos").cast("bigint").alias("pos"), "process_id",
-        V.to_str(V.at("item", "id")).alias("id"), V.get("item", "name").alias("name"))
+    m = N.explode_array(orders_docs(spark, d), "recipients.users", keep=[F.col("_seq"), _pid()],
+                        item_type="struct<id:variant,name:string>")
+    # a step each, the last behind a fence: otherwise the id is read again for every use of its text
+    texts = m.select("_seq", F.col("pos").cast("bigint").alias("pos"), "process_id", "item",
+                     V.get("item.id", None).alias("_text"))
+    named = texts.select("_seq", "pos", "process_id", V.truthy_str_at("item.id", None, F.col("_text")).alias("id"),
+                         F.col("item.name").alias("name"), F.spark_partition_id().alias(FENCE))
+    return named.where(F.col("id").isNotNull() & (F.col(FENCE) >= 0)).drop(FENCE)
 
 
 def catalog_and_relation(spark, d):
