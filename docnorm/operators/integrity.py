@@ -191,12 +191,19 @@ def _finish(out: DataFrame, prefix: str, require_id: bool) -> DataFrame:
 
 
 def with_audit_ids(df: DataFrame, columns: dict[str, str], flavour: str = "standard", doc: str = "doc") -> DataFrame:
-    """``cu`` / ``uu``: add one id column per snapshot path (ghost or existing user)."""
+    """``cu`` / ``uu``: add one id column per snapshot path (ghost or existing user).
+
+    A text of ``user.id`` that only a truthy scalar has is the id; ``snapshot_users`` looks at
+    the other snapshots."""
     out = df
+    shortest = 1 if flavour == "processtypes" else MIN_USER_ID_LEN
     for name, path in columns.items():
-        base = out.withColumn("_snap", V.at(doc, path))
-        ids = snapshot_users(base, "_snap", flavour, keep=out.columns, prefix="_a_")
-        out = ids.select(*out.columns, F.col("_a_id").alias(name))
+        text = out.withColumn("_text", V.get(doc, f"{path}.user.id"))
+        plain = text.withColumn("_plain", V.plain_text(F.col("_text")))
+        base = plain.withColumn("_snap", F.when(F.col("_plain"), F.lit(None)).otherwise(V.at(doc, path)))
+        ids = snapshot_users(base, "_snap", flavour, keep=[*out.columns, "_text", "_plain"], prefix="_a_")
+        long_enough = F.when(F.length("_text") >= shortest, F.col("_text"))
+        out = ids.select(*out.columns, F.when(F.col("_plain"), long_enough).otherwise(F.col("_a_id")).alias(name))
     return out
 
 

@@ -65,9 +65,11 @@ def explode_object(
     doc: str = "doc",
     key: str = KEY,
     item: str = ITEM,
+    item_type: str = "variant",
 ) -> DataFrame:
-    """One row per (key, value) of the object at ``path`` used as a map."""
-    m = V.object_at(doc, path)
+    """One row per (key, value) of the object at ``path`` used as a map (``item_type`` as in
+    ``explode_array``)."""
+    m = V.get(doc, path, f"map<string,{item_type}>")
     return _generated(df, _keep(df, keep), m, F.explode, key, item)
 
 

@@ -10,8 +10,8 @@ from .queries import orders_docs, run_ts, tstr, users_main_ids
 from .spec import normalise
 
 
-def _processes(spark, d):
-    return normalise(CL.PROCESSES, orders_docs(spark, d), users=users_main_ids(spark, d), run_ts=run_ts())
+def _processes(spark, d, columns=None):
+    return normalise(CL.PROCESSES, orders_docs(spark, d), users=users_main_ids(spark, d), run_ts=run_ts(), columns=columns)
 
 
 def spec_processes_main(spark, d):
@@ -158,18 +158,20 @@ def spec_form_main(spark, d):
                     tstr(F.col("created")).alias("created"), "mongo_version", "created_by_user_id")
 
 
-def _docs2(spark, d, *only):
+def _docs2(spark, d, *only, columns=None):
     from ..sources import nest
     return normalise(CL.DOCUMENTS, nest.docs(spark, d, "documents"), users=users_main_ids(spark, d),
-                     run_ts=run_ts(), only=only or None)
+                     run_ts=run_ts(), only=only or None, columns=columns)
+
+
+DOC_MAIN = ("document_id", "document_number", "document_type_id", "lumbre_total_signers", "lumbre_total_reviewers",
+            "deleted", "everyone_can_access", "signer_reviewer_id", "signer_reviewer_done", "signer_position_map",
+            "dynamic_fields", "created_by_user_id")
 
 
 def spec_doc_main(spark, d):
-    m = _docs2(spark, d, "main").tables["main"]
-    return m.select("document_id", "document_number", "document_type_id", "lumbre_total_signers",
-                    "lumbre_total_reviewers", "deleted", "everyone_can_access", "signer_reviewer_id",
-                    "signer_reviewer_done", F.to_json("signer_position_map").alias("signer_position_map"),
-                    F.to_json("dynamic_fields").alias("dynamic_fields"), "created_by_user_id")
+    m = _docs2(spark, d, "main", columns={"main": DOC_MAIN}).tables["main"]
+    return m.select(*[F.to_json(c).alias(c) if c in ("signer_position_map", "dynamic_fields") else c for c in DOC_MAIN])
 
 
 def _doc_table(name):
